@@ -39,6 +39,8 @@ class UpdaterConfig:
     max_files_per_trigger: int = 1000
     dedup_horizon: str = "7 days"
     dedup_salts: int = 16
+    # Log epochs after which the service writes a new base; 0 never does.
+    compact_every: int = 100
     max_records_per_file: int = 5_000_000
     # Largest key set that is broadcast; a larger one is joined by shuffle.
     broadcast_rows: int = 200_000

@@ -68,6 +68,15 @@ def pending(batches: DataFrame, acked: DataFrame) -> DataFrame:
     return batches.join(done, "batch_id", "left_anti")
 
 
+def unanswered(batches: DataFrame, acked: DataFrame) -> DataFrame:
+    """Pending batches whose very delivery has no acknowledgement yet.
+
+    A batch that was not done and comes back in a later poll is unanswered there.
+    """
+    answered = acked.select("batch_id", "poll_seq")
+    return pending(batches, acked).join(answered, ["batch_id", "poll_seq"], "left_anti")
+
+
 def last_delivery(batches: DataFrame) -> DataFrame:
     """One row per ``batch_id``: its last delivery in feed order."""
     others = [c for c in batches.columns if c not in ("batch_id", "poll_seq", "batch_pos")]

@@ -9,6 +9,13 @@ from ebbsync.functions.json import array_items, integer, is_blank, scalar_text
 from ebbsync.functions.sizes import broadcast_if, fits
 from ebbsync.session import work_dir
 
+# Where a batch of the feed holds each field.
+ID_PATH = "$.id"
+ENTITY_IDS_PATH = "$.entityIds"
+DOMAIN_PATH = "$.wiki.domain"
+BACKEND_PATH = "$.wiki.wiki_queryservice_namespace.backend"
+NAMESPACE_PATH = "$.wiki.wiki_queryservice_namespace.namespace"
+
 BATCH_COLUMNS = ("poll_seq", "batch_pos", "batch_id", "entity_ids", "domain", "backend", "namespace")
 
 
@@ -49,11 +56,11 @@ def land_polls(polls: DataFrame) -> DataFrame:
         "poll_class",
         "batch_pos",
         "item",
-        integer(item, "$.id").alias("batch_id"),
-        scalar_text(item, "$.entityIds").alias("entity_ids"),
-        scalar_text(item, "$.wiki.domain").alias("domain"),
-        scalar_text(item, "$.wiki.wiki_queryservice_namespace.backend").alias("backend"),
-        scalar_text(item, "$.wiki.wiki_queryservice_namespace.namespace").alias("namespace"),
+        integer(item, ID_PATH).alias("batch_id"),
+        scalar_text(item, ENTITY_IDS_PATH).alias("entity_ids"),
+        scalar_text(item, DOMAIN_PATH).alias("domain"),
+        scalar_text(item, BACKEND_PATH).alias("backend"),
+        scalar_text(item, NAMESPACE_PATH).alias("namespace"),
     )
     complete = F.lit(True)
     for name in BATCH_COLUMNS[2:]:

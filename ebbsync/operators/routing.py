@@ -12,7 +12,7 @@ from ebbsync.functions.urls import concept_uri, store_url
 def derive_targets(batches: DataFrame, cfg: UpdaterConfig = UpdaterConfig()) -> DataFrame:
     """Add the addresses a batch is worked with.
 
-    ``wikibase_url`` composes scheme and domain; that composition is this
+    ``wiki_url`` composes scheme and domain; that composition is this
     package's own. ``proxy_map`` is NULL without an ingress.
     """
     domain = F.col("domain")
@@ -24,7 +24,7 @@ def derive_targets(batches: DataFrame, cfg: UpdaterConfig = UpdaterConfig()) ->
         {
             "sparql_url": store_url(F.col("backend"), F.col("namespace")),
             "concept_uri": concept_uri(domain),
-            "wikibase_url": F.concat(F.lit(f"{cfg.scheme}://"), domain),
+            "wiki_url": F.concat(F.lit(f"{cfg.scheme}://"), domain),
             "namespaces": F.lit(cfg.namespaces),
             "proxy_map": proxy_map,
         }
@@ -41,8 +41,10 @@ def resolve_wikis(batches: DataFrame, wikis: DataFrame) -> DataFrame:
 
 def namespace_table(spark: SparkSession, cfg: UpdaterConfig = UpdaterConfig()) -> DataFrame:
     """``(entity_type, ns, slot)`` of the configured ``<namespace>/<slot>`` values."""
-    rows = spark.createDataFrame(list(cfg.namespace_slots), "entity_type STRING, ns_slot STRING")
-    return rows.select(
+    rows = F.array(
+        *[F.struct(F.lit(kind).alias("entity_type"), F.lit(slot).alias("ns_slot")) for kind, slot in cfg.namespace_slots]
+    )
+    return spark.range(1).select(F.inline(rows)).select(
         "entity_type",
         F.split_part("ns_slot", F.lit("/"), F.lit(1)).try_cast("int").alias("ns"),
         F.split_part("ns_slot", F.lit("/"), F.lit(2)).alias("slot"),

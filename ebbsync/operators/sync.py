@@ -52,7 +52,9 @@ def _compare(current: DataFrame, log: DataFrame, touched: DataFrame, touched_sma
         .select(F.when(wanted & ~stored, "I").when(~wanted & stored, "D").alias("op"), *TRIPLE)
         .filter("op IS NOT NULL")
     )
-    return differing if touched_small else differing.join(keys, SUBJECT, "left_semi")
+    if not touched_small:
+        differing = differing.join(keys, SUBJECT, "left_semi")
+    return differing.select("op", *TRIPLE)
 
 
 def log_versions(log: DataFrame) -> DataFrame:

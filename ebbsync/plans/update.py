@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ebbsync import schemas
 from ebbsync.config import UpdaterConfig
 from ebbsync.functions.sizes import broadcast_if, fits
-from ebbsync.operators.acks import acks, last_delivery, outcomes, pending
+from ebbsync.operators.acks import acks, last_delivery, outcomes, unanswered
 from ebbsync.operators.feed import explode_ids
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
 from ebbsync.operators.requests import ENTITY, lookup_state
@@ -60,12 +60,14 @@ class VerifyError(Exception):
     """The store differs from the sources after a pass."""
 
 
-def allowed_requests(requests: DataFrame, sources: Sources, cfg: UpdaterConfig) -> DataFrame:
+def allowed_requests(
+    requests: DataFrame, sources: Sources, cfg: UpdaterConfig, few: bool = False
+) -> DataFrame:
     """Requests with their wiki and targets, without those of namespaces that are not allowed."""
     routed = resolve_wikis(derive_targets(requests, cfg), sources.wikis)
     if sources.entity_types is None:
         return routed
-    types = sources.entity_types.select(*ENTITY, "entity_type")
+    types = _narrowed(sources.entity_types.select(*ENTITY, "entity_type"), routed, ENTITY, few)
     return filter_namespaces(
         routed.join(types, ENTITY, "left"),
         namespace_table(requests.sparkSession, cfg),
@@ -74,10 +76,18 @@ def allowed_requests(requests: DataFrame, sources: Sources, cfg: UpdaterConfig)
     )
 
 
-def touched_entities(looked_up: DataFrame, outcome: DataFrame) -> DataFrame:
-    """Distinct entities of done batches; a batch that is not done touches nothing."""
-    done = outcome.filter(F.col("success")).select("batch_id")
-    return looked_up.join(done, "batch_id", "left_semi").select(*ENTITY).distinct()
+def failed_batches(looked_up: DataFrame) -> DataFrame:
+    return looked_up.filter(~F.col("fetched")).select("batch_id").distinct()
+
+
+def touched_entities(looked_up: DataFrame, failed: DataFrame, failed_small: bool = False) -> DataFrame:
+    """Distinct entities of done batches; a batch with a failed request touches nothing."""
+    return (
+        looked_up.filter(F.col("fetched"))
+        .join(broadcast_if(failed, failed_small), "batch_id", "left_anti")
+        .select(*ENTITY)
+        .distinct()
+    )
 
 
 def last_routes(batches: DataFrame) -> DataFrame:
@@ -114,14 +124,15 @@ def _apply(
 ) -> DataFrame:
     """Sync the requested entities as one epoch and return the outcome per batch."""
     spark = store.spark
-    requests = allowed_requests(requests, sources, cfg)
-    few_requests = fits(requests.select("wiki_id"), cfg.broadcast_rows)
-    snapshot = _narrowed(sources.snapshot, requests, ENTITY, few_requests)
-    looked_up = lookup_state(requests, snapshot)
+    few = fits(requests.select("entity_id"), cfg.broadcast_rows)
+    requests = allowed_requests(requests, sources, cfg, few)
+    looked_up = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
     with _kept(looked_up):
         dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
         outcome = outcomes(batches, looked_up).select("batch_id", "poll_seq", "total", "failed", "success")
-        touched = touched_subjects(touched_entities(looked_up, outcome), sources.wikis)
+        failed = failed_batches(looked_up)
+        few_failed = fits(failed, cfg.broadcast_rows)
+        touched = touched_subjects(touched_entities(looked_up, failed, few_failed), sources.wikis)
         routes = last_routes(resolve_wikis(batches, sources.wikis))
         with _kept(touched, routes):
             small = fits(touched, cfg.broadcast_rows)
@@ -150,14 +161,15 @@ def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: Updater
     """Work one pass of batches and return its acknowledgements.
 
     ``batches`` should be a table: several jobs read it. Done batches that come
-    back are skipped; batches that were not done run again. Only epochs before
-    this one are read, for the store and for the acks, and the acks are written
-    last, so running a pass again gives the same result.
+    back are skipped; batches that were not done run again when a later poll
+    brings them. Only epochs before this one are read, for the store and for the
+    acks, and the acks are written last, so running a pass again, as the same
+    epoch or as a new one, changes nothing.
     """
     delivered = last_delivery(batches)
     few = fits(batches, cfg.broadcast_rows)
     answered = _narrowed(store.acks(before=epoch), batches, ["batch_id"], few)
-    todo = pending(delivered, answered)
+    todo = unanswered(delivered, answered)
     with _kept(todo):
         outcome = _apply(todo, explode_ids(todo), sources, store, cfg, epoch)
     store.write_acks(acks(outcome), epoch)

@@ -136,7 +136,7 @@ ORACLES = {
         FROM feed JOIN wikis USING (wiki_id)""",
     "target_urls": f"""WITH {REQUESTS}, {WIKIS}
         SELECT batch_id, 'http://' || backend || '/bigdata/namespace/' || namespace || '/sparql' AS sparql_url,
-               'https://' || domain AS concept_uri, 'https://' || domain AS wikibase_url,
+               'https://' || domain AS concept_uri, 'https://' || domain AS wiki_url,
                '{DEFAULT_NAMESPACES}' AS namespaces, domain || '=ingress.test:8080' AS proxy_map
         FROM feed JOIN wikis USING (wiki_id)""",
     "entity_requests": f"""WITH {REQUESTS}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ebbsync.config import UpdaterConfig
 from ebbsync.functions.sizes import fits
 from ebbsync.operators import acks, feed, metrics, munge, requests, routing, sync
-from ebbsync.plans.update import Sources, run_once, touched_entities
+from ebbsync.plans.update import Sources, failed_batches, run_once, touched_entities
 from ebbsync.session import configure, work_dir
 from ebbsync.sources.feed import write_poll_files
 from ebbsync.sources.store import Store, dump
@@ -51,9 +51,12 @@ def _outcome(spark, sf_dir):
 
 
 def _touched(spark, sf_dir):
-    """Subjects of every done batch, and whether they are few enough to broadcast."""
-    entities = touched_entities(*_outcome(spark, sf_dir))
-    touched = sync.touched_subjects(entities, tables.wikis(spark, sf_dir)).persist()
+    """Subjects of every done batch, as a table, and whether they are few enough to broadcast."""
+    path = work_dir(spark, "touched")
+    looked_up = requests.lookup_state(tables.feed_requests(spark, sf_dir), tables.snapshot(spark, sf_dir))
+    entities = touched_entities(looked_up, failed_batches(looked_up))
+    sync.touched_subjects(entities, tables.wikis(spark, sf_dir)).write.parquet(path)
+    touched = spark.read.parquet(path)
     return touched, fits(touched, CFG.broadcast_rows)
 
 
@@ -64,7 +67,6 @@ def _applied_store(spark, sf_dir):
     touched, small = _touched(spark, sf_dir)
     changes = sync.diff_log(tables.current(spark, sf_dir), store.log(before=1), touched, small)
     store.apply_epoch(changes.join(tables.wikis(spark, sf_dir), "wiki_id"), 1)
-    touched.unpersist()
     return store
 
 
@@ -102,7 +104,7 @@ def batch_flatten(spark, sf_dir):
 @query
 def target_urls(spark, sf_dir):
     targets = routing.derive_targets(feed.flatten_batches(tables.feed(spark, sf_dir)), CFG)
-    return targets.select("batch_id", "sparql_url", "concept_uri", "wikibase_url", "namespaces", "proxy_map")
+    return targets.select("batch_id", "sparql_url", "concept_uri", "wiki_url", "namespaces", "proxy_map")
 
 
 @query
