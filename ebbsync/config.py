@@ -44,6 +44,8 @@ class UpdaterConfig:
     max_records_per_file: int = 5_000_000
     # Largest key set that is broadcast; a larger one is joined by shuffle.
     broadcast_rows: int = 200_000
+    # Most wikis of a pass for which its tables are filtered by listing them.
+    prune_tenants: int = 1_000
 
     def __post_init__(self):
         if self.interval_s < 0:

@@ -48,14 +48,7 @@ def land_polls(polls: DataFrame) -> DataFrame:
     """
     keep = [c for c in polls.columns if c != "body"]
     item = F.col("item")
-    fields = classify_polls(polls).select(
-        *keep, "body", "poll_class", F.posexplode_outer("items").alias("batch_pos", "item")
-    ).select(
-        *keep,
-        "body",
-        "poll_class",
-        "batch_pos",
-        "item",
+    fields = F.struct(
         integer(item, ID_PATH).alias("batch_id"),
         scalar_text(item, ENTITY_IDS_PATH).alias("entity_ids"),
         scalar_text(item, DOMAIN_PATH).alias("domain"),
@@ -64,14 +57,24 @@ def land_polls(polls: DataFrame) -> DataFrame:
     )
     complete = F.lit(True)
     for name in BATCH_COLUMNS[2:]:
-        complete = complete & F.col(name).isNotNull()
+        complete = complete & F.col(f"fields.{name}").isNotNull()
     batch_class = F.when(complete, "ok").when(F.col("batch_pos").isNotNull(), "malformed_batch")
-    payload = F.when(F.col("poll_class") != "ok", F.col("body")).when(
-        batch_class == "malformed_batch", F.to_json("item")
-    )
-    others = [c for c in keep if c != "poll_seq"]
-    return fields.select(
-        *BATCH_COLUMNS, "poll_class", batch_class.alias("batch_class"), payload.alias("payload"), *others
+    payload = F.when(F.col("poll_class") != "ok", F.col("body")).when(~complete, F.to_json("item"))
+    return (
+        classify_polls(polls)
+        .select(*keep, "body", "poll_class", F.posexplode_outer("items").alias("batch_pos", "item"))
+        # Exploding one struct computes the fields once; as plain expressions
+        # they would be computed again in every filter on them.
+        .withColumn("fields", F.explode(F.array(fields)))
+        .select(
+            "poll_seq",
+            "batch_pos",
+            "fields.*",
+            "poll_class",
+            batch_class.alias("batch_class"),
+            payload.alias("payload"),
+            *[c for c in keep if c != "poll_seq"],
+        )
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from ebbsync.operators.feed import explode_ids
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
 from ebbsync.operators.requests import ENTITY, lookup_state
 from ebbsync.operators.routing import derive_targets, filter_namespaces, namespace_table, resolve_wikis
-from ebbsync.operators.sync import diff_log, touched_subjects, verify_applied
+from ebbsync.operators.sync import diff_log, touched_subjects
 from ebbsync.sources.store import Store, dump
 
 ROUTE = ["backend", "namespace"]
@@ -56,6 +56,18 @@ class Sources:
         return cls(wikis, snapshot, facts_to_triples(facts, wikis), entity_types)
 
 
+    def only(self, wiki_ids: Sequence[int]) -> "Sources":
+        """Without the entities of other wikis. Tables partitioned by ``wiki_id`` are read in part."""
+        wanted = F.col("wiki_id").isin(list(wiki_ids))
+        types = self.entity_types
+        return replace(
+            self,
+            snapshot=self.snapshot.filter(wanted),
+            current=self.current.filter(wanted),
+            entity_types=None if types is None else types.filter(wanted),
+        )
+
+
 class VerifyError(Exception):
     """The store differs from the sources after a pass."""
 
@@ -124,37 +136,41 @@ def _apply(
 ) -> DataFrame:
     """Sync the requested entities as one epoch and return the outcome per batch."""
     spark = store.spark
+    routes = last_routes(resolve_wikis(batches, sources.wikis))
     few = fits(requests.select("entity_id"), cfg.broadcast_rows)
-    requests = allowed_requests(requests, sources, cfg, few)
-    looked_up = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
-    with _kept(looked_up):
-        dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
-        outcome = outcomes(batches, looked_up).select("batch_id", "poll_seq", "total", "failed", "success")
+    with _kept(routes):
+        # A pass over few wikis reads only their part of the tables and the log.
+        tenants = routes.limit(cfg.prune_tenants + 1).collect()
+        pruned = len(tenants) <= cfg.prune_tenants
+        if pruned:
+            sources = sources.only([row["wiki_id"] for row in tenants])
+        few_routes = pruned or fits(routes, cfg.broadcast_rows)
+
+        def of_routes(table: DataFrame, on: list[str]) -> DataFrame:
+            return table.join(broadcast_if(routes.select(*on), few_routes), on, "left_semi")
+
+        def log(before: int) -> DataFrame:
+            rows = store.log(before, [tuple(row[c] for c in ROUTE) for row in tenants] if pruned else None)
+            return of_routes(rows, ["wiki_id", *ROUTE])
+
+        requests = allowed_requests(requests, sources, cfg, few)
+        looked_up = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
         failed = failed_batches(looked_up)
-        few_failed = fits(failed, cfg.broadcast_rows)
-        touched = touched_subjects(touched_entities(looked_up, failed, few_failed), sources.wikis)
-        routes = last_routes(resolve_wikis(batches, sources.wikis))
-        with _kept(touched, routes):
-            small = fits(touched, cfg.broadcast_rows)
-            few_routes = fits(routes, cfg.broadcast_rows)
-            log = store.log(before=epoch).join(
-                broadcast_if(routes, few_routes), ["wiki_id", *ROUTE], "left_semi"
-            )
-            current = sources.current.join(
-                broadcast_if(routes.select("wiki_id"), few_routes), "wiki_id", "left_semi"
-            )
-            changes = diff_log(current, log, touched, small)
-            store.apply_epoch(changes.join(broadcast_if(routes, few_routes), "wiki_id"), epoch)
-            if cfg.verify:
-                after = store.current(before=epoch + 1).join(
-                    broadcast_if(routes, few_routes), ["wiki_id", *ROUTE], "left_semi"
-                )
-                wrong = verify_applied(current, after, touched, small)
-                if not wrong.isEmpty():
+        with _kept(looked_up):
+            dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
+            few_failed = fits(failed, cfg.broadcast_rows)
+            touched = touched_subjects(touched_entities(looked_up, failed, few_failed), sources.wikis)
+            with _kept(touched):
+                small = fits(touched, cfg.broadcast_rows)
+                current = of_routes(sources.current, ["wiki_id"])
+                changes = diff_log(current, log(epoch), touched, small)
+                store.apply_epoch(changes.join(broadcast_if(routes, few_routes), "wiki_id"), epoch)
+                if cfg.verify and not diff_log(current, log(epoch + 1), touched, small).isEmpty():
                     raise VerifyError(f"epoch {epoch} left subjects that differ from the sources")
-        result_dir = f"{store.root}/outcomes/epoch={epoch}"
-        outcome.write.mode("overwrite").parquet(result_dir)
-    return spark.read.parquet(result_dir)
+            outcome = outcomes(batches, looked_up).select("batch_id", "poll_seq", "total", "failed", "success")
+            path = f"{store.root}/outcomes/epoch={epoch}"
+            outcome.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int) -> DataFrame:

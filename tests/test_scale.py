@@ -132,3 +132,28 @@ def test_reading_before_an_epoch_lists_no_later_one(spark, folder):
         store.load(rows, epoch)
     files = store.log(before=2).inputFiles()
     assert files and not any("epoch=2" in f for f in files)
+
+
+def test_log_of_few_routes_reads_only_their_directories(spark, folder):
+    store = Store(spark, folder)
+    n = (F.col("s") == "s4").cast("string")
+    rows = hot_triples(spark, 3000, 1).withColumns({"backend": F.concat(F.lit("b:"), n), "namespace": F.lit("n")})
+    store.load(rows)
+    store.compact(0)
+    store.load(rows, 1)
+    log = store.log(routes=[("b:true", "n")])
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(backend") == 2
+    assert {r["s"] for r in log.collect()} == {"s4"}
+
+
+def test_a_hot_tenant_is_written_by_several_tasks(spark, folder, conf):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB")
+    rows = hot_triples(spark, 30000, 1).withColumns(
+        {"backend": F.lit("b"), "namespace": F.when(F.col("s") == "s4", "small").otherwise("hot")}
+    )
+    store = Store(spark, folder)
+    store.load(rows)
+    files = store.log().select("namespace", F.input_file_name().alias("file")).distinct()
+    got = {r["namespace"]: r["count"] for r in files.groupBy("namespace").count().collect()}
+    assert got["small"] == 1 and got["hot"] > 3

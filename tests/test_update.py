@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-import ebbsync.plans.update as update
 from conftest import batch, polls, tuples
 from ebbsync.__main__ import main
 from ebbsync.config import UpdaterConfig
@@ -46,9 +45,9 @@ OLD = {(w, q, "old") for w in (1, 2) for q in ("Q1", "Q2", "Q8")}
 CFG = UpdaterConfig(verify=True, dedup_salts=4)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_pass_applies_done_batches_only(spark, sources, store, broadcast_rows):
-    cfg = UpdaterConfig(verify=True, broadcast_rows=broadcast_rows)
+@pytest.mark.parametrize("broadcast_rows, prune_tenants", [(0, 0), (1000, 0), (1000, 1000)])
+def test_pass_applies_done_batches_only(spark, sources, store, broadcast_rows, prune_tenants):
+    cfg = UpdaterConfig(verify=True, broadcast_rows=broadcast_rows, prune_tenants=prune_tenants)
     feed = polls(spark, [batch(1, "Q1,Q8,Q3", A), batch(2, "Q2,Q99", A), batch(3, "Q2", B), batch(4, "Q1", "c.test"), batch(5, "")])
     batches = flatten_batches(feed)
     got = update_pass(batches, sources, store, cfg, 1)
@@ -93,9 +92,10 @@ def test_a_moved_wiki_is_filled_in_its_new_store(spark, sources, store):
 
 
 def test_verify_stops_before_the_acks(spark, sources, store, monkeypatch):
-    monkeypatch.setattr(update, "diff_log", lambda current, log, touched, small: current.limit(0).withColumn("op", F.lit("I")))
+    apply_epoch = Store.apply_epoch
+    monkeypatch.setattr(Store, "apply_epoch", lambda self, changes, epoch: apply_epoch(self, changes.limit(3), epoch))
     with pytest.raises(VerifyError):
-        update_pass(flatten_batches(polls(spark, [batch(1, "Q1", A)])), sources, store, CFG, 1)
+        update_pass(flatten_batches(polls(spark, [batch(1, "Q1,Q2", A)])), sources, store, CFG, 1)
     assert store.acks().isEmpty()
 
 
