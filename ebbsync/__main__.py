@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
     commands = root.add_subparsers(dest="command", required=True)
     service = commands.add_parser("service", parents=[common])
     service.add_argument("--feed", required=True, help="folder that poll files arrive in")
+    service.add_argument("--feed-format", choices=("files", "parquet"), default="files")
     service.add_argument("--state", required=True, help="folder of checkpoints and landed batches")
     service.add_argument("--interval", type=int, default=0, help="seconds between passes")
     service.add_argument("--pass-limit", type=int, default=-1, help="-1 runs without a limit")
@@ -47,6 +48,7 @@ def main(argv: list[str] | None = None) -> int:
         ingress=args.ingress,
         verify=args.verify,
         dump_dir=args.dump_dir,
+        feed_format=getattr(args, "feed_format", "files"),
         interval_s=getattr(args, "interval", 0),
         pass_limit=getattr(args, "pass_limit", -1),
     )

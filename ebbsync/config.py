@@ -36,7 +36,10 @@ class UpdaterConfig:
     days_back: int = DEFAULT_DAYS_BACK
     verify: bool = False
     dump_dir: str | None = None
-    max_files_per_trigger: int = 1000
+    feed_format: str = "files"
+    # Most files a pass takes up; without a limit a backlog is one pass, which
+    # reads the store once instead of many times.
+    max_files_per_trigger: int | None = None
     dedup_horizon: str = "7 days"
     dedup_salts: int = 16
     # Log epochs after which the service writes a new base; 0 never does.

@@ -121,7 +121,8 @@ FEED = [
 
 
 def service(spark, folder, sources, store, **options):
-    cfg = UpdaterConfig(verify=True, max_files_per_trigger=2, dedup_salts=4, **options)
+    options = {"max_files_per_trigger": 2, **options}
+    cfg = UpdaterConfig(verify=True, dedup_salts=4, **options)
     return Updater(spark, f"{folder}/feed", f"{folder}/state", sources, store, cfg)
 
 
@@ -151,6 +152,15 @@ def test_service_works_like_the_batch_passes(spark, sources, store, folder):
     assert live(store) == expected | {(2, "Q3", "new")}
 
 
+def test_a_backlog_in_a_table_is_one_pass(spark, sources, store, folder):
+    polls(spark, *FEED).write.parquet(f"{folder}/feed")
+    service(spark, folder, sources, store, feed_format="parquet", max_files_per_trigger=None).run_available()
+    # Within a pass the last delivery of a batch counts: batch 2 works at once.
+    assert store.acks().select("epoch").distinct().count() == 1
+    assert tuples(store.acks().select("batch_id", "status")) == [(1, "done"), (2, "done"), (3, "done"), (4, "done")]
+    assert {(1, "Q1", "new"), (1, "Q2", "new"), (2, "Q2", "new")} <= live(store)
+
+
 def test_lost_pass_is_replayed(spark, sources, store, folder, monkeypatch):
     write_poll_files(polls(spark, *FEED), f"{folder}/feed")
     updater = service(spark, folder, sources, store)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,6 @@ from ebbsync.functions.sizes import fits
 from ebbsync.operators import acks, feed, metrics, munge, requests, routing, sync
 from ebbsync.plans.update import Sources, failed_batches, run_once, touched_entities
 from ebbsync.session import configure, work_dir
-from ebbsync.sources.feed import write_poll_files
 from ebbsync.sources.store import Store, dump
 from ebbsync.streaming.dedup import dedup_deliveries
 from ebbsync.streaming.updater import Updater
@@ -263,11 +263,12 @@ def run_once_sync(spark, sf_dir):
 
 @query
 def stream_update(spark, sf_dir):
-    feed_dir, state = work_dir(spark, "polls"), work_dir(spark, "service")
-    write_poll_files(tables.feed(spark, sf_dir), feed_dir)
+    state = work_dir(spark, "service")
     store = Store(spark, f"{state}/store")
     store.load(tables.stored(spark, sf_dir), epoch=0)
-    Updater(spark, feed_dir, state, _sources(spark, sf_dir, typed=True), store, CFG).run_available()
+    cfg = replace(CFG, feed_format="parquet")
+    sources = _sources(spark, sf_dir, typed=True)
+    Updater(spark, tables.feed_path(spark, sf_dir), state, sources, store, cfg).run_available()
     return store.current()
 
 
@@ -275,11 +276,9 @@ def stream_update(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     path = work_dir(spark, "dedup")
     events = tables.table(spark, sf_dir, "events")
-    stream = (
-        spark.readStream.schema(events.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .select(F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    # The pattern lets the table be one file or a folder of files.
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*").select(
+        F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type"
     )
     # The whole table repeats each key over its full time span.
     fresh = dedup_deliveries(stream, ("user_id", "event_type"), ts="ts", horizon="3650 days")
