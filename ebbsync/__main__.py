@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ebbsync.config import DEFAULT_NAMESPACES, DEFAULT_SCHEME, UpdaterConfig
 from ebbsync.plans.update import Sources, one_run, run_once
@@ -17,6 +17,10 @@ from ebbsync.streaming.updater import start_updater
 def parser() -> argparse.ArgumentParser:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--tables", required=True, help="folder with the tables wikis, snapshot, current")
+    common.add_argument("--facts", action="store_true", help="read terms, statements, links instead of current")
+    common.add_argument("--langs", default="", help="with --facts: languages of terms to keep, joined by commas")
+    common.add_argument("--single-label", action="store_true", help="with --langs: one term per entity")
+    common.add_argument("--skip-links", action="store_true", help="with --facts: leave out site links")
     common.add_argument("--types", action="store_true", help="also read the table entity_types and filter by it")
     common.add_argument("--store", required=True, help="folder of the store")
     common.add_argument("--namespaces", default=DEFAULT_NAMESPACES)
@@ -39,6 +43,17 @@ def parser() -> argparse.ArgumentParser:
     return root
 
 
+def read_sources(spark: SparkSession, folder: str, cfg: UpdaterConfig, facts: bool, types: bool) -> Sources:
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}")
+
+    entity_types = table("entity_types") if types else None
+    if not facts:
+        return Sources(table("wikis"), table("snapshot"), table("current"), entity_types)
+    names = ("wikis", "snapshot", "terms", "statements", "links")
+    return Sources.from_facts(*[table(name) for name in names], cfg, entity_types)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = configure(SparkSession.builder.appName("ebbsync").getOrCreate())
@@ -46,14 +61,16 @@ def main(argv: list[str] | None = None) -> int:
         namespaces=args.namespaces,
         scheme=args.scheme,
         ingress=args.ingress,
+        langs=tuple(lang for lang in args.langs.split(",") if lang),
+        single_label=args.single_label,
+        skip_links=args.skip_links,
         verify=args.verify,
         dump_dir=args.dump_dir,
         feed_format=getattr(args, "feed_format", "files"),
         interval_s=getattr(args, "interval", 0),
         pass_limit=getattr(args, "pass_limit", -1),
     )
-    names = ["wikis", "snapshot", "current"] + (["entity_types"] if args.types else [])
-    sources = Sources(*[spark.read.parquet(f"{args.tables}/{name}") for name in names])
+    sources = read_sources(spark, args.tables, cfg, args.facts, args.types)
     store = Store(spark, args.store, cfg.max_records_per_file)
     if args.command == "once":
         requests = one_run(spark, args.domain, args.backend, args.namespace, args.ids)

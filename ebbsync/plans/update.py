@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,9 @@ from ebbsync import schemas
 from ebbsync.config import UpdaterConfig
 from ebbsync.functions.sizes import broadcast_if, fits
 from ebbsync.operators.acks import acks, last_delivery, outcomes, unanswered
-from ebbsync.operators.feed import explode_ids
+from ebbsync.operators.feed import explode_ids, pack_batches
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
-from ebbsync.operators.requests import ENTITY, lookup_state
+from ebbsync.operators.requests import ENTITY, lookup_state, resume_point
 from ebbsync.operators.routing import derive_targets, filter_namespaces, namespace_table, resolve_wikis
 from ebbsync.operators.sync import diff_log, touched_subjects
 from ebbsync.sources.store import Store, dump
@@ -27,7 +28,7 @@ ROUTE = ["backend", "namespace"]
 class Sources:
     """Tables a pass reads.
 
-    ``wikis(wiki_id, domain)``, ``snapshot(wiki_id, entity_id, ...)`` of the
+    ``wikis(wiki_id, domain, ...)``, ``snapshot(wiki_id, entity_id, ...)`` of the
     entities that can be fetched, and ``current(wiki_id, s, p, o)``, the triples
     that are true now. With ``entity_types(wiki_id, entity_id, entity_type)``
     requests are filtered by namespace.
@@ -189,7 +190,7 @@ def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: Updater
     with _kept(todo):
         outcome = _apply(todo, explode_ids(todo), sources, store, cfg, epoch)
     store.write_acks(acks(outcome), epoch)
-    return store.acks(before=epoch + 1).filter(F.col("epoch") == epoch)
+    return store.acks_of(epoch)
 
 
 def run_once(requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig = UpdaterConfig()) -> bool:
@@ -206,6 +207,28 @@ def run_once(requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterCo
     return outcome.filter(~F.col("success")).isEmpty()
 
 
+def catch_up(
+    changes: DataFrame,
+    applied: DataFrame,
+    sources: Sources,
+    store: Store,
+    cfg: UpdaterConfig = UpdaterConfig(),
+    start: datetime | None = None,
+) -> bool:
+    """Run the changes since each wiki's resume point, in batches, without a feed.
+
+    ``changes`` has ``(wiki_id, change_id, ts, entity_id)`` and ``applied`` the
+    ``(wiki_id, ts)`` of applied changes; ``sources.wikis`` must carry the routes.
+    """
+    again = resume_point(changes, applied, start, cfg.days_back)
+    packed = pack_batches(again, cfg.batch_size)
+    # A wiki's number and its batch's, side by side in one id.
+    batch_id = F.shiftleft(F.col("wiki_id").cast("bigint"), 32) + F.col("seq")
+    batches = packed.withColumn("batch_id", batch_id).join(sources.wikis, "wiki_id")
+    requests = explode_ids(batches.select("batch_id", "entity_ids", "domain", *ROUTE)).drop("id_pos")
+    return run_once(requests, sources, store, cfg)
+
+
 def one_run(spark: SparkSession, domain: str, backend: str, namespace: str, ids: str) -> DataFrame:
     """The requests of a single run for a CSV of ids."""
     batch = spark.createDataFrame([(0, 0, 0, ids, domain, backend, namespace)], schemas.BATCH)

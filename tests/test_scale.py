@@ -11,7 +11,7 @@ from ebbsync.operators.sync import diff_log, diff_triples
 from ebbsync.sources.store import Store
 
 # Queries whose result is read from what a job wrote; their plan is a scan.
-WRITERS = {"payload_dump", "run_once_sync", "store_apply", "stream_dedup", "stream_update"}
+WRITERS = {"catch_up_sync", "payload_dump", "run_once_sync", "store_apply", "stream_dedup", "stream_update"}
 
 
 def final_plan(df):

@@ -137,3 +137,28 @@ def test_dump_needs_a_path(spark, folder):
     dump(df)
     dump(df, folder)
     assert tuples(spark.read.parquet(folder)) == tuples(df)
+
+
+def test_acks_are_compacted_and_covered_epochs_expire(spark, folder):
+    store = Store(spark, folder)
+    columns = "batch_id BIGINT, poll_seq BIGINT, total BIGINT, failed BIGINT, body STRING, status STRING"
+    for epoch in range(4):
+        store.load(routed(spark, [(1, f"s{epoch}", "p", "1")]), epoch)
+        status = "done" if epoch % 2 else "not_done"
+        store.write_acks(spark.createDataFrame([(epoch, epoch, 1, 0, "{}", status)], columns), epoch)
+    acked, now = tuples(store.acks()), live(store)
+    store.compact(upto=1)
+    store.compact(upto=2)
+    assert tuples(store.acks()) == acked and live(store) == now
+    assert [tuples(store.acks(before=n)) for n in range(5)] == [acked[:n] for n in range(5)]
+    store.expire()
+    assert tuples(store.acks()) == acked and live(store) == now and store.next_epoch() == 4
+    assert list_numbers(spark, store.log_dir, "epoch") == [3]
+    assert list_numbers(spark, store.ack_base_dir, "upto") == [2]
+
+
+def test_expire_needs_a_base(spark, folder):
+    store = Store(spark, folder)
+    store.load(routed(spark, [(1, "s", "p", "1")]))
+    store.expire()
+    assert live(store) == {(1, "s", "p", "1")}

@@ -221,6 +221,13 @@ def test_command_line(spark, sources, store, folder):
     once = ["once", *common, "--domain", A, "--backend", "b.test:1", "--namespace", "n", "--ids"]
     assert main([*once, "Q1"]) == 0
     assert main([*once, "Q1,Q99"]) == 1
+    facts = spark.createDataFrame([(1, "Q2", "en", 1, "two"), (1, "Q2", "de", 2, "zwei")], "wiki_id INT, entity_id STRING, lang STRING, doc_id BIGINT, text STRING")
+    facts.write.parquet(f"{folder}/tables/terms")
+    facts.selectExpr("wiki_id", "entity_id", "'P9' AS p", "text AS o").write.parquet(f"{folder}/tables/statements")
+    facts.selectExpr("wiki_id", "entity_id", "text AS url").write.parquet(f"{folder}/tables/links")
+    assert main([*once, "Q2", "--facts", "--langs", "de,en", "--single-label", "--skip-links"]) == 0
+    assert {o for w, q, o in live(store) if (w, q) == (1, "Q2")} == {"two", "zwei"}
+    assert tuples(store.current().filter("p LIKE 'label%'").select("p", "o")) == [("label@de", "zwei")]
     write_poll_files(polls(spark, [batch(3, "Q2", B)]), f"{folder}/feed")
     assert main(["service", *common, "--feed", f"{folder}/feed", "--state", f"{folder}/state", "--pass-limit", "1"]) == 0
     assert {(1, "Q1", "new"), (2, "Q2", "new")} <= live(store)

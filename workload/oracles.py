@@ -256,6 +256,26 @@ ORACLES = {
             SELECT 'D' AS op, * FROM (SELECT * FROM stored EXCEPT SELECT * FROM truth)
         )
         SELECT op, wiki_id, s, p, o FROM ops SEMI JOIN touched USING (wiki_id, s)""",
+    "catch_up_sync": f"""WITH {CHANGES}, {SIDES},
+        starts AS (
+            SELECT wiki_id, max(ts) AS last_ts FROM changes WHERE status = 'F' AND wiki_id % 5 <> 0 GROUP BY wiki_id
+        ),
+        again AS (
+            SELECT changes.*, (row_number() OVER (PARTITION BY wiki_id ORDER BY ts, change_id) - 1) // 20 AS seq
+            FROM changes LEFT JOIN starts USING (wiki_id)
+            WHERE ts >= coalesce(last_ts, (SELECT max(ts) - INTERVAL 90 DAYS FROM changes))
+        ),
+        good AS (SELECT wiki_id, seq FROM again GROUP BY ALL HAVING bool_and(c_acctbal >= -800)),
+        touched AS (
+            SELECT DISTINCT wiki_id, 'https://' || domain || '/entity/' || entity_id AS s
+            FROM again JOIN good USING (wiki_id, seq) JOIN wikis USING (wiki_id)
+        ),
+        ops AS (
+            SELECT 'I' AS op, * FROM (SELECT * FROM truth EXCEPT SELECT * FROM stored)
+            UNION ALL
+            SELECT 'D' AS op, * FROM (SELECT * FROM stored EXCEPT SELECT * FROM truth)
+        )
+        SELECT op, wiki_id, s, p, o FROM ops SEMI JOIN touched USING (wiki_id, s)""",
     "stream_update": f"""WITH {TYPED_DIFF}
         SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",

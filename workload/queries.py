@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ebbsync.config import UpdaterConfig
 from ebbsync.functions.sizes import fits
 from ebbsync.operators import acks, feed, metrics, munge, requests, routing, sync
-from ebbsync.plans.update import Sources, failed_batches, run_once, touched_entities
+from ebbsync.plans.update import Sources, catch_up, failed_batches, run_once, touched_entities
 from ebbsync.session import configure, work_dir
 from ebbsync.sources.store import Store, dump
 from ebbsync.streaming.dedup import dedup_deliveries
@@ -261,6 +261,15 @@ def run_once_sync(spark, sf_dir):
     return store.log().filter("epoch = 1").select("op", "wiki_id", "s", "p", "o")
 
 
+@query
+def catch_up_sync(spark, sf_dir):
+    """The changes since each wiki's resume point, run in batches; returns the store's changes."""
+    store = Store(spark, work_dir(spark, "store"))
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    catch_up(tables.changes(spark, sf_dir), tables.applied(spark, sf_dir), _sources(spark, sf_dir), store, CFG)
+    return store.log().filter("epoch = 1").select("op", "wiki_id", "s", "p", "o")
+
+
 @query
 def stream_update(spark, sf_dir):
     state = work_dir(spark, "service")
