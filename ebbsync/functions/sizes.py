@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows. Runs a job; persist ``df`` first."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows. Runs a job, which also fills a persisted ``df``.
+
+    A plain count, since a limit would send that many rows of every partition
+    to one task.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

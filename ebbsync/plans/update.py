@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from ebbsync.sources.store import Store, dump
 
 ROUTE = ["backend", "namespace"]
 
+Result = TypeVar("Result")
+
 
 @dataclass(frozen=True)
 class Sources:
@@ -133,10 +136,15 @@ def _kept(*frames: DataFrame) -> Iterator[None]:
 
 
 def _apply(
-    batches: DataFrame, requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int
-) -> DataFrame:
-    """Sync the requested entities as one epoch and return the outcome per batch."""
-    spark = store.spark
+    batches: DataFrame,
+    requests: DataFrame,
+    sources: Sources,
+    store: Store,
+    cfg: UpdaterConfig,
+    epoch: int,
+    finish: Callable[[DataFrame], Result],
+) -> Result:
+    """Sync the requested entities as one epoch, then give the outcome per batch to ``finish``."""
     routes = last_routes(resolve_wikis(batches, sources.wikis))
     few = fits(requests.select("entity_id"), cfg.broadcast_rows)
     with _kept(routes):
@@ -159,19 +167,17 @@ def _apply(
         failed = failed_batches(looked_up)
         with _kept(looked_up):
             dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
-            few_failed = fits(failed, cfg.broadcast_rows)
+            # Neither can have more rows than there are requests.
+            few_failed = few or fits(failed, cfg.broadcast_rows)
             touched = touched_subjects(touched_entities(looked_up, failed, few_failed), sources.wikis)
             with _kept(touched):
-                small = fits(touched, cfg.broadcast_rows)
+                small = few or fits(touched, cfg.broadcast_rows)
                 current = of_routes(sources.current, ["wiki_id"])
                 changes = diff_log(current, log(epoch), touched, small)
                 store.apply_epoch(changes.join(broadcast_if(routes, few_routes), "wiki_id"), epoch)
                 if cfg.verify and not diff_log(current, log(epoch + 1), touched, small).isEmpty():
                     raise VerifyError(f"epoch {epoch} left subjects that differ from the sources")
-            outcome = outcomes(batches, looked_up).select("batch_id", "poll_seq", "total", "failed", "success")
-            path = f"{store.root}/outcomes/epoch={epoch}"
-            outcome.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+            return finish(outcomes(batches, looked_up))
 
 
 def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int) -> DataFrame:
@@ -188,8 +194,10 @@ def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: Updater
     answered = _narrowed(store.acks(before=epoch), batches, ["batch_id"], few)
     todo = unanswered(delivered, answered)
     with _kept(todo):
-        outcome = _apply(todo, explode_ids(todo), sources, store, cfg, epoch)
-    store.write_acks(acks(outcome), epoch)
+        _apply(
+            todo, explode_ids(todo), sources, store, cfg, epoch,
+            finish=lambda outcome: store.write_acks(acks(outcome), epoch),
+        )
     return store.acks_of(epoch)
 
 
@@ -203,8 +211,10 @@ def run_once(requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterCo
     """
     ordered = requests.withColumns({"poll_seq": F.lit(0).cast("bigint"), "batch_pos": F.lit(0)})
     runs = ordered.select("batch_id", "poll_seq", "batch_pos", "domain", *ROUTE).distinct()
-    outcome = _apply(runs, ordered, sources, store, cfg, store.next_epoch())
-    return outcome.filter(~F.col("success")).isEmpty()
+    return _apply(
+        runs, ordered, sources, store, cfg, store.next_epoch(),
+        finish=lambda outcome: outcome.filter(~F.col("success")).isEmpty(),
+    )
 
 
 def catch_up(
@@ -220,7 +230,8 @@ def catch_up(
     ``changes`` has ``(wiki_id, change_id, ts, entity_id)`` and ``applied`` the
     ``(wiki_id, ts)`` of applied changes; ``sources.wikis`` must carry the routes.
     """
-    again = resume_point(changes, applied, start, cfg.days_back)
+    few_wikis = fits(applied.select("wiki_id").distinct(), cfg.broadcast_rows)
+    again = resume_point(changes, applied, start, cfg.days_back, few_wikis)
     packed = pack_batches(again, cfg.batch_size)
     # A wiki's number and its batch's, side by side in one id.
     batch_id = F.shiftleft(F.col("wiki_id").cast("bigint"), 32) + F.col("seq")
