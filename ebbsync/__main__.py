@@ -70,11 +70,14 @@ def main(argv: list[str] | None = None) -> int:
         interval_s=getattr(args, "interval", 0),
         pass_limit=getattr(args, "pass_limit", -1),
     )
-    sources = read_sources(spark, args.tables, cfg, args.facts, args.types)
+
+    def sources() -> Sources:
+        return read_sources(spark, args.tables, cfg, args.facts, args.types)
+
     store = Store(spark, args.store, cfg.max_records_per_file)
     if args.command == "once":
         requests = one_run(spark, args.domain, args.backend, args.namespace, args.ids)
-        return 0 if run_once(requests, sources, store, cfg) else 1
+        return 0 if run_once(requests, sources(), store, cfg) else 1
     for started in start_updater(spark, args.feed, args.state, sources, store, cfg):
         started.awaitTermination()
     return 0

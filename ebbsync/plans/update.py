@@ -31,7 +31,7 @@ Result = TypeVar("Result")
 class Sources:
     """Tables a pass reads.
 
-    ``wikis(wiki_id, domain, ...)``, ``snapshot(wiki_id, entity_id, ...)`` of the
+    ``wikis(wiki_id, domain, ...)`` with one row per wiki, ``snapshot(wiki_id, entity_id, ...)`` of the
     entities that can be fetched, and ``current(wiki_id, s, p, o)``, the triples
     that are true now. With ``entity_types(wiki_id, entity_id, entity_type)``
     requests are filtered by namespace.

@@ -8,6 +8,7 @@ from conftest import SF_DIR
 from ebbsync.operators.feed import feed_positions
 from ebbsync.operators.requests import latest_per_entity, lookup_state
 from ebbsync.operators.sync import diff_log, diff_triples
+from ebbsync.plans.update import Sources
 from ebbsync.sources.store import Store
 
 # Queries whose result is read from what a job wrote; their plan is a scan.
@@ -157,3 +158,14 @@ def test_a_hot_tenant_is_written_by_several_tasks(spark, folder, conf):
     files = store.log().select("namespace", F.input_file_name().alias("file")).distinct()
     got = {r["namespace"]: r["count"] for r in files.groupBy("namespace").count().collect()}
     assert got["small"] == 1 and got["hot"] > 3
+
+
+def test_sources_of_few_wikis_are_read_in_part(spark, folder):
+    table = hot_triples(spark, 300, 1).withColumn("wiki_id", (F.length("o") + F.length("s")).cast("int"))
+    table.write.partitionBy("wiki_id").parquet(folder)
+    table = spark.read.parquet(folder)
+    wikis = spark.createDataFrame([(34, "a.test")], "wiki_id INT, domain STRING")
+    sources = Sources(wikis, table.withColumnRenamed("s", "entity_id"), table).only([34])
+    plan = sources.current._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(wiki_id" in plan
+    assert [r[0] for r in sources.current.select("wiki_id").distinct().collect()] == [34]

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +194,39 @@ def test_pass_limit_of_the_service(spark, sources, store, folder):
     assert tuples(store.acks().select("batch_id", "status")) == [(1, "done"), (2, "not_done")]
 
 
+def test_running_service_sees_new_polls_and_rewritten_tables(spark, sources, store, folder):
+    def publish(value):
+        rows = sources.current.withColumn("o", F.lit(value)).collect()
+        spark.createDataFrame(rows, TRIPLE).write.mode("overwrite").partitionBy("wiki_id").parquet(f"{folder}/current")
+
+    def read():
+        table = spark.read.schema("s STRING, p STRING, o STRING, wiki_id INT").parquet(f"{folder}/current")
+        return Sources(sources.wikis, sources.snapshot, table)
+
+    def poll(number, *batches):
+        body = spark.createDataFrame([(number, json.dumps(batches))], "poll_seq BIGINT, body STRING")
+        write_poll_files(body, f"{folder}/feed/{number}")
+
+    publish("v1")
+    poll(0, batch(1, "Q1", A))
+    landing, updating = start_updater(spark, f"{folder}/feed", f"{folder}/state", read, store, CFG)
+    try:
+        landing.processAllAvailable()
+        updating.processAllAvailable()
+        assert (1, "Q1", "v1") in live(store)
+        assert landing.lastProgress["sink"]["description"].startswith("FileSink")
+        publish("v2")
+        poll(1, batch(2, "Q1,Q3", A), {"id": 3})
+        landing.processAllAvailable()
+        updating.processAllAvailable()
+        assert {(1, "Q1", "v2"), (1, "Q3", "v2")} <= live(store) and (1, "Q1", "v1") not in live(store)
+        counts = [p.observedMetrics["landing"].asDict() for p in landing.recentProgress if p.observedMetrics]
+        assert {"rows": 2, "batches": 1, "set_aside": 1} in counts
+    finally:
+        landing.stop()
+        updating.stop()
+
+
 def test_triggers():
     assert trigger_for(UpdaterConfig(interval_s=3)) == {"processingTime": "3 seconds"}
     assert trigger_for(UpdaterConfig(interval_s=0)) == {"processingTime": "0 seconds"}
