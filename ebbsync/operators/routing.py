@@ -41,10 +41,11 @@ def resolve_wikis(batches: DataFrame, wikis: DataFrame) -> DataFrame:
 
 def namespace_table(spark: SparkSession, cfg: UpdaterConfig = UpdaterConfig()) -> DataFrame:
     """``(entity_type, ns, slot)`` of the configured ``<namespace>/<slot>`` values."""
-    rows = F.array(
-        *[F.struct(F.lit(kind).alias("entity_type"), F.lit(slot).alias("ns_slot")) for kind, slot in cfg.namespace_slots]
-    )
-    return spark.range(1).select(F.inline(rows)).select(
+    rows = [
+        F.struct(F.lit(kind).alias("entity_type"), F.lit(slot).alias("ns_slot"))
+        for kind, slot in cfg.namespace_slots
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows))).select(
         "entity_type",
         F.split_part("ns_slot", F.lit("/"), F.lit(1)).try_cast("int").alias("ns"),
         F.split_part("ns_slot", F.lit("/"), F.lit(2)).alias("slot"),

@@ -85,7 +85,9 @@ def diff_deletes(current: DataFrame, stored: DataFrame, touched: DataFrame, touc
     return diff_triples(current, stored, touched, touched_small).filter("op = 'D'").select(*TRIPLE)
 
 
-def verify_applied(expected: DataFrame, stored: DataFrame, touched: DataFrame, touched_small: bool = False) -> DataFrame:
+def verify_applied(
+    expected: DataFrame, stored: DataFrame, touched: DataFrame, touched_small: bool = False
+) -> DataFrame:
     """Missing and extra triples per touched subject; no rows when the store is right."""
     return (
         diff_triples(expected, stored, touched, touched_small)

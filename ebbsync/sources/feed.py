@@ -19,7 +19,7 @@ def read_polls(
     streaming: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
-    """Poll responses as ``(poll_seq, body, landed_at)``.
+    """Poll responses as ``(poll_seq, body)``, in a stream with ``landed_at``.
 
     ``files`` has one response per file, numbered by its path. ``parquet`` is a
     table of responses, the shape for feeds too long for one file per poll.
@@ -28,9 +28,9 @@ def read_polls(
     reader = spark.readStream if streaming else spark.read
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    landed_at = F.col("_metadata.file_modification_time").alias("landed_at")
+    landed_at = [F.col("_metadata.file_modification_time").alias("landed_at")] if streaming else []
     if fmt == "parquet":
-        return reader.schema(schemas.POLL).parquet(path).select("poll_seq", "body", landed_at)
+        return reader.schema(schemas.POLL).parquet(path).select("poll_seq", "body", *landed_at)
     if fmt != "files":
         raise ValueError(f"unknown feed format {fmt!r}")
     number = F.regexp_extract(F.col("_metadata.file_path"), POLL_NUMBER, 1)
@@ -38,7 +38,7 @@ def read_polls(
         F.raise_error(F.concat(F.lit("no poll number in "), F.col("_metadata.file_path"))).cast("bigint")
     )
     return reader.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
-        numbered.alias("poll_seq"), F.col("value").alias("body"), landed_at
+        numbered.alias("poll_seq"), F.col("value").alias("body"), *landed_at
     )
 
 
