@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbsync.functions.json import array_items, integer, is_blank, scalar_text
 from ebbsync.functions.sizes import broadcast_if, fits
-from ebbsync.session import work_dir
+from ebbsync.session import work_dir, written
 
 # Where a batch of the feed holds each field.
 ID_PATH = "$.id"
@@ -114,27 +114,24 @@ def feed_positions(changes: DataFrame, order: list[str], max_broadcast_rows: int
     the length of the wiki's earlier pieces; that table has one row per wiki and
     piece. ``order`` must be unique within a wiki.
 
-    The ranged rows are written to a table in the shared folder: both uses of
-    them have to see the same pieces. The range exchange therefore runs when
-    this function is called.
+    The ranged rows and the pieces are written to tables in the shared folder,
+    since both uses of the rows have to see the same pieces. The range exchange
+    therefore runs when this function is called.
     """
     spark = changes.sparkSession
     keys = ["wiki_id", *order]
-    path = work_dir(spark, "ranged")
-    (
+    numbered = (
         changes.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("row_no", F.monotonically_increasing_id())
-        .write.parquet(path)
     )
     # The upper 31 bits of the generated id are the partition.
-    ranged = spark.read.parquet(path).withColumn("piece", F.shiftright("row_no", 33))
-    pieces = ranged.groupBy("wiki_id", "piece").agg(
+    ranged = written(numbered, work_dir(spark, "ranged")).withColumn("piece", F.shiftright("row_no", 33))
+    lengths = ranged.groupBy("wiki_id", "piece").agg(
         F.min("row_no").alias("first_row"), F.count(F.lit(1)).alias("length")
-    ).persist()
-    earlier = Window.partitionBy("wiki_id").orderBy("piece").rowsBetween(
-        Window.unboundedPreceding, -1
     )
+    pieces = written(lengths, work_dir(spark, "pieces"))
+    earlier = Window.partitionBy("wiki_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         "wiki_id",
         "piece",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import TypeVar
@@ -20,6 +19,7 @@ from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs
 from ebbsync.operators.requests import ENTITY, lookup_state, resume_point
 from ebbsync.operators.routing import derive_targets, filter_namespaces, namespace_table, resolve_wikis
 from ebbsync.operators.sync import diff_log, touched_subjects
+from ebbsync.session import scratch_table
 from ebbsync.sources.store import Store, dump
 
 ROUTE = ["backend", "namespace"]
@@ -123,18 +123,6 @@ def _narrowed(table: DataFrame, keys: DataFrame, on: Sequence[str], small: bool)
     return table.join(F.broadcast(keys.select(*on).distinct()), list(on), "left_semi")
 
 
-@contextmanager
-def _kept(*frames: DataFrame) -> Iterator[None]:
-    """Persist frames that several jobs of a pass use."""
-    for frame in frames:
-        frame.persist()
-    try:
-        yield
-    finally:
-        for frame in frames:
-            frame.unpersist()
-
-
 def _apply(
     batches: DataFrame,
     requests: DataFrame,
@@ -147,7 +135,7 @@ def _apply(
     """Sync the requested entities as one epoch, then give the outcome per batch to ``finish``."""
     routes = last_routes(resolve_wikis(batches, sources.wikis))
     few = fits(requests.select("entity_id"), cfg.broadcast_rows)
-    with _kept(routes):
+    with scratch_table(routes, "routes") as routes:
         # A pass over few wikis reads only their part of the tables and the log.
         tenants = routes.limit(cfg.prune_tenants + 1).collect()
         pruned = len(tenants) <= cfg.prune_tenants
@@ -163,14 +151,14 @@ def _apply(
             return of_routes(rows, ["wiki_id", *ROUTE])
 
         requests = allowed_requests(requests, sources, cfg, few)
-        looked_up = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
-        failed = failed_batches(looked_up)
-        with _kept(looked_up):
+        lookup = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
+        # Outcomes and touched subjects must rest on the same lookup.
+        with scratch_table(lookup, "lookup") as looked_up:
             dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
-            # Neither can have more rows than there are requests.
-            few_failed = few or fits(failed, cfg.broadcast_rows)
-            touched = touched_subjects(touched_entities(looked_up, failed, few_failed), sources.wikis)
-            with _kept(touched):
+            # Few requests mean few failed batches and few touched subjects.
+            failed = failed_batches(looked_up)
+            entities = touched_entities(looked_up, failed, few or fits(failed, cfg.broadcast_rows))
+            with scratch_table(touched_subjects(entities, sources.wikis), "touched") as touched:
                 small = few or fits(touched, cfg.broadcast_rows)
                 current = of_routes(sources.current, ["wiki_id"])
                 changes = diff_log(current, log(epoch), touched, small)
@@ -192,8 +180,7 @@ def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: Updater
     delivered = last_delivery(batches)
     few = fits(batches, cfg.broadcast_rows)
     answered = _narrowed(store.acks(before=epoch), batches, ["batch_id"], few)
-    todo = unanswered(delivered, answered)
-    with _kept(todo):
+    with scratch_table(unanswered(delivered, answered), "todo") as todo:
         _apply(
             todo, explode_ids(todo), sources, store, cfg, epoch,
             finish=lambda outcome: store.write_acks(acks(outcome), epoch),
@@ -210,11 +197,12 @@ def run_once(requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterCo
     a service updates the same store.
     """
     ordered = requests.withColumns({"poll_seq": F.lit(0).cast("bigint"), "batch_pos": F.lit(0)})
-    runs = ordered.select("batch_id", "poll_seq", "batch_pos", "domain", *ROUTE).distinct()
-    return _apply(
-        runs, ordered, sources, store, cfg, store.next_epoch(),
-        finish=lambda outcome: outcome.filter(~F.col("success")).isEmpty(),
-    )
+    with scratch_table(ordered, "requests") as ordered:
+        runs = ordered.select("batch_id", "poll_seq", "batch_pos", "domain", *ROUTE).distinct()
+        return _apply(
+            runs, ordered, sources, store, cfg, store.next_epoch(),
+            finish=lambda outcome: outcome.filter(~F.col("success")).isEmpty(),
+        )
 
 
 def catch_up(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # Skewed tenants and subjects are split at run time, even where the split
@@ -49,3 +51,25 @@ def shared_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_root(spark)}/ebbsync/{name}-{uuid.uuid4().hex}"
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table at ``path``: computed once, and kept when executors are lost."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder that is deleted afterwards."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    try:
+        yield written(df, path)
+    finally:
+        delete_dir(spark, path)
