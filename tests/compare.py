@@ -13,6 +13,11 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     for name in TABLES:
@@ -40,3 +45,11 @@ def sql_rows(con, sql):
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
     return sorted(columns), rows_of(columns, cursor.fetchall())
+
+
+def spark_types(df):
+    return {f.name: SQL_TYPES.get(f.dataType.simpleString()) for f in df.schema}
+
+
+def sql_types(con, sql):
+    return {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}

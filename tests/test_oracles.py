@@ -1,7 +1,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from compare import duck, spark_rows, sql_rows
+from compare import duck, spark_rows, spark_types, sql_rows, sql_types
 from conftest import SF_DIR
 
 
@@ -16,7 +16,9 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_agrees_with_sql(spark, con, name):
-    columns, rows = spark_rows(queries()[name](spark, SF_DIR))
+    result = queries()[name](spark, SF_DIR)
+    assert spark_types(result) == sql_types(con, oracle_sql()[name])
+    columns, rows = spark_rows(result)
     expected_columns, expected = sql_rows(con, oracle_sql()[name])
     assert columns == expected_columns
     assert len(rows) == len(expected)
