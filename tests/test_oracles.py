@@ -1,6 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 from compare import duck, spark_rows, spark_types, sql_rows, sql_types
 from conftest import SF_DIR
 
@@ -11,15 +13,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    result = queries()[name](spark, SF_DIR)
-    assert spark_types(result) == sql_types(con, oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    assert spark_types(result) == sql_types(con, ORACLES[name])
     columns, rows = spark_rows(result)
-    expected_columns, expected = sql_rows(con, oracle_sql()[name])
+    expected_columns, expected = sql_rows(con, ORACLES[name])
     assert columns == expected_columns
     assert len(rows) == len(expected)
     assert rows == expected
