@@ -7,7 +7,7 @@ probability of being good under those estimates. The posterior replaces the
 usual demand that every rule pass.
 
 The votes of all documents are first counted by pattern. There are at most
-``3 ** len(RULES)`` patterns however many documents there are, so the estimation
+``3 ** N_RULES`` patterns however many documents there are, so the estimation
 runs over one row of counts, as an expression.
 
 Defined results: a null or empty text has no words, fails the base rule and is
@@ -41,6 +41,7 @@ PRIOR_GOOD = 0.8
 #: tell a defect that comes without others from a trait of good texts; this bound does.
 MAX_FALSE_ALARM = 0.001
 KEEP_FROM = 0.5
+N_RULES = 7
 
 
 def _repeated_words(tokens: Column) -> Column:
@@ -132,9 +133,6 @@ def rules() -> list[Column]:
     ]
 
 
-N_RULES = len(rules())
-
-
 @dataclass(frozen=True)
 class VoteModel:
     """``good`` is the share of good documents; ``shares[k][j][v]`` how often rule ``j`` votes ``v`` on class ``k``."""
