@@ -62,3 +62,53 @@ shared AS (
 SELECT DISTINCT doc_id, item_id, n_item, n_shared
 FROM shared JOIN sizes USING (item_id, text) WHERE 10 * n_shared >= 8 * n_item
 """
+
+_CANON = r"""
+  regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), ':(80|443)$', ''), '^www\.', '')
+  || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/$', '')
+  || CASE WHEN regexp_extract(bare, '\?(.*)$', 1) = '' THEN ''
+     ELSE '?' || array_to_string(list_sort(string_split(regexp_extract(bare, '\?(.*)$', 1), '&')), '&') END"""
+
+ORACLES["op4_revisits"] = rf"""
+WITH pages_at AS (
+  SELECT page_id, 1700000000 + page_id * 7 AS seen, html,
+    regexp_replace(regexp_replace(trim(url, ' '), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
+visits AS (
+  SELECT page_id, seen, html, {_CANON} AS url, '"' || substr(md5(html), 1, 16) || '"' AS etag FROM pages_at),
+again AS (
+  SELECT page_id, url, seen + 86400 AS seen, CASE WHEN page_id % 10 = 3 THEN '"changed"' ELSE etag END AS etag FROM visits),
+latest AS (
+  SELECT a.page_id, a.etag, v.page_id AS source, v.etag AS stored, v.html
+  FROM again a JOIN visits v ON a.url = v.url AND v.seen < a.seen
+  QUALIFY row_number() OVER (PARTITION BY a.page_id ORDER BY v.seen DESC, v.page_id DESC) = 1),
+judged AS (SELECT *, etag = stored AS same FROM latest)
+SELECT page_id, CASE WHEN same THEN 'resolved' ELSE 'mismatch' END AS status,
+  CASE WHEN same THEN source END AS refers_to, 'W/' || etag AS etag,
+  CASE WHEN same THEN 'text/html' ELSE 'text/plain' END AS content_type, 'max-age=60' AS cache_control,
+  (page_id % 100)::VARCHAR AS age, CASE WHEN same THEN 5 ELSE 4 END::BIGINT AS n_headers,
+  CASE WHEN same THEN strlen(html) END AS payload_bytes, CASE WHEN same THEN md5(html) END AS payload_md5
+FROM judged
+"""
+
+ORACLES["op9_perspectives"] = r"""
+WITH plain AS (
+  SELECT conv_id, turn, turn IS NOT NULL AS placed, coalesce(floor(turn / 256), 0)::BIGINT AS part,
+    coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM plain WHERE speaker <> 'system'),
+views AS (
+  SELECT conv_id, perspective FROM people
+  UNION ALL SELECT DISTINCT conv_id, NULL FROM plain WHERE conv_id NOT IN (SELECT conv_id FROM people)),
+shown AS (
+  SELECT p.*, perspective, speaker IS NOT DISTINCT FROM perspective AS own,
+    '<|im_start|>' || CASE WHEN speaker IS NOT DISTINCT FROM perspective THEN 'assistant'
+      WHEN speaker = 'system' THEN 'system' ELSE 'user:' || speaker END || chr(10) AS head
+  FROM plain p JOIN views USING (conv_id)),
+placed_at AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 11) OVER (PARTITION BY conv_id, perspective, placed, part
+    ORDER BY turn, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM shown)
+SELECT conv_id, perspective, CASE WHEN placed THEN part END AS part, count(*) AS n_turns,
+  string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY turn, speaker, body) AS text,
+  coalesce(string_agg((pos + length(head))::VARCHAR || '-' || (pos + length(head) + length(body) + 10)::VARCHAR, ','
+    ORDER BY turn, speaker, body) FILTER (own), '') AS mask
+FROM placed_at GROUP BY conv_id, perspective, placed, part
+"""

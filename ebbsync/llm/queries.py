@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbsync.llm import decontaminate, mixing, quality_rules, token_store
+from ebbsync.llm import (
+    classifier,
+    ctw,
+    decontaminate,
+    mixing,
+    perspectives,
+    quality_rules,
+    token_counts,
+    token_store,
+    warc,
+)
 from ebbsync.llm.order_minhash import NearDuplicates
 from ebbsync.session import configure, work_dir, written
 
@@ -30,6 +40,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_quality_classifier(spark, sf_dir):
+    return classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_mix_sources(spark, sf_dir):
     sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
@@ -39,6 +54,58 @@ def op2_mix_sources(spark, sf_dir):
     )
 
 
+@query
+def op3_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def crawl_of(pages: DataFrame) -> DataFrame:
+    """WARC records of two visits to every page: a full response, and a day later a 304.
+
+    Every tenth page answers the second visit with another ETag, and addresses vary as crawls see them.
+    """
+    etag = F.concat(F.lit('"'), F.substring(F.md5(F.col("html").cast("binary")), 1, 16), F.lit('"'))
+    other = F.when(F.col("page_id") % 10 == 3, F.lit('"changed"')).otherwise(etag)
+    at = F.lit(1_700_000_000) + F.col("page_id") * 7
+
+    def date(seconds):
+        return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    def head(*lines):
+        return F.concat_ws(warc.CRLF, *lines)
+
+    full = warc.render(
+        F.lit("response"), F.concat(F.lit("r-"), "page_id"), F.col("url"), date(at),
+        head(F.lit("HTTP/1.1 200 OK"), F.lit("Content-Type: text/html"), F.concat(F.lit("ETag: "), etag),
+             F.concat(F.lit("Content-Length: "), F.octet_length("html")), F.lit("Cache-Control: no-cache")),
+        F.col("html"),
+    )
+    again = warc.render(
+        F.lit("revisit"), F.concat(F.lit("v-"), "page_id"),
+        F.concat(F.regexp_replace("url", "^http:", "HTTPS:"), F.lit("#again")), date(at + 86_400),
+        head(F.lit("HTTP/1.1 304 Not Modified"), F.lit("Content-Type: text/plain"), F.concat(F.lit("ETag: W/"), other),
+             F.lit("Cache-Control: max-age=60"), F.concat(F.lit("Age: "), F.col("page_id") % 100)),
+        F.lit(""),
+    )
+    return pages.select(F.explode(F.array(full, again)).alias("raw"))
+
+
+@query
+def op4_revisits(spark, sf_dir):
+    records = warc.parse(crawl_of(table(spark, sf_dir, "pages")))
+    resolved = warc.resolve(records)
+    header = {n: F.try_element_at("headers", F.lit(n)) for n in ("etag", "content-type", "cache-control", "age")}
+    return resolved.select(
+        F.regexp_replace("record_id", "^v-", "").cast("bigint").alias("page_id"),
+        "status",
+        F.regexp_replace("refers_to", "^r-", "").cast("bigint").alias("refers_to"),
+        *(value.alias(name.replace("-", "_")) for name, value in header.items()),
+        F.size("headers").cast("bigint").alias("n_headers"),
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.md5(F.col("payload").cast("binary")).alias("payload_md5"),
+    )
+
+
 @query
 def op5_token_store(spark, sf_dir):
     path = work_dir(spark, "tokens")
@@ -48,6 +115,11 @@ def op5_token_store(spark, sf_dir):
     return token_store.read_index(spark, path)
 
 
+@query
+def op6_language_model(spark, sf_dir):
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark, sf_dir):
     traits = quality_rules.measure(table(spark, sf_dir, "documents")).select("row.doc_id", "*").drop("row")
@@ -63,6 +135,13 @@ def op8_decontaminate(spark, sf_dir):
     return leaks.select("doc_id", "item_id", "n_item", "n_shared").distinct()
 
 
+@query
+def op9_perspectives(spark, sf_dir):
+    rotated = perspectives.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda span: F.concat_ws("-", span["start"], span["end"]))
+    return rotated.withColumn("mask", F.array_join(spans, ","))
+
+
 @query
 def op10_near_duplicates(spark, sf_dir):
     return NearDuplicates(table(spark, sf_dir, "documents")).members().select("doc_id", "class_id")
