@@ -13,10 +13,10 @@ diagonals: with ``m`` aligned shingles of ``a`` and ``b``, their similarity is
 connected components.
 
 Equal texts are one node from the start, so a group of copies costs one sketch.
-Within a bucket each node is compared with the least one. Where a comparison
-fails, the nodes that are still in other components are compared with each other,
-so a group of near copies costs a comparison per member, and yet no two texts of
-a bucket end apart without having been compared.
+Within a bucket each node is compared with one, the leader. Where nodes of a
+bucket stay in different components, they meet again in finer buckets and are
+compared with two nodes of each. So a group of near copies costs a number of
+comparisons per member and not its square.
 
 Defined results: null and empty texts are equal texts without shingles. A text of
 one to four words has one shingle. A class is named by its least ``doc_id``
@@ -185,6 +185,23 @@ def _kept_schema(df: DataFrame, *names: str) -> str:
     return ", ".join(f"{n} {df.schema[n].dataType.simpleString()}" for n in names)
 
 
+def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def _band_pairs(bands: str) -> Column:
+    """A bucket for every two bands."""
+    at = F.lit(BANDS - 1)
+    return F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), at - 1),
+            lambda i: F.transform(
+                F.sequence(i + 1, at), lambda j: F.xxhash64(i, j, F.get(F.col(bands), i), F.get(F.col(bands), j))
+            ),
+        )
+    ).alias("fine")
+
+
 class NearDuplicates:
     """The classes of one table of documents. Intermediate tables go to the shared folder."""
 
@@ -202,11 +219,19 @@ class NearDuplicates:
         return written(df, work_dir(self.spark, name))
 
     def _members(self) -> DataFrame:
-        """Nodes of every bucket that has more than one, with the bucket's least node."""
+        """Nodes of every bucket that has more than one, with the bucket's leader.
+
+        The leader is the node that meets most others in all its buckets: in a
+        group of copies that is one near their common origin, which is similar to
+        more of them than any other.
+        """
         placed = self.nodes.select("id", F.posexplode("bands").alias("band", "bucket"))
-        leaders = placed.groupBy("band", "bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n"))
-        shared = leaders.filter("n > 1").drop("n")
-        return placed.join(shared, ["band", "bucket"])
+        shared = placed.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        shared = self._table(placed.join(shared, ["band", "bucket"]), "shared")
+        met = shared.groupBy("id").agg(F.sum("n").alias("met"))
+        shared = self._table(shared.drop("n").join(met, "id"), "met")
+        leader = F.min(F.struct(-F.col("met"), "id"))["id"].alias("leader")
+        return shared.join(shared.groupBy("band", "bucket").agg(leader), ["band", "bucket"])
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose texts are similar enough."""
@@ -226,30 +251,36 @@ class NearDuplicates:
     def _classes(self) -> DataFrame:
         """The least node of each linked node's class."""
         members = self._table(self._members(), "members")
-        first = members.filter("leader < id").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        first = _pairs(members, "leader", "id")
         links = self._table(self._verified(first), "links")
         labels = components(links, "a", "b")
-        apart = self._still_apart(members, labels)
-        more = self._table(self._verified(apart), "links")
+        more = self._table(self._verified(self._still_apart(members, labels)), "links")
         if more.isEmpty():
             return labels
         return components(links.unionByName(more), "a", "b")
 
     def _still_apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of a bucket that are in different components and have not been compared.
+        """Pairs to compare in buckets whose nodes are in more than one component.
 
-        Those are pairs with at least one node that is not in its leader's component.
+        Their nodes meet again in finer buckets, one for every two bands, and are
+        compared with the leader of each and with its least met node, where those
+        are in another component.
         """
-        of = labels.select(F.col("id"), F.col("label"))
-        labelled = members.join(of, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        leads = of.select(F.col("id").alias("leader"), F.col("label").alias("lead_label"))
-        labelled = labelled.join(leads, "leader", "left").withColumn("lead_label", F.coalesce("lead_label", "leader"))
-        labelled = self._table(labelled.filter("id != leader"), "labelled")
-        out = labelled.filter("label != lead_label")
-        x = out.select("band", "bucket", F.col("id").alias("x"), F.col("label").alias("x_label"))
-        y = labelled.select("band", "bucket", F.col("id").alias("y"), F.col("label").alias("y_label"))
-        pairs = x.join(y, ["band", "bucket"]).filter("x_label != y_label")
-        return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        labelled = members.select("id", "band", "bucket", "met").join(labels, "id", "left")
+        labelled = self._table(labelled.withColumn("label", F.coalesce("label", "id")), "labelled")
+        mixed = labelled.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        apart = labelled.join(mixed.filter("low < high"), ["band", "bucket"]).select("id", "label", "met").distinct()
+        fine = apart.join(self.nodes.select("id", "bands"), "id").select("id", "label", "met", _band_pairs("bands"))
+        fine = self._table(fine.select("id", "label", "met", F.explode("fine").alias("bucket")), "fine")
+        ends = fine.groupBy("bucket").agg(
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.min(F.struct((-F.col("met")).alias("met"), "id", "label")).alias("most"),
+            F.min(F.struct("met", "id", "label")).alias("least"),
+        )
+        ends = ends.filter("low < high").select("bucket", F.explode(F.array("most", "least")).alias("end"))
+        met = fine.join(ends, "bucket").filter("label != end.label")
+        return _pairs(met.select("id", F.col("end.id").alias("end")), "id", "end")
 
     def members(self) -> DataFrame:
         """One row per document: ``doc_id``, ``key`` of its text, and ``class_id``."""
