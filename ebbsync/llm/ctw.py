@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from math import log, pi
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,13 +39,16 @@ from ebbsync.llm.hashing import WordHashes
 from ebbsync.session import work_dir, written
 
 DEPTH = 5
-CHUNK_BYTES = 32_000_000
-_SLICE_BYTES = 4_000_000
+CHUNK_BYTES = 24_000_000
+_SLICE_BYTES = 1_000_000
 #: Distinct keys that a task holds before it passes their counts on.
-_HELD_KEYS = 3_000_000
+_HELD_KEYS = 2_500_000
+_PENDING_KEYS = 1_000_000
 END = b"\n"
 _PAD = END * DEPTH
 _TOKEN_BIT = np.uint64(1 << 63)
+_PACKED_TEXTS = 1 << 16
+_CONTEXT = np.uint64((1 << 8 * DEPTH) - 1)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -79,10 +81,11 @@ class Coder:
         """Every byte with the bytes before it, nearest first, as one integer; and each text's number of bytes."""
         clean = [normalized(t) for t in texts]
         sizes = np.array([len(t) for t in clean], dtype=np.int64)
-        data = np.frombuffer(b"".join(_PAD + t for t in clean), dtype=np.uint8).astype(np.uint64)
-        keys = data[DEPTH:].copy()
-        for back in range(1, DEPTH + 1):
-            keys |= data[DEPTH - back : len(data) - back] << np.uint64(8 * (DEPTH + 1 - back))
+        data = b"".join(_PAD + t for t in clean)
+        n = len(data) - DEPTH
+        # Eight bytes from every byte on, the first of them lowest: the context, then the symbol.
+        eight = np.ndarray((n,), dtype="<u8", buffer=data + b"\0\0", strides=(1,))
+        keys = ((eight & _CONTEXT) << np.uint64(8)) | ((eight >> np.uint64(8 * DEPTH)) & np.uint64(255))
         real = np.ones(len(keys), dtype=bool)
         starts = np.cumsum(sizes + DEPTH)[:-1] - DEPTH
         real[(starts[:, None] + np.arange(DEPTH)).ravel()] = False
@@ -100,20 +103,31 @@ class Coder:
 
 
 class Tally:
-    """Counts by key, held as sorted arrays."""
+    """Counts by key: sorted arrays, and some more that are merged in when they add up."""
 
     def __init__(self):
         self.keys, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, keys: np.ndarray, counted: bool) -> None:
         found, times = np.unique(keys, return_counts=True)
-        all_keys = np.concatenate([self.keys, found])
-        counts = np.concatenate([self.counts, times if counted else np.zeros(len(found), np.int64)])
-        order = np.argsort(all_keys, kind="stable")
-        ordered = all_keys[order]
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else []
-        self.keys = ordered[starts] if len(ordered) else ordered
-        self.counts = np.add.reduceat(counts[order], starts) if len(ordered) else counts
+        self.pending.append((found, times if counted else np.zeros(len(found), np.int64)))
+        self.waiting += len(found)
+        if self.waiting > _PENDING_KEYS:
+            self.merge()
+
+    def merge(self) -> int:
+        """Merge what is pending; the number of distinct keys."""
+        keys = np.concatenate([self.keys, *(k for k, _ in self.pending)])
+        counts = np.concatenate([self.counts, *(c for _, c in self.pending)])
+        self.pending, self.waiting = [], 0
+        if len(keys):
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            self.keys, self.counts = keys[starts], np.add.reduceat(counts[order], starts)
+        return len(self.keys)
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +142,12 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for counted in (True, False):
                 own = [t for t, train in zip(texts, trains, strict=True) if train == counted]
                 if own:
-                    tally.add(np.concatenate([coder.runs(own)[0], coder.words(own)[0]]), counted)
+                    tally.add(coder.runs(own)[0], counted)
+                    tally.add(coder.words(own)[0], counted)
             if len(tally.keys) > _HELD_KEYS:
                 yield flush()
                 tally = Tally()
-    if len(tally.keys):
+    if tally.merge():
         yield flush()
 
 
@@ -146,7 +161,8 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for chunk in np.unique(chunks).tolist():
                 own = [texts[i] for i in np.flatnonzero(chunks == chunk)]
                 tally = tallies.setdefault(chunk, Tally())
-                tally.add(np.concatenate([coder.runs(own)[0], coder.words(own)[0]]), False)
+                tally.add(coder.runs(own)[0], False)
+                tally.add(coder.words(own)[0], False)
                 if len(tally.keys) > _HELD_KEYS:
                     yield _chunk_keys(chunk, tallies.pop(chunk))
     for chunk, tally in tallies.items():
@@ -154,6 +170,7 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chunk_keys(chunk: int, tally: Tally) -> pa.RecordBatch:
+    tally.merge()
     chunks = pa.array(np.full(len(tally.keys), chunk, np.int64))
     return pa.RecordBatch.from_arrays([chunks, pa.array(tally.keys)], names=["chunk", "key"])
 
@@ -258,22 +275,42 @@ def _run_values(upper: Upper):
     return values
 
 
+def looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The values of sorted ``keys``, all of which the sorted table has."""
+    return table[1][np.searchsorted(table[0], keys)]
+
+
+def summed(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum of the values of each text's byte runs.
+
+    Keys leave 16 bits free, which hold the text's number while they are sorted:
+    the table is then read in order, once per distinct key.
+    """
+    owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    packed = np.sort(keys.view(np.uint64) << np.uint64(16) | owner)
+    ordered = (packed >> np.uint64(16)).view(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    values = np.repeat(looked_up(table, ordered[starts]), np.diff(np.append(starts, len(ordered))))
+    return np.bincount((packed & np.uint64(0xFFFF)).astype(np.int64), values, len(sizes))
+
+
 def _scorer(n_train: int, n_words: int):
     def score(docs: pa.Table, values: pa.Table) -> pa.Table:
         coder = Coder()
-        place = pd.Index(values.column("key").to_numpy())
-        value = values.column("value").to_numpy()
+        order = np.argsort(values.column("key").to_numpy())
+        table = values.column("key").to_numpy()[order], values.column("value").to_numpy()[order]
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
         for part in slices(docs.combine_chunks(), "text", _SLICE_BYTES):
             texts = part.column("text").to_pylist()
             keys, sizes = coder.words(texts)
-            counts = value[place.get_indexer(keys)]
+            words, which = np.unique(keys, return_inverse=True)
+            counts = looked_up(table, words)[which]
             starts = np.cumsum(sizes) - sizes
             out["n_tokens"].append(sizes)
             out["n_known"].append(np.add.reduceat((counts > 0).astype(np.int64), starts))
             out["base_score"].append(np.add.reduceat(np.log10((counts + 1) / (n_train + n_words + 1)), starts))
-            keys, sizes = coder.runs(texts)
-            out["score"].append(np.add.reduceat(value[place.get_indexer(keys)], np.cumsum(sizes) - sizes))
+            for at in range(0, len(texts), _PACKED_TEXTS):
+                out["score"].append(summed(table, *coder.runs(texts[at : at + _PACKED_TEXTS])))
         columns = {name: pa.array(np.concatenate(parts)) for name, parts in out.items()}
         return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), **columns})
 
@@ -309,8 +346,9 @@ def score_documents(docs: DataFrame, hold_out_of: int = 7, hold_out: int = 2) ->
     n_chunks = max(1, -(-size // CHUNK_BYTES))
     # The input split takes part, so that rows equal in everything do not fall into one chunk.
     chunk = F.pmod(F.xxhash64("doc_id", F.spark_partition_id(), F.length("text")), F.lit(n_chunks)).cast("bigint")
-    dealt = texts.select("doc_id", "held_out", "text", chunk.alias("chunk")).repartition(n_chunks, "chunk")
-    wanted = dealt.select("chunk", "text").mapInArrow(_key_batches, "chunk bigint, key bigint")
+    dealt = texts.select("doc_id", "held_out", "text", chunk.alias("chunk")).repartition("chunk")
+    # All columns, as below, so that both uses read one exchange.
+    wanted = dealt.mapInArrow(_key_batches, "chunk bigint, key bigint")
     needed = wanted.join(values, "key").select("chunk", "key", "value")
     doc_id = texts.schema["doc_id"].dataType.simpleString()
     scored = (

@@ -7,7 +7,7 @@ import xxhash
 
 from ebbsync.llm.text import SHINGLE_WORDS
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 300_000
 
 
 class WordHashes(dict):
