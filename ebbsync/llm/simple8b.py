@@ -24,14 +24,12 @@ _HEAD_SIZE = struct.calcsize(_HEAD)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
-    """Bits that each integer needs; exact where floating point logarithms are not."""
-    bits = np.zeros(len(values), dtype=np.uint8)
-    left = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        wide = left >= np.uint64(1 << step)
-        bits[wide] += step
-        left[wide] >>= np.uint64(step)
-    return bits + (left > 0)
+    """Bits that each integer needs. High halves apart, since a double holds 53 bits."""
+    bits = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
+    high = values >> np.uint64(32)
+    wide = np.flatnonzero(high)
+    bits[wide] = 32 + np.frexp(high[wide].astype(np.float64))[1]
+    return bits
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -41,14 +39,23 @@ def encode(ids: np.ndarray) -> bytes:
     bits = _bits(values)
     at = np.arange(n)
     end = np.minimum((at // BLOCK + 1) * BLOCK, n)
-    selector = np.full(n, ESCAPE, dtype=np.uint8)
-    step = np.ones(n, dtype=np.int64)
-    for s in range(len(COUNTS) - 1, ESCAPE, -1):
-        too_wide = np.concatenate(([0], np.cumsum(bits > WIDTHS[s])))
-        reach = np.minimum(at + COUNTS[s], end)
-        fits = too_wide[reach] == too_wide[at]
-        selector[fits] = s
-        step[fits] = (reach - at)[fits]
+    # The densest selector that every integer has room in, or an escape where there is none.
+    widest = len(COUNTS) - 1
+    while n and widest > 1 and WIDTHS[widest - 1] >= bits.max():
+        widest -= 1
+    selector = np.where(bits > WIDTHS[widest], ESCAPE, widest).astype(np.uint8)
+    step = np.where(selector == ESCAPE, 1, np.minimum(COUNTS[widest], end - at))
+    # Where a selector fits, the next wider one does too: each looks at what is left of the last.
+    left = np.flatnonzero(selector)
+    for s in range(widest - 1, ESCAPE, -1):
+        too_wide = np.concatenate(([0], np.cumsum(bits > WIDTHS[s], dtype=np.int32)))
+        reach = np.minimum(left + COUNTS[s], end[left])
+        fits = too_wide[reach] == too_wide[left]
+        left, reach = left[fits], reach[fits]
+        if len(left) == 0:
+            break
+        selector[left] = s
+        step[left] = reach - left
     following = (at + step).tolist()
     starts, i = [], 0
     while i < n:
@@ -58,12 +65,15 @@ def encode(ids: np.ndarray) -> bytes:
     chosen, size = selector[first], step[first]
     words = chosen.astype(np.uint64) << np.uint64(60)
     escaped = chosen == ESCAPE
-    for lane in range(int(COUNTS.max())):
-        live = np.flatnonzero((size > lane) & ~escaped & (WIDTHS[chosen] > 0))
-        if len(live) == 0:
-            break
-        shift = (lane * WIDTHS[chosen[live]]).astype(np.uint64)
+    live = np.flatnonzero(~escaped & (WIDTHS[chosen] > 0))
+    shift = np.zeros(len(live), dtype=np.uint64)
+    lane = 0
+    while len(live):
         words[live] |= values[first[live] + lane] << shift
+        lane += 1
+        more = size[live] > lane
+        live = live[more]
+        shift = shift[more] + WIDTHS[chosen[live]].astype(np.uint64)
     words[escaped] |= np.arange(escaped.sum(), dtype=np.uint64)
     offsets = np.searchsorted(first, np.arange(0, n, BLOCK)).astype(np.uint32)
     head = struct.pack(_HEAD, _MAGIC, BLOCK, n, len(words), int(escaped.sum()))

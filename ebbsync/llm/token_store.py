@@ -10,7 +10,8 @@ them in their range; the ranges' totals, one row each, make that absolute.
 
 Words are encoded by the library and remembered, since with this vocabulary a
 text's ids are those of its words: the pre-tokenizer drops white space, no token
-spans it, and neither normalization nor added tokens reach across it.
+spans it, and neither normalization nor added tokens reach across it. For the same
+reason ASCII case and marks after a letter make no new word.
 
 Defined results: a null or empty text has the end id alone. Rows are ordered by
 ``doc_id``, nulls first, then by a hash of the text and the text; repeated rows
@@ -19,9 +20,11 @@ are all written. An empty table gives an empty store. Extra columns are ignored.
 
 from __future__ import annotations
 
+import string
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +34,20 @@ from pyspark.sql import functions as F
 
 from ebbsync.functions.sizes import broadcast_if, fits
 from ebbsync.llm import simple8b
+from ebbsync.llm.batches import slices
 
 END_ID = 1
+_END = np.array([END_ID], dtype="<u4").tobytes()
 #: Ids after which a segment is closed; a longer document is a segment of its own.
 SEGMENT_IDS = 65_536
-#: Words whose ids a task remembers, and new words encoded in one call.
+#: Words whose ids a task remembers before it starts anew, at the next slice.
 _CACHED_WORDS = 400_000
+_SLICE_BYTES = 1_000_000
+_MARKS = string.punctuation.encode()
+#: The letter that stands for each byte in a byte-level vocabulary. Printable bytes
+#: of Latin-1 stand for themselves, the others for the letters from 256 on, in order.
+_PLAIN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PLAIN_BYTES))}
 #: Ranges up to which their totals are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -45,23 +56,60 @@ SEGMENT_SCHEMA = (
 )
 
 
-class WordIds(dict):
-    """The ids of each word, as the tokenizers library gives them."""
+class WordIds:
+    """The ids of words as the tokenizers library gives them, remembered as packed integers."""
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> list[int]:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
-        ids = self[word] = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        return ids
-
-    def encode(self, text: bytes) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, text.split())), dtype=np.uint32)
+        self.known: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> bytes:
+        plain = text.isascii() and text.islower()
+        if text.isalpha() and (plain or (is_normalized("NFC", text) and text == text.lower())):
+            # One pre-token that the normalizer leaves as it is: the model alone decides.
+            letters = text if plain else text.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            return array("I", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Encode new words, the marks after a letter apart from their word."""
+        known = self.known
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            text = stem.decode()
+            if stem == word or not text or not text[-1].isalpha() or b"'" in word or b"<|" in word:
+                if word not in known:
+                    known[word] = self._ids(word.decode())
+                continue
+            marks = word[len(stem) :]
+            if stem not in known:
+                known[stem] = self._ids(text)
+            if marks not in known:
+                known[marks] = self._ids(marks.decode())
+            known[word] = known[stem] + known[marks]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        if len(self.known) > _CACHED_WORDS:
+            self.known.clear()
+        encoded = []
+        for text in texts:
+            words = _lower(text).split()
+            ids = list(map(self.known.get, words))
+            new = [at for at, own in enumerate(ids) if own is None]
+            if new:
+                self._learn({words[at] for at in new})
+                for at in new:
+                    ids[at] = self.known[words[at]]
+            ids.append(_END)
+            encoded.append(np.frombuffer(b"".join(ids), dtype="<u4"))
+        return encoded
+
+
+def _lower(text: bytes) -> bytes:
+    """ASCII letters in lower case, as the normalizer makes them; the strings of added tokens stay what they are."""
+    return text if b"<|" in text else text.lower()
 
 
 def _segment_writer(tokenizer_path: str):
@@ -79,15 +127,16 @@ def _segment_writer(tokenizer_path: str):
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], names=names)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = np.append(words.encode(text.as_py()), np.uint32(END_ID))
-                if pieces and waiting + len(ids) > SEGMENT_IDS:
-                    yield close()
-                    segment, before = segment + 1, before + waiting
-                    doc_ids, pieces, waiting = [], [], 0
-                doc_ids.append(doc_id.as_py())
-                pieces.append(ids)
-                waiting += len(ids)
+            for part in slices(batch, "text", _SLICE_BYTES):
+                encoded = words.encode(part.column("text").to_pylist())
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
+                    if pieces and waiting + len(ids) > SEGMENT_IDS:
+                        yield close()
+                        segment, before = segment + 1, before + waiting
+                        doc_ids, pieces, waiting = [], [], 0
+                    doc_ids.append(doc_id)
+                    pieces.append(ids)
+                    waiting += len(ids)
         if pieces:
             yield close()
 
