@@ -145,7 +145,8 @@ def times(rows: DataFrame, sizes: DataFrame) -> DataFrame:
         (F.col("digest") == F.col("taken_digest")) & F.col("source").eqNullSafe(F.col("taken_source")),
         "left",
     )
-    sampled = (F.col("part") < F.col("cut_part")) | F.col("taken_digest").isNotNull()
+    before_cut = (F.col("size") > 0) & (F.col("part") < F.col("cut_part"))
+    sampled = before_cut | F.col("taken_digest").isNotNull()
     return drawn.withColumn("times", F.col("epochs") + sampled.cast("long")).drop("taken_source", "taken_digest")
 
 

@@ -32,8 +32,9 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 ROUNDS = 30
-#: Documents that the prior on each rule's votes weighs as much as, as a share of all.
+#: Documents that the prior on each rule's votes weighs as much as: a share of all, and at least so many.
 PRIOR_WEIGHT = 0.02
+MIN_PRIOR_WEIGHT = 10.0
 #: What the prior expects: votes of a rule that does not abstain are right this often.
 PRIOR_ACCURACY = 0.9
 PRIOR_GOOD = 0.8
@@ -181,7 +182,7 @@ def fit(measured: DataFrame) -> VoteModel:
         judged = F.transform("p", posterior)
 
         def estimate(rows: Column) -> Column:
-            weight = F.greatest(PRIOR_WEIGHT * total, F.lit(1.0))
+            weight = F.greatest(PRIOR_WEIGHT * total, F.lit(MIN_PRIOR_WEIGHT))
             good_rows = F.aggregate(rows, F.lit(0.0), lambda acc, p: acc + p["n"] * p["q"])
             return let(good_rows, lambda n_good: estimate_shares(rows, n_good, weight))
 

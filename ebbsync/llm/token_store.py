@@ -79,7 +79,7 @@ class WordIds:
         for word in words:
             stem = word.rstrip(_MARKS)
             text = stem.decode()
-            if stem == word or not text or not text[-1].isalpha() or b"'" in word or b"<|" in word:
+            if stem == word or not text or not text[-1].lower().isalpha() or b"'" in word or b"<|" in word:
                 if word not in known:
                     known[word] = self._ids(word.decode())
                 continue

@@ -1,0 +1,195 @@
+"""Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
+
+from __future__ import annotations
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from ebbsync.llm import (
+    classifier,
+    ctw,
+    decontaminate,
+    mixing,
+    perspectives,
+    quality_rules,
+    token_counts,
+    token_store,
+    warc,
+)
+from ebbsync.llm.order_minhash import NearDuplicates
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+PROSE = " ".join(f"word{n} and other{n * 7 % 90}" for n in range(60))
+ROWS = [
+    (1, PROSE, "a"), (1, PROSE, "a"), (2, PROSE, None), (3, "", "b"), (4, None, "b"), (None, PROSE + " end", "a"),
+    (None, None, None), (5, "one two", "c"), (6, " \n\t ", "c"), (7, "long " * 30_000, "a"), (8, "x" * 20_000, "b"),
+]
+#: Ordinary texts, which the quality rules need to estimate anything.
+OTHERS = [(100 + k, " ".join(f"plain{k} and word{k * n}" for n in range(40)), "d") for k in range(1, 41)]
+#: Names that operators use inside.
+CLASHES = ("row", "key", "size", "tokens", "n", "kept", "bands", "label", "draw", "digest", "times", "target", "body")
+
+
+def documents(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    return df.withColumns({name: F.lit(f"own {name}") for name in CLASHES})
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return documents(spark, ROWS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return documents(spark, [])
+
+
+def labels(spark, rows=()):
+    return spark.createDataFrame(list(rows), "doc_id BIGINT, quality INT, toxic INT")
+
+
+def items(spark, rows):
+    return spark.createDataFrame(rows, "item_id BIGINT, text STRING")
+
+
+def test_quality_rules(spark, docs, none):
+    kept = quality_rules.keep_good(docs.unionByName(documents(spark, OTHERS)))
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert sum((r.doc_id or 0) > 100 for r in rows) == len(OTHERS)
+    assert sorted((r.doc_id or 0, r.text) for r in rows if (r.doc_id or 0) <= 100) == [
+        (0, PROSE + " end"), (1, PROSE), (1, PROSE), (2, PROSE)
+    ]
+    assert quality_rules.keep_good(none).count() == 0
+
+
+def test_near_duplicates(docs, none):
+    found = NearDuplicates(docs)
+    classes = {(r.doc_id, r.class_id) for r in found.members().select("doc_id", "class_id").collect()}
+    assert classes == {(1, 1), (2, 1), (None, 1), (None, 3), (3, 3), (4, 3), (5, 5), (6, 6), (7, 7), (8, 8)}
+    kept = found.keep_one()
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6, 7, 8]
+    assert NearDuplicates(none).members().count() == 0
+    assert NearDuplicates(none).keep_one().count() == 0
+
+
+def test_decontamination(spark, docs, none):
+    bench = items(spark, [(1, " ".join(PROSE.split()[20:40])), (1, "one two"), (None, "long long long long long"), (9, None), (8, "")])
+    left = decontaminate.drop_leaks(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect()) == [
+        (False, 3), (False, 4), (False, 6), (False, 8), (True, 0)
+    ]
+    assert decontaminate.drop_leaks(docs, items(spark, [])).count() == len(ROWS)
+    assert decontaminate.find_leaks(none, bench).count() == 0
+
+
+def test_mixing(docs, none):
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert not {3, 4, 6} & {r.doc_id for r in mixed.collect()}
+    assert mixing.mix(none).count() == 0
+    sizes = mixing.sizes_of(docs)
+    rows = mixing.times(sizes, sizes).collect()
+    assert len(rows) == len(ROWS)
+    assert all(0 <= r.times <= 2 for r in rows)
+    assert len({r.times for r in rows if r.doc_id == 1}) == 1
+
+
+def test_token_counts(docs, none):
+    got = token_counts.count_tokens(docs, PIECES)
+    assert got.filter("n_bytes = 0").agg(F.sum("n_tokens"), F.count("*")).first()[:] == (0, 3)
+    assert got.filter("over_limit").select("doc_id").collect() == [(7,)] or got.filter("over_limit").count() >= 1
+    assert token_counts.count_tokens(none, PIECES).count() == 0
+
+
+def test_token_store(spark, docs, none, tmp_path):
+    token_store.write_store(docs, str(tmp_path / "s"), WORDS)
+    rows = sorted(token_store.read_index(spark, str(tmp_path / "s")).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, None, 1, 1, 2, 3, 4, 5, 6, 7, 8]
+    assert all(b.start == a.start + a.n_tokens for a, b in zip(rows, rows[1:], strict=False))
+    assert [r.n_tokens for r in rows if r.doc_id in (3, 4, 6)] == [1, 1, 1]
+    token_store.write_store(none, str(tmp_path / "e"), WORDS)
+    assert token_store.read_index(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_classifier(spark, docs, none):
+    unlabelled = classifier.score_quality(docs, labels(spark))
+    assert {r.score for r in unlabelled.collect()} == {0.5}
+    some = labels(spark, [(1, 1, 0), (1, 0, 0), (2, 1, 0), (5, 0, 0), (7, 0, 1), (None, 1, 0), (8, None, 0), (3, 1, None)])
+    scored = classifier.score_quality(docs, some).collect()
+    assert len(scored) == len(ROWS)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in scored)
+    assert classifier.score_quality(none, some).count() == 0
+
+
+def test_language_model(docs, none):
+    scored = ctw.score_documents(docs).collect()
+    assert len(scored) == len(ROWS)
+    assert all(r.score < 0 for r in scored)
+    assert {r.n_tokens for r in scored if r.doc_id in (3, 4, 6)} == {1}
+    assert ctw.score_documents(none).count() == 0
+
+
+def test_perspectives(spark):
+    schema = "conv_id BIGINT, turn BIGINT, role STRING, text STRING, part STRING, perspective STRING, mask STRING"
+    turns = [
+        (1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "bob", None), (1, None, None, "who"),
+        (None, 0, "ann", "x"), (2, 0, "system", "alone"), (3, 300, "ann", "late"), (3, 1, "bob", "early"),
+    ]
+    df = spark.createDataFrame([(*t, "own", "own", "own") for t in turns], schema)
+    rows = perspectives.rotate(df).collect()
+    of = lambda conv: sorted((r.perspective, r.part) for r in rows if r.conv_id == conv)
+    assert sorted(r.perspective for r in rows if r.conv_id == 1) == ["ann", "ann", "bob", "bob", "unknown", "unknown"]
+    assert of(3) == [("ann", 0), ("ann", 1), ("bob", 0), ("bob", 1)]
+    assert [(r.perspective, r.mask) for r in rows if r.conv_id == 2] == [(None, [])]
+    assert [r.perspective for r in rows if r.conv_id is None] == ["ann"]
+    for r in rows:
+        spoken = [r.text[s.start : s.end] for s in r.mask]
+        assert all(t.endswith("<|im_end|>") for t in spoken)
+        assert len(spoken) == r.text.count("<|im_start|>assistant\n")
+    assert perspectives.rotate(df.limit(0)).count() == 0
+
+
+def test_revisits(spark):
+    schema = "record_id STRING, type STRING, uri STRING, date TIMESTAMP, headers MAP<STRING,STRING>, payload STRING, url STRING"
+    day = lambda n: f"2024-01-{n:02d} 00:00:00"
+    rows = [
+        ("r1", "response", "http://www.a.test/x?b=1&a=2", day(1), {"etag": "e1", "content-type": "t"}, "one"),
+        ("r2", "response", "http://a.test/x?a=2&b=1", day(3), {"etag": "e2"}, "two"),
+        ("r2", "response", "http://a.test/x?a=2&b=1", day(3), {"etag": "e2"}, "two"),
+        ("v1", "revisit", "https://A.test/x?a=2&b=1#f", day(2), {"etag": "W/e1", "age": "5", "content-type": "u"}, None),
+        ("v2", "revisit", "http://a.test/x?a=2&b=1", day(4), {"etag": "e1"}, None),
+        ("v3", "revisit", "http://a.test/x?a=2&b=1", day(4), None, None),
+        ("v4", "revisit", "http://a.test/y", day(4), {"etag": "e1"}, None),
+        ("v5", "revisit", None, None, {"etag": "e1"}, None),
+        (None, "metadata", None, None, None, None),
+    ]
+    df = spark.createDataFrame([(*r[:3], None, *r[4:], "own") for r in rows], schema)
+    dates = spark.createDataFrame([(n, r[3]) for n, r in enumerate(rows)], "n INT, d STRING")
+    df = spark.createDataFrame(
+        [(r[0], r[1], r[2], d.d, r[4], r[5], "own") for r, d in zip(rows, dates.orderBy("n").collect(), strict=True)],
+        schema.replace("date TIMESTAMP", "date STRING"),
+    ).withColumn("date", F.to_timestamp("date"))
+    got = {r.record_id: r for r in warc.resolve(df).collect()}
+    assert {k: (r.status, r.refers_to, r.payload) for k, r in got.items()} == {
+        "v1": ("resolved", "r1", "one"), "v2": ("mismatch", None, None), "v3": ("unverified", None, None),
+        "v4": ("missing", None, None), "v5": ("missing", None, None),
+    }
+    assert got["v1"].headers == {"etag": "W/e1", "age": "5", "content-type": "t"}
+    assert warc.resolve(df.limit(0)).count() == 0
+
+
+def test_pipeline(spark, docs, tmp_path):
+    docs = docs.unionByName(documents(spark, OTHERS))
+    docs.withColumns({"lang": F.lit("en"), "n_chars": F.length("text")}).write.parquet(str(tmp_path / "documents.parquet"))
+    items(spark, [(1, "nothing like it in any text")]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    stored = {r.doc_id for r in rows}
+    assert stored <= {1} | {k for k, *_ in OTHERS}
+    assert len(stored) > 20

@@ -1,0 +1,214 @@
+"""Queries against their SQL, the libraries, and brute force, on whole small tables."""
+
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+from itertools import combinations
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from compare import duck, spark_rows, spark_types, sql_rows, sql_types
+from conftest import SF_DIR
+from ebbsync.llm import quality_rules, simple8b, token_counts
+from ebbsync.llm.ctw import Coder, Upper, weigh_group
+from ebbsync.llm.oracles import ORACLES
+from ebbsync.llm.order_minhash import aligned
+from ebbsync.llm.queries import QUERIES
+from ebbsync.llm.token_store import WordIds
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return dict(duckdb.sql(f"SELECT doc_id, text FROM '{Path(SF_DIR) / 'documents.parquet'}'").fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_agrees_with_sql(spark, name):
+    con = duck(SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
+    types = {k: v or "DOUBLE" for k, v in spark_types(result).items()}
+    assert types == sql_types(con, ORACLES[name])
+    assert spark_rows(result) == sql_rows(con, ORACLES[name])
+
+
+def test_rules_are_counted():
+    assert quality_rules.N_RULES == 7
+
+
+def test_quality_base(spark, texts):
+    assert len(quality_rules.rules()) == quality_rules.N_RULES
+    for row in QUERIES["op7_quality_rules"](spark, SF_DIR).collect():
+        text = texts[row.doc_id]
+        words = text.encode().split()
+        lines = [line for line in text.split("\n") if line.encode().split()]
+        runs = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        covered = {j for i in range(len(words) - 7) if runs[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+        assert (row.n_words, row.n_dup_lines, row.n_repeat_words) == (len(words), len(lines) - len(set(lines)), len(covered))
+        assert row.word_chars == sum(len(w.decode()) for w in words)
+        assert row.n_symbols == sum(c in "#*$%&|<>" for c in text)
+        assert row.base_failed == (len(words) < 20 or 100 * len(covered) > 30 * len(words))
+        assert not (row.base_failed and row.kept)
+
+
+def test_quality_verdicts(spark):
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{Path(SF_DIR) / 'labels.parquet'}'").fetchall())
+    rows = [r for r in QUERIES["op7_quality_rules"](spark, SF_DIR).collect() if r.doc_id in labels]
+    assert all(r.kept for r in rows if labels[r.doc_id] == 1 and not r.base_failed)
+    assert np.mean([r.kept for r in rows if labels[r.doc_id] == 0]) < 0.1
+
+
+def test_classifier_held_out(spark):
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{Path(SF_DIR) / 'labels.parquet'}'").fetchall())
+    rows = QUERIES["op1_quality_classifier"](spark, SF_DIR).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    good = [r.score for r in held if labels[r.doc_id] == 1]
+    bad = [r.score for r in held if labels[r.doc_id] == 0]
+    assert np.mean([g > b for g in good for b in bad]) > 0.9
+
+
+def test_token_counts_are_the_library_s(spark, texts):
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for row in QUERIES["op3_token_counts"](spark, SF_DIR).collect():
+        assert row.n_tokens == len(model.encode(texts[row.doc_id]))
+        assert row.n_bytes == len(texts[row.doc_id].encode())
+
+
+@pytest.fixture(scope="module")
+def piece_counter():
+    return token_counts.TokenCounter(token_counts.merge_table(PIECES)), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from("aabthe  nr\n\t▁é中ﬁ<s>/'.,0☃𝄞")) | st.text())
+def test_merging_any_text(piece_counter, text):
+    counter, model = piece_counter
+    if "\0" not in text:
+        assert counter.count([text]) == [len(model.encode(text))]
+
+
+@pytest.fixture(scope="module")
+def word_ids():
+    return WordIds(WORDS), Tokenizer.from_file(WORDS)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from("abThe's ''.,!-\n\té́İΣß中1<|endoftext|>")) | st.text())
+def test_word_ids_of_any_text(word_ids, text):
+    own, library = word_ids
+    for known in (text, text + " <|endoftext|>", text.upper()):
+        want = [*library.encode(known, add_special_tokens=False).ids, 1]
+        assert own.encode([known.encode()])[0].tolist() == want
+
+
+def test_token_store(spark, texts):
+    library, start = Tokenizer.from_file(WORDS), 0
+    rows = {r.doc_id: r for r in QUERIES["op5_token_store"](spark, SF_DIR).collect()}
+    for doc_id in sorted(texts):
+        ids = np.array([*library.encode(texts[doc_id], add_special_tokens=False).ids, 1], dtype="<u4")
+        row = rows.pop(doc_id)
+        assert (row.start, row.n_tokens, row.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+    assert not rows
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3) | st.integers(0, 2**17) | st.integers(0, 2**64 - 1), max_size=300), st.integers(1, 40))
+def test_simple8b_round_trip(values, times):
+    ids = np.array(values * times, dtype=np.uint64)
+    data = simple8b.encode(ids)
+    assert (simple8b.decode(data) == ids).all()
+    for block in range(-(-len(ids) // simple8b.BLOCK)):
+        part = ids[block * simple8b.BLOCK : (block + 1) * simple8b.BLOCK]
+        assert (simple8b.decode_block(data, block) == part).all()
+
+
+def _shingles(text):
+    words = text.encode().split()
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+
+
+def test_near_duplicates_are_all_found(spark, texts):
+    rows = {r.doc_id: r.class_id for r in QUERIES["op10_near_duplicates"](spark, SF_DIR).collect()}
+    bags = {d: _shingles(t) for d, t in texts.items()}
+    places = {}
+    for doc_id, bag in bags.items():
+        for shingle in bag:
+            places.setdefault(shingle, []).append(doc_id)
+    near = {pair for docs in places.values() if len(docs) < 200 for pair in combinations(docs, 2)}
+    parent = {d: d for d in texts}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for a, b in sorted(near):
+        shared = sum((bags[a] & bags[b]).values())
+        if texts[a] == texts[b] or 10 * shared >= 8 * (sum(bags[a].values()) + sum(bags[b].values()) - shared):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    assert rows == {d: root(d) for d in texts}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=30), st.lists(st.integers(0, 4), max_size=30))
+def test_alignment_is_the_longest_common_subsequence(a, b):
+    table = np.zeros((len(a) + 1, len(b) + 1), dtype=int)
+    for i in range(len(a)):
+        for j in range(len(b)):
+            table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+    got = aligned(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64), 0, len(a) + len(b))
+    assert got == table[-1, -1]
+
+
+def test_language_model_base(spark, texts):
+    lower = {d: [*t.encode().lower().split(), b"\n"] for d, t in texts.items()}
+    trains = {d: zlib.crc32(str(d).encode()) % 7 != 2 for d in texts}
+    counts = Counter(w for d, words in lower.items() if trains[d] for w in words)
+    n, v = sum(counts.values()), len(counts)
+    scores = 0.0
+    for row in QUERIES["op6_language_model"](spark, SF_DIR).collect():
+        words = lower[row.doc_id]
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words)
+        assert (row.n_tokens, row.n_known, row.train_tokens) == (len(words), sum(w in counts for w in words), n)
+        assert row.held_out is not trains[row.doc_id]
+        assert row.base_score == pytest.approx(base)
+        scores += row.score
+    size = sum(len(b" ".join(w[:-1])) + 1 for w in lower.values())
+    assert -scores / math.log10(2) / size < 2.2
+
+
+def test_context_trees_are_distributions():
+    """After any context, the probabilities of all 256 next bytes add up to one."""
+    coder = Coder()
+    keys, _ = coder.runs([b"the cat sat on the mat", b"the dog sat on the log"])
+    found, n = np.unique(keys, return_counts=True)
+    contexts = [int(found[0] >> 8), int(found[-1] >> 8), 0x2020202020]
+    every = np.array([c << 8 | s for c in contexts for s in range(256)], dtype=np.int64)
+    all_keys = np.unique(np.concatenate([found, every]))
+    counts = np.zeros(len(all_keys))
+    counts[np.searchsorted(all_keys, found)] = n
+    bits, sums = np.empty((8, len(all_keys))), {}
+    for group in np.unique(all_keys >> 32):
+        own = all_keys >> 32 == group
+        bits[:, own], nodes = weigh_group(all_keys[own], counts[own])
+        for last, which, *values in nodes:
+            at = -(last << 8 | which) - 1
+            sums[at] = [a + b for a, b in zip(sums.get(at, [0, 0, 0]), values, strict=True)]
+    upper = Upper([(at, *values) for at, values in sums.items()])
+    p = 10 ** upper.log10_probability(every, bits.T[np.searchsorted(all_keys, every)])
+    assert p.reshape(len(contexts), 256).sum(axis=1) == pytest.approx(1)
