@@ -1,17 +1,24 @@
-"""Command line: ``service`` follows a feed, ``once`` updates given ids and exits 0 or 1."""
+"""Command line.
+
+``service`` follows a feed and exits 1 if one of its queries fails. ``once``
+updates given ids and exits 0 or 1. ``requeue`` runs the pending batches of a
+stopped service again, and ``compact`` writes new bases of a store and deletes
+what they cover.
+"""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbsync.config import DEFAULT_NAMESPACES, DEFAULT_SCHEME, UpdaterConfig
 from ebbsync.plans.update import Sources, one_run, run_once
 from ebbsync.session import configure
 from ebbsync.sources.store import Store
-from ebbsync.streaming.updater import start_updater
+from ebbsync.streaming.updater import Updater, run_until_one_stops
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,12 +37,19 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--dump-dir")
     root = argparse.ArgumentParser(prog="ebbsync", description=__doc__)
     commands = root.add_subparsers(dest="command", required=True)
-    service = commands.add_parser("service", parents=[common])
-    service.add_argument("--feed", required=True, help="folder that poll files arrive in")
-    service.add_argument("--feed-format", choices=("files", "parquet"), default="files")
-    service.add_argument("--state", required=True, help="folder of checkpoints and landed batches")
-    service.add_argument("--interval", type=int, default=0, help="seconds between passes")
-    service.add_argument("--pass-limit", type=int, default=-1, help="-1 runs without a limit")
+    for name in ("service", "requeue"):
+        command = commands.add_parser(name, parents=[common])
+        command.add_argument("--feed", required=name == "service", default="", help="folder that poll files arrive in")
+        command.add_argument("--feed-format", choices=("files", "parquet"), default="files")
+        command.add_argument("--state", required=True, help="folder of checkpoints and landed batches")
+        command.add_argument("--interval", type=int, default=0, help="seconds between passes")
+        command.add_argument("--pass-limit", type=int, default=-1, help="passes of this run; -1 runs without a limit")
+        command.add_argument("--max-files", type=int, help="most files a pass takes up")
+        command.add_argument("--compact-every", type=int, default=100, help="epochs after which to write a base")
+        command.add_argument("--keep-epochs", type=int, default=100, help="covered epochs to leave")
+    compact = commands.add_parser("compact")
+    compact.add_argument("--store", required=True, help="folder of the store")
+    compact.add_argument("--keep-epochs", type=int, default=0, help="covered epochs to leave")
     once = commands.add_parser("once", parents=[common])
     for name in ("domain", "backend", "namespace"):
         once.add_argument(f"--{name}", required=True)
@@ -56,7 +70,16 @@ def read_sources(spark: SparkSession, folder: str, cfg: UpdaterConfig, facts: bo
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
+    if args.command != "compact" and not args.facts and (args.langs or args.single_label or args.skip_links):
+        parser().error("--langs, --single-label and --skip-links clean facts: they need --facts")
     spark = configure(SparkSession.builder.appName("ebbsync").getOrCreate())
+    if args.command == "compact":
+        store = Store(spark, args.store)
+        epoch = store.next_epoch() - 1
+        if epoch >= 0:
+            store.compact(epoch)
+            store.expire(args.keep_epochs)
+        return 0
     cfg = UpdaterConfig(
         namespaces=args.namespaces,
         scheme=args.scheme,
@@ -69,6 +92,9 @@ def main(argv: list[str] | None = None) -> int:
         feed_format=getattr(args, "feed_format", "files"),
         interval_s=getattr(args, "interval", 0),
         pass_limit=getattr(args, "pass_limit", -1),
+        max_files_per_trigger=getattr(args, "max_files", None),
+        compact_every=getattr(args, "compact_every", 100),
+        keep_epochs=getattr(args, "keep_epochs", 100),
     )
 
     def sources() -> Sources:
@@ -78,8 +104,17 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "once":
         requests = one_run(spark, args.domain, args.backend, args.namespace, args.ids)
         return 0 if run_once(requests, sources(), store, cfg) else 1
-    for started in start_updater(spark, args.feed, args.state, sources, store, cfg):
-        started.awaitTermination()
+    updater = Updater(spark, args.feed, args.state, sources, store, cfg)
+    try:
+        if args.command == "requeue":
+            updater.requeue()
+        elif cfg.pass_limit != -1:
+            updater.run_passes(cfg.pass_limit)
+        else:
+            run_until_one_stops([updater.start_landing(), updater.start_update()])
+    except StreamingQueryException as failure:
+        print(f"ebbsync: {failure}", file=sys.stderr)
+        return 1
     return 0
 
 

@@ -17,8 +17,9 @@ class UpdaterConfig:
     """Settings of a service run or a one-off run.
 
     ``namespaces`` is the CSV of allowed entity namespaces, ``namespace_slots``
-    maps an entity type to ``<namespace>/<slot>``. ``pass_limit`` of -1 runs
-    without a limit; 0 and every other negative value runs no pass.
+    maps an entity type to ``<namespace>/<slot>``. ``pass_limit`` counts the
+    passes of this process: -1 runs without a limit; 0 and every other negative
+    value runs no pass.
     ``langs``, ``single_label`` and ``skip_links`` clean the facts and are off
     by default in both modes.
     """
@@ -40,10 +41,10 @@ class UpdaterConfig:
     # Most files a pass takes up; without a limit a backlog is one pass, which
     # reads the store once instead of many times.
     max_files_per_trigger: int | None = None
-    dedup_horizon: str = "7 days"
-    dedup_salts: int = 16
     # Log epochs after which the service writes a new base; 0 never does.
     compact_every: int = 100
+    # Epochs under a base that the service leaves for readers of older states.
+    keep_epochs: int = 100
     max_records_per_file: int = 5_000_000
     # Largest key set that is broadcast; a larger one is joined by shuffle.
     broadcast_rows: int = 200_000

@@ -8,17 +8,22 @@ from pyspark.sql import functions as F
 from ebbsync.functions.json import array_items, strict_document
 
 
+# What a delivery is known by. Batch ids come back: as retries, and for other
+# work once the feed's counter starts anew.
+DELIVERY = ["poll_seq", "batch_pos"]
+
+
 def outcomes(batches: DataFrame, looked_up: DataFrame) -> DataFrame:
-    """Per batch: ``total``, ``failed`` and ``success``, all or nothing.
+    """Per delivery of a batch: ``total``, ``failed`` and ``success``, all or nothing.
 
     A batch without a request left is done: it has nothing that could fail.
     """
-    counted = looked_up.groupBy("batch_id").agg(
+    counted = looked_up.groupBy("batch_id", *DELIVERY).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(~F.col("fetched")).alias("failed"),
         F.bool_and("fetched").alias("success"),
     )
-    return batches.join(counted, "batch_id", "left").withColumns(
+    return batches.join(counted, ["batch_id", *DELIVERY], "left").withColumns(
         {
             "total": F.coalesce("total", F.lit(0)),
             "failed": F.coalesce("failed", F.lit(0)),
@@ -28,8 +33,8 @@ def outcomes(batches: DataFrame, looked_up: DataFrame) -> DataFrame:
 
 
 def acks(outcome: DataFrame) -> DataFrame:
-    """One acknowledgement per batch: ``status`` and the message body. Neither status is left out."""
-    carried = [c for c in ("poll_seq", "total", "failed") if c in outcome.columns]
+    """One acknowledgement per delivery: ``status`` and the message body. Neither status is left out."""
+    carried = [c for c in (*DELIVERY, "total", "failed") if c in outcome.columns]
     return outcome.select(
         "batch_id",
         *carried,
@@ -69,19 +74,13 @@ def pending(batches: DataFrame, acked: DataFrame) -> DataFrame:
 
 
 def unanswered(batches: DataFrame, acked: DataFrame) -> DataFrame:
-    """Pending batches whose very delivery has no acknowledgement yet.
+    """Deliveries without an acknowledgement, done or not.
 
-    A batch that was not done and comes back in a later poll is unanswered there.
+    A batch id that was done before and comes back is a delivery of its own.
     """
-    answered = acked.select("batch_id", "poll_seq")
-    return pending(batches, acked).join(answered, ["batch_id", "poll_seq"], "left_anti")
+    return batches.join(acked.select(*DELIVERY), DELIVERY, "left_anti")
 
 
-def last_delivery(batches: DataFrame) -> DataFrame:
-    """One row per ``batch_id``: its last delivery in feed order."""
-    others = [c for c in batches.columns if c not in ("batch_id", "poll_seq", "batch_pos")]
-    return (
-        batches.groupBy("batch_id")
-        .agg(F.max_by(F.struct("poll_seq", "batch_pos", *others), F.struct("poll_seq", "batch_pos")).alias("last"))
-        .select("batch_id", "last.*")
-    )
+def deliveries(batches: DataFrame) -> DataFrame:
+    """Each delivery once. Copies of one are the same batch, landed again."""
+    return batches.dropDuplicates(DELIVERY)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ebbsync import schemas
 from ebbsync.config import UpdaterConfig
 from ebbsync.functions.sizes import broadcast_if, fits
-from ebbsync.operators.acks import acks, last_delivery, outcomes, unanswered
+from ebbsync.operators.acks import DELIVERY, acks, deliveries, outcomes, unanswered
 from ebbsync.operators.feed import explode_ids, pack_batches
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
 from ebbsync.operators.requests import ENTITY, lookup_state, resume_point
@@ -93,14 +93,14 @@ def allowed_requests(
 
 
 def failed_batches(looked_up: DataFrame) -> DataFrame:
-    return looked_up.filter(~F.col("fetched")).select("batch_id").distinct()
+    return looked_up.filter(~F.col("fetched")).select("batch_id", *DELIVERY).distinct()
 
 
 def touched_entities(looked_up: DataFrame, failed: DataFrame, failed_small: bool = False) -> DataFrame:
     """Distinct entities of done batches; a batch with a failed request touches nothing."""
     return (
         looked_up.filter(F.col("fetched"))
-        .join(broadcast_if(failed, failed_small), "batch_id", "left_anti")
+        .join(broadcast_if(failed, failed_small), ["batch_id", *DELIVERY], "left_anti")
         .select(*ENTITY)
         .distinct()
     )
@@ -168,19 +168,26 @@ def _apply(
             return finish(outcomes(batches, looked_up))
 
 
-def update_pass(batches: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int) -> DataFrame:
-    """Work one pass of batches and return its acknowledgements.
-
-    ``batches`` should be a table: several jobs read it. Done batches that come
-    back are skipped; batches that were not done run again when a later poll
-    brings them. Only epochs before this one are read, for the store and for the
-    acks, and the acks are written last, so running a pass again, as the same
-    epoch or as a new one, changes nothing.
+def update_pass(
+    batches: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int, again: bool = False
+) -> DataFrame:
+    """Work one pass of batches and return its acknowledgements, one per delivery.
+
+    ``batches`` should be a table: several jobs read it. Every delivery is run,
+    whatever became of its batch id before; only one that has an acknowledgement
+    itself is passed over, and with ``again`` not even that. Only epochs before
+    this one are read, for the store and for the acks, and the acks are written
+    last, so running a pass again, as the same epoch or as a new one, changes
+    nothing.
     """
-    delivered = last_delivery(batches)
-    few = fits(batches, cfg.broadcast_rows)
-    answered = _narrowed(store.acks(before=epoch), batches, ["batch_id"], few)
-    with scratch_table(unanswered(delivered, answered), "todo") as todo:
+    todo = deliveries(batches)
+    if not again:
+        # Acks are looked up among the polls of this pass, which the files' statistics narrow down.
+        polls = batches.agg(F.min("poll_seq").alias("low"), F.max("poll_seq").alias("high")).first()
+        answered = store.acks(before=epoch).filter(F.col("poll_seq").between(polls["low"], polls["high"]))
+        few = fits(batches, cfg.broadcast_rows)
+        todo = unanswered(todo, _narrowed(answered, batches, DELIVERY, few))
+    with scratch_table(todo, "todo") as todo:
         _apply(
             todo, explode_ids(todo), sources, store, cfg, epoch,
             finish=lambda outcome: store.write_acks(acks(outcome), epoch),

@@ -17,4 +17,4 @@ CHANGE_LOG = (
 
 STORE_BASE = "wiki_id INT, s STRING, p STRING, o STRING, backend STRING, namespace STRING"
 
-ACK = "batch_id BIGINT, poll_seq BIGINT, total BIGINT, failed BIGINT, body STRING, epoch BIGINT, status STRING"
+ACK = "batch_id BIGINT, poll_seq BIGINT, batch_pos INT, total BIGINT, failed BIGINT, body STRING, epoch BIGINT, status STRING"

@@ -11,6 +11,9 @@ from ebbsync import schemas
 # poll-17.json or poll_seq=17/part-0.txt.
 POLL_NUMBER = r"(?:poll-|poll_seq=)(\d+)"
 
+#: A stream forgets no file for its age: one may arrive long after it was written.
+ANY_AGE = {"maxFileAge": "1000000d"}
+
 
 def read_polls(
     spark: SparkSession,
@@ -26,6 +29,8 @@ def read_polls(
     ``landed_at`` is the modification time of the file a response came in.
     """
     reader = spark.readStream if streaming else spark.read
+    if streaming:
+        reader = reader.options(**ANY_AGE)
     if streaming and max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     landed_at = [F.col("_metadata.file_modification_time").alias("landed_at")] if streaming else []

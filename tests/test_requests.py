@@ -4,7 +4,7 @@ import pytest
 
 from conftest import batch, polls, tuples
 from ebbsync.config import UpdaterConfig
-from ebbsync.operators.acks import ack_batch_ids, acks, last_delivery, outcomes, pending, unanswered, validate_acks
+from ebbsync.operators.acks import ack_batch_ids, acks, deliveries, outcomes, pending, unanswered, validate_acks
 from ebbsync.operators.feed import explode_ids, flatten_batches, land_polls
 from ebbsync.operators.metrics import pass_metrics
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
@@ -60,19 +60,19 @@ def test_ack_validation(spark):
     ]
 
 
-def test_retries_are_unanswered_and_done_batches_are_not(spark):
-    batches = spark.createDataFrame([(1, 0), (2, 0), (2, 1), (3, 1)], "batch_id BIGINT, poll_seq BIGINT")
-    acked = spark.createDataFrame(
-        [(1, 0, "done"), (2, 0, "not_done")], "batch_id BIGINT, poll_seq BIGINT, status STRING"
-    )
+def test_answers_are_per_delivery(spark):
+    key = "batch_id BIGINT, poll_seq BIGINT, batch_pos INT"
+    batches = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (2, 1, 0), (3, 1, 1), (1, 1, 2)], key)
+    acked = spark.createDataFrame([(1, 0, 0, "done"), (2, 0, 1, "not_done")], key + ", status STRING")
     assert tuples(pending(batches, acked).select("batch_id", "poll_seq")) == [(2, 0), (2, 1), (3, 1)]
-    assert tuples(unanswered(batches, acked).select("batch_id", "poll_seq")) == [(2, 1), (3, 1)]
+    assert tuples(unanswered(batches, acked).select("batch_id", "poll_seq")) == [(1, 1), (2, 1), (3, 1)]
 
 
-def test_last_delivery(spark):
+def test_deliveries(spark):
     feed = polls(spark, [batch(1, "Q1"), batch(2, "Q2")], [batch(3, "Q3"), batch(1, "Q9")])
-    got = last_delivery(flatten_batches(feed)).select("batch_id", "poll_seq", "batch_pos", "entity_ids")
-    assert tuples(got) == [(1, 1, 1, "Q9"), (2, 0, 1, "Q2"), (3, 1, 0, "Q3")]
+    landed_twice = flatten_batches(feed).unionByName(flatten_batches(feed))
+    got = deliveries(landed_twice).select("batch_id", "poll_seq", "batch_pos", "entity_ids")
+    assert tuples(got) == [(1, 0, 0, "Q1"), (1, 1, 1, "Q9"), (2, 0, 1, "Q2"), (3, 1, 0, "Q3")]
 
 
 def test_latest_request_wins(spark, wikis):

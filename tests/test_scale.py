@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from workload.queries import QUERIES
 from conftest import SF_DIR
 from ebbsync.operators.feed import feed_positions
 from ebbsync.operators.requests import latest_per_entity, lookup_state
@@ -23,9 +23,9 @@ def final_plan(df):
     return execution.executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITERS))
 def test_plans_stay_in_the_jvm_and_gather_nothing(spark, name):
-    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "ObjectHashAggregate(keys=[]"):
         assert word not in plan, word
     # The only window runs over one total per wiki and piece.

@@ -141,11 +141,11 @@ def test_dump_needs_a_path(spark, folder):
 
 def test_acks_are_compacted_and_covered_epochs_expire(spark, folder):
     store = Store(spark, folder)
-    columns = "batch_id BIGINT, poll_seq BIGINT, total BIGINT, failed BIGINT, body STRING, status STRING"
+    columns = "batch_id BIGINT, poll_seq BIGINT, batch_pos INT, total BIGINT, failed BIGINT, body STRING, status STRING"
     for epoch in range(4):
         store.load(routed(spark, [(1, f"s{epoch}", "p", "1")]), epoch)
         status = "done" if epoch % 2 else "not_done"
-        store.write_acks(spark.createDataFrame([(epoch, epoch, 1, 0, "{}", status)], columns), epoch)
+        store.write_acks(spark.createDataFrame([(epoch, epoch, 0, 1, 0, "{}", status)], columns), epoch)
     acked, now = tuples(store.acks()), live(store)
     store.compact(upto=1)
     store.compact(upto=2)

@@ -1,4 +1,7 @@
 import json
+import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +12,9 @@ from ebbsync.config import UpdaterConfig
 from ebbsync.operators.feed import flatten_batches
 from ebbsync.plans.update import Sources, VerifyError, one_run, run_once, update_pass
 from ebbsync.sources.feed import write_poll_files
-from ebbsync.sources.store import Store
+from ebbsync.sources.store import Store, list_numbers
 from ebbsync.streaming.dedup import dedup_deliveries
-from ebbsync.streaming.updater import Updater, start_updater, trigger_for
+from ebbsync.streaming.updater import Updater, run_until_one_stops, start_updater, trigger_for
 
 TRIPLE = "wiki_id INT, s STRING, p STRING, o STRING"
 SUBJECT = "https://{}/entity/{}".format
@@ -44,7 +47,7 @@ def live(store):
 
 
 OLD = {(w, q, "old") for w in (1, 2) for q in ("Q1", "Q2", "Q8")}
-CFG = UpdaterConfig(verify=True, dedup_salts=4)
+CFG = UpdaterConfig(verify=True)
 
 
 @pytest.mark.parametrize("broadcast_rows, prune_tenants", [(0, 0), (1000, 0), (1000, 1000)])
@@ -67,11 +70,24 @@ def test_pass_applies_done_batches_only(spark, sources, store, broadcast_rows, p
     assert update_pass(batches, sources, store, cfg, 2).isEmpty()
     assert live(store) == expected and store.acks().count() == 5
 
-    # In a later poll batch 2 comes back and works, batch 1 comes back and is skipped.
+    # In a later poll batch 2 comes back and works, and batch 1 is run again too.
     later = flatten_batches(polls(spark, "[]", [batch(2, "Q2", A), batch(1, "Q1", A)])).persist()
-    assert tuples(update_pass(later, sources, store, cfg, 3).select("batch_id", "status")) == [(2, "done")]
+    assert tuples(update_pass(later, sources, store, cfg, 3).select("batch_id", "status")) == [(1, "done"), (2, "done")]
     assert (1, "Q2", "new") in live(store)
-    assert store.acks().filter("batch_id = 1").count() == 1
+    assert store.acks().filter("batch_id = 1").count() == 2
+
+
+def test_reused_ids_are_work_of_their_own(spark, sources, store):
+    """A feed that starts counting anew sends other entities under a known id."""
+    feed = [[batch(1, "Q1", A), batch(1, "Q2", A)], [batch(1, "Q3", A)]]
+    got = update_pass(flatten_batches(polls(spark, *feed)), sources, store, CFG, 1)
+    assert tuples(got.select("poll_seq", "batch_pos", "batch_id", "status")) == [
+        (0, 0, 1, "done"), (0, 1, 1, "done"), (1, 0, 1, "done"),
+    ]
+    assert {(1, "Q1", "new"), (1, "Q2", "new"), (1, "Q3", "new")} <= live(store)
+    later = flatten_batches(polls(spark, "[]", "[]", [batch(1, "Q2", B)]))
+    assert update_pass(later, sources, store, CFG, 2).count() == 1
+    assert (2, "Q2", "new") in live(store)
 
 
 def test_pass_filters_by_namespace(spark, sources, store):
@@ -124,7 +140,7 @@ FEED = [
 
 def service(spark, folder, sources, store, **options):
     options = {"max_files_per_trigger": 2, **options}
-    cfg = UpdaterConfig(verify=True, dedup_salts=4, **options)
+    cfg = UpdaterConfig(verify=True, **options)
     return Updater(spark, f"{folder}/feed", f"{folder}/state", sources, store, cfg)
 
 
@@ -137,8 +153,9 @@ def test_service_works_like_the_batch_passes(spark, sources, store, folder):
     }
     assert live(store) == expected
     done = store.acks().filter("status = 'done'").select("batch_id")
-    assert tuples(done) == [(1,), (2,), (3,), (4,)]
+    assert tuples(done.distinct()) == [(1,), (2,), (3,), (4,)]
     assert updater.pending().isEmpty()
+    assert updater.requeue() is None
     assert tuples(updater.quarantine().select("poll_seq", "reason")) == [
         (1, "invalid_json"), (2, "malformed_batch"), (2, "malformed_batch"), (3, "empty"), (5, "not_array"),
     ]
@@ -157,9 +174,11 @@ def test_service_works_like_the_batch_passes(spark, sources, store, folder):
 def test_a_backlog_in_a_table_is_one_pass(spark, sources, store, folder):
     polls(spark, *FEED).write.parquet(f"{folder}/feed")
     service(spark, folder, sources, store, feed_format="parquet", max_files_per_trigger=None).run_available()
-    # Within a pass the last delivery of a batch counts: batch 2 works at once.
+    # Every delivery is answered; batch 2 fails in the first and works in the second.
     assert store.acks().select("epoch").distinct().count() == 1
-    assert tuples(store.acks().select("batch_id", "status")) == [(1, "done"), (2, "done"), (3, "done"), (4, "done")]
+    assert tuples(store.acks().select("batch_id", "status")) == [
+        (1, "done"), (1, "done"), (2, "done"), (2, "not_done"), (3, "done"), (4, "done"),
+    ]
     assert {(1, "Q1", "new"), (1, "Q2", "new"), (2, "Q2", "new")} <= live(store)
 
 
@@ -183,15 +202,77 @@ def test_lost_pass_is_replayed(spark, sources, store, folder, monkeypatch):
     updater.run_available()
     assert (1, "Q5", "new") in live(store) and (1, "Q2", "new") in live(store)
     done = store.acks().filter("status = 'done'").select("batch_id")
-    assert tuples(done) == [(1,), (2,), (3,), (4,)]
+    assert tuples(done.distinct()) == [(1,), (2,), (3,), (4,)]
+
+
+def put_poll(spark, folder, number, *batches, age_days=0):
+    """One poll file, dated ``age_days`` back."""
+    path = Path(f"{folder}/feed/poll-{number}.json")
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(json.dumps(batches))
+    then = time.time() - age_days * 86_400
+    os.utime(path, (then, then))
+
+
+def test_a_limit_counts_passes_and_loses_no_poll(spark, sources, store, folder):
+    updater = service(spark, folder, sources, store, max_files_per_trigger=None)
+    for number in range(2):
+        put_poll(spark, folder, number, batch(number, "Q1", A))
+    updater.run_passes(0)
+    updater.run_passes(-2)
+    assert not Path(f"{folder}/state").exists()
+    updater.run_passes(1)
+    for number in range(2, 5):
+        put_poll(spark, folder, number, batch(number, "Q2", A))
+    assert store.acks().count() == 2
+    updater.run_passes(2)
+    assert tuples(store.acks().select("poll_seq", "status")) == [(n, "done") for n in range(5)]
+
+
+def test_late_polls_are_worked(spark, sources, store, folder):
+    """A poll file far older than those before it, as after a backfill or a copy that keeps times."""
+    updater = service(spark, folder, sources, store)
+    put_poll(spark, folder, 1, batch(1, "Q1", A))
+    updater.run_available()
+    put_poll(spark, folder, 0, batch(0, "Q2", A), age_days=400)
+    put_poll(spark, folder, 2, batch(2, "Q3", A), age_days=30)
+    updater.run_available()
+    assert tuples(store.acks().select("poll_seq", "status")) == [(0, "done"), (1, "done"), (2, "done")]
+    assert {(1, "Q1", "new"), (1, "Q2", "new"), (1, "Q3", "new")} <= live(store)
 
 
-def test_pass_limit_of_the_service(spark, sources, store, folder):
-    write_poll_files(polls(spark, *FEED), f"{folder}/feed")
-    cfg = UpdaterConfig(pass_limit=1)
-    for query in start_updater(spark, f"{folder}/feed", f"{folder}/state", sources, store, cfg):
-        query.awaitTermination()
-    assert tuples(store.acks().select("batch_id", "status")) == [(1, "done"), (2, "not_done")]
+def test_pending_batches_are_run_again(spark, sources, store, folder):
+    put_poll(spark, folder, 0, batch(1, "Q2,Q99", A))
+    updater = service(spark, folder, sources, store)
+    updater.run_available()
+    assert tuples(updater.pending().select("batch_id")) == [(1,)] and (1, "Q2", "old") in live(store)
+    known = sources.snapshot.unionByName(spark.createDataFrame([(1, "Q99")], "wiki_id INT, entity_id STRING"), allowMissingColumns=True)
+    updater.sources = Sources(sources.wikis, known, sources.current)
+    assert tuples(updater.requeue().select("batch_id", "status")) == [(1, "done")]
+    assert (1, "Q2", "new") in live(store) and updater.pending().isEmpty()
+
+
+def test_a_failed_query_stops_the_other(spark, store, folder):
+    put_poll(spark, folder, 0, batch(1, "Q1", A))
+
+    def broken():
+        raise RuntimeError("the sources are gone")
+
+    queries = start_updater(spark, f"{folder}/feed", f"{folder}/state", broken, store, CFG)
+    with pytest.raises(Exception, match="the sources are gone"):
+        run_until_one_stops(queries, 0.2)
+    assert not any(query.isActive for query in queries)
+
+
+def test_long_runs_keep_their_books_short(spark, sources, store, folder):
+    updater = service(spark, folder, sources, store, compact_every=2, keep_epochs=1)
+    for number in range(5):
+        put_poll(spark, folder, number, batch(number, "Q1", A))
+        updater.run_available()
+    assert len(list_numbers(spark, store.log_dir, "epoch", finished=False)) <= 4
+    assert len(list_numbers(spark, store.base_dir, "upto", finished=False)) <= 2
+    assert tuples(store.acks().select("poll_seq")) == [(n,) for n in range(5)]
+    assert not Path(f"{folder}/state/passes").exists()
 
 
 def test_running_service_sees_new_polls_and_rewritten_tables(spark, sources, store, folder):
@@ -230,7 +311,6 @@ def test_running_service_sees_new_polls_and_rewritten_tables(spark, sources, sto
 def test_triggers():
     assert trigger_for(UpdaterConfig(interval_s=3)) == {"processingTime": "3 seconds"}
     assert trigger_for(UpdaterConfig(interval_s=0)) == {"processingTime": "0 seconds"}
-    assert trigger_for(UpdaterConfig(pass_limit=4)) == {"availableNow": True}
     assert trigger_for(UpdaterConfig(), drain=True) == {"availableNow": True}
 
 
@@ -263,6 +343,12 @@ def test_command_line(spark, sources, store, folder):
     assert main([*once, "Q2", "--facts", "--langs", "de,en", "--single-label", "--skip-links"]) == 0
     assert {o for w, q, o in live(store) if (w, q) == (1, "Q2")} == {"two", "zwei"}
     assert tuples(store.current().filter("p LIKE 'label%'").select("p", "o")) == [("label@de", "zwei")]
+    for option in (["--langs", "de"], ["--single-label"], ["--skip-links"]):
+        with pytest.raises(SystemExit):
+            main([*once, "Q1", *option])
     write_poll_files(polls(spark, [batch(3, "Q2", B)]), f"{folder}/feed")
     assert main(["service", *common, "--feed", f"{folder}/feed", "--state", f"{folder}/state", "--pass-limit", "1"]) == 0
     assert {(1, "Q1", "new"), (2, "Q2", "new")} <= live(store)
+    assert main(["requeue", *common, "--state", f"{folder}/state"]) == 0
+    assert main(["compact", "--store", store.root]) == 0
+    assert len(list_numbers(spark, store.log_dir, "epoch")) == 0 and (2, "Q2", "new") in live(store)
