@@ -3,16 +3,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from workload.queries import QUERIES
 from conftest import SF_DIR
 from ebbsync.operators.feed import feed_positions
 from ebbsync.operators.requests import latest_per_entity, lookup_state
 from ebbsync.operators.sync import diff_log, diff_triples
 from ebbsync.plans.update import Sources
 from ebbsync.sources.store import Store
+from workload.queries import QUERIES
 
 # Queries whose result is read from what a job wrote; their plan is a scan.
-WRITERS = {"catch_up_sync", "payload_dump", "run_once_sync", "store_apply", "stream_dedup", "stream_update"}
+WRITERS = {"catch_up_sync", "payload_dump", "run_once_sync", "store_apply", "stream_dedup", "stream_late",
+           "stream_redelivery", "stream_update"}
 
 
 def final_plan(df):

@@ -278,5 +278,9 @@ ORACLES = {
         SELECT op, wiki_id, s, p, o FROM ops SEMI JOIN touched USING (wiki_id, s)""",
     "stream_update": f"""WITH {TYPED_DIFF}
         SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
+    "stream_redelivery": f"""WITH {TYPED_DIFF}
+        SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
+    "stream_late": f"""WITH {TYPED_DIFF}
+        SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
 }

@@ -13,6 +13,7 @@ from ebbsync.functions.sizes import fits
 from ebbsync.operators import acks, feed, metrics, munge, requests, routing, sync
 from ebbsync.plans.update import Sources, catch_up, failed_batches, run_once, touched_entities
 from ebbsync.session import configure, work_dir
+from ebbsync.sources.feed import write_poll_files
 from ebbsync.sources.store import Store, dump
 from ebbsync.streaming.dedup import dedup_deliveries
 from ebbsync.streaming.updater import Updater
@@ -224,12 +225,9 @@ def latest_change(spark, sf_dir):
 
 @query
 def resume_point(spark, sf_dir):
-    again = requests.resume_point(
-        tables.changes(spark, sf_dir),
-        tables.applied(spark, sf_dir),
-        # One row per nation, a table of fixed size.
-        broadcast_starts=True,
-    )
+    applied = tables.applied(spark, sf_dir)
+    few = fits(applied.select("wiki_id").distinct(), CFG.broadcast_rows)
+    again = requests.resume_point(tables.changes(spark, sf_dir), applied, broadcast_starts=few)
     return again.select("wiki_id", "change_id", "entity_id", "ts", "start_ts")
 
 
@@ -281,6 +279,34 @@ def stream_update(spark, sf_dir):
     return store.current()
 
 
+@query
+def stream_redelivery(spark, sf_dir):
+    """The service over a feed whose batch ids start anew in every poll, in several passes."""
+    state = work_dir(spark, "service")
+    tables.recounted_polls(spark, sf_dir).repartition(4, "poll_seq").write.parquet(f"{state}/feed")
+    store = Store(spark, f"{state}/store")
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    cfg = replace(CFG, feed_format="parquet", max_files_per_trigger=1)
+    Updater(spark, f"{state}/feed", state, _sources(spark, sf_dir, typed=True), store, cfg).run_available()
+    return store.current()
+
+
+@query
+def stream_late(spark, sf_dir):
+    """The service over poll files; every other one arrives after the rest, dated a year before them."""
+    state = work_dir(spark, "service")
+    store = Store(spark, f"{state}/store")
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    updater = Updater(spark, f"{state}/feed", state, _sources(spark, sf_dir, typed=True), store, CFG)
+    polls = tables.feed(spark, sf_dir)
+    write_poll_files(polls.filter("poll_seq % 2 = 1"), f"{state}/feed/first")
+    updater.run_available()
+    write_poll_files(polls.filter("poll_seq % 2 = 0"), f"{state}/feed/late")
+    tables.date_back(spark, f"{state}/feed/late", days=365)
+    updater.run_available()
+    return store.current()
+
+
 @query
 def stream_dedup(spark, sf_dir):
     path = work_dir(spark, "dedup")

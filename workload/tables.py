@@ -130,6 +130,25 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_polls(spark, feed_path(spark, sf_dir), fmt="parquet")
 
 
+def recounted_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with batch ids that start at 1 in every poll, as after a restart of the feed's counter."""
+    number = (F.col("batch_pos") + 1).cast("bigint")
+    batch = batch_json(number, *[F.col(c) for c in ("entity_ids", "domain", "backend", "namespace")])
+    members = F.array_sort(F.collect_list(F.struct("batch_pos", batch.alias("batch"))))
+    flat = flatten_batches(feed(spark, sf_dir))
+    return flat.groupBy("poll_seq").agg(F.to_json(F.transform(members, lambda m: m["batch"])).alias("body"))
+
+
+def date_back(spark: SparkSession, path: str, days: int) -> None:
+    """Set the modification time of every file below ``path`` back."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        status = files.next()
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
 def feed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_wikis(flatten_batches(feed(spark, sf_dir)), wikis(spark, sf_dir))
 
