@@ -14,9 +14,10 @@ connected components.
 
 Equal texts are one node from the start, so a group of copies costs one sketch.
 Within a bucket each node is compared with one, the leader. Where nodes of a
-bucket stay in different components, they meet again in finer buckets and are
-compared with two nodes of each. So a group of near copies costs a number of
-comparisons per member and not its square.
+bucket stay in different components, all its pairs of two components are
+considered, and those that no exact bound rules out are compared. So no two
+similar texts of a bucket end apart, and a group of near copies that its leader
+holds together costs a comparison per member.
 
 Defined results: null and empty texts are equal texts without shingles. A text of
 one to four words has one shingle. A class is named by its least ``doc_id``
@@ -43,6 +44,8 @@ BANDS = 24
 KEPT = 6
 #: Nodes or removed rows up to which a key set is broadcast: 32 bytes each.
 BROADCAST_ROWS = 200_000
+#: Shingles of a block of a bucket whose pairs are all considered: eight bytes each, two blocks at a time.
+BLOCK_SHINGLES = 500_000
 #: Shingles above which bands are sketched one after another, to bound memory.
 _WIDE = 50_000
 
@@ -189,17 +192,56 @@ def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def _band_pairs(bands: str) -> Column:
-    """A bucket for every two bands."""
-    at = F.lit(BANDS - 1)
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), at - 1),
-            lambda i: F.transform(
-                F.sequence(i + 1, at), lambda j: F.xxhash64(i, j, F.get(F.col(bands), i), F.get(F.col(bands), j))
-            ),
-        )
-    ).alias("fine")
+def block_links(ids: np.ndarray, labels: np.ndarray, sides: np.ndarray, packed: list[bytes]) -> list[tuple[int, int]]:
+    """Links between a block's nodes, as many as join what is similar in it: every pair of two components is considered.
+
+    With two sides in the block, pairs are of one node of each. A pair is passed
+    over only where it cannot be similar enough: by its sizes, by having none of
+    the rarest shingles in common that one of any similar pair must be among, or
+    by its shingles in common.
+    """
+    texts = [np.frombuffer(p, np.uint64) for p in packed]
+    sizes = np.array([len(t) for t in texts])
+    n = len(texts)
+    _, place = np.unique(np.concatenate([label_occurrences(t) for t in texts]), return_inverse=True)
+    node = np.repeat(np.arange(n), sizes)
+    rare_first = np.lexsort((place, np.bincount(place)[place], node))
+    place = place[rare_first]
+    start = np.cumsum(sizes) - sizes
+    rarest = sizes - np.ceil(MIN_SIMILARITY * sizes - 1e-9).astype(int) + 1
+    in_prefix = np.arange(len(node)) - start[node] < rarest[node]
+
+    def index(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = chosen[np.argsort(place[chosen], kind="stable")]
+        return node[order], np.searchsorted(place[order], np.arange(place.max() + 2))
+
+    all_nodes, all_starts = index(np.arange(len(node)))
+    nodes, starts = index(np.flatnonzero(in_prefix))
+    two_sided = len(np.unique(sides)) > 1
+    labels, links = labels.copy(), []
+    for x in range(n):
+        own = place[start[x] : start[x] + sizes[x]]
+        met = np.unique(np.concatenate([nodes[starts[s] : starts[s + 1]] for s in own[: rarest[x]]]))
+        met = met[(met > x) & (labels[met] != labels[x])]
+        if two_sided:
+            met = met[sides[met] != sides[x]]
+        short, long = np.minimum(sizes[met], sizes[x]), np.maximum(sizes[met], sizes[x])
+        met = met[short >= MIN_SIMILARITY * long - 1e-9]
+        if len(met) == 0:
+            continue
+        shared = np.bincount(np.concatenate([all_nodes[all_starts[s] : all_starts[s + 1]] for s in own]), minlength=n)[met]
+        met = met[shared * (1 + MIN_SIMILARITY) >= MIN_SIMILARITY * (sizes[met] + sizes[x]) - 1e-9]
+        for y in met.tolist():
+            if labels[x] != labels[y] and similarity(texts[x], texts[y]) >= MIN_SIMILARITY:
+                links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                labels[labels == labels[y]] = labels[x]
+    return links
+
+
+def _link_block(block: pa.Table) -> pa.Table:
+    ids, labels, sides = (block.column(c).to_numpy() for c in ("id", "label", "side"))
+    links = block_links(ids, labels, sides, block.column("shingles").to_pylist())
+    return pa.table({c: pa.array([link[i] for link in links], pa.int64()) for i, c in enumerate("ab")})
 
 
 class NearDuplicates:
@@ -223,7 +265,8 @@ class NearDuplicates:
 
         The leader is the node that meets most others in all its buckets: in a
         group of copies that is one near their common origin, which is similar to
-        more of them than any other.
+        more of them than any other. Any other choice would cost more comparisons
+        and give the same classes.
         """
         placed = self.nodes.select("id", F.posexplode("bands").alias("band", "bucket"))
         shared = placed.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
@@ -233,8 +276,8 @@ class NearDuplicates:
         leader = F.min(F.struct(-F.col("met"), "id"))["id"].alias("leader")
         return shared.join(shared.groupBy("band", "bucket").agg(leader), ["band", "bucket"])
 
-    def _verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose texts are similar enough."""
+    def _verified(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs whose texts are similar enough, and the shingles of all nodes that are in a pair."""
         pairs = self._table(pairs.distinct(), "pairs")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         keys = self._table(self.nodes.select("id", "key").join(wanted, "id", "left_semi"), "wanted")
@@ -246,41 +289,41 @@ class NearDuplicates:
             shingled.withColumnsRenamed({"id": "b", "shingles": "shingles_b"}), "b"
         )
         scored = both.mapInArrow(_verify_batches, "a bigint, b bigint, similarity double")
-        return scored.filter(F.col("similarity") >= MIN_SIMILARITY)
+        return scored.filter(F.col("similarity") >= MIN_SIMILARITY).select("a", "b"), shingled
 
     def _classes(self) -> DataFrame:
         """The least node of each linked node's class."""
         members = self._table(self._members(), "members")
-        first = _pairs(members, "leader", "id")
-        links = self._table(self._verified(first), "links")
+        verified, shingled = self._verified(_pairs(members, "leader", "id"))
+        links = self._table(verified, "links")
         labels = components(links, "a", "b")
-        more = self._table(self._verified(self._still_apart(members, labels)), "links")
+        more = self._table(self._still_apart(members, labels, shingled), "links")
         if more.isEmpty():
             return labels
         return components(links.unionByName(more), "a", "b")
 
-    def _still_apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs to compare in buckets whose nodes are in more than one component.
+    def _still_apart(self, members: DataFrame, labels: DataFrame, shingled: DataFrame) -> DataFrame:
+        """Links in buckets whose nodes are in more than one component, found by comparing all their pairs.
 
-        Their nodes meet again in finer buckets, one for every two bands, and are
-        compared with the leader of each and with its least met node, where those
-        are in another component.
+        The leader was compared with all and stays out. A bucket is dealt into
+        blocks by its shingles, and every two of its blocks are a task's group, so
+        no group grows with the bucket.
         """
-        labelled = members.select("id", "band", "bucket", "met").join(labels, "id", "left")
+        bucket = ["band", "bucket"]
+        labelled = members.filter("id != leader").select("id", *bucket).join(labels, "id", "left")
         labelled = self._table(labelled.withColumn("label", F.coalesce("label", "id")), "labelled")
-        mixed = labelled.groupBy("band", "bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        apart = labelled.join(mixed.filter("low < high"), ["band", "bucket"]).select("id", "label", "met").distinct()
-        fine = apart.join(self.nodes.select("id", "bands"), "id").select("id", "label", "met", _band_pairs("bands"))
-        fine = self._table(fine.select("id", "label", "met", F.explode("fine").alias("bucket")), "fine")
-        ends = fine.groupBy("bucket").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct((-F.col("met")).alias("met"), "id", "label")).alias("most"),
-            F.min(F.struct("met", "id", "label")).alias("least"),
-        )
-        ends = ends.filter("low < high").select("bucket", F.explode(F.array("most", "least")).alias("end"))
-        met = fine.join(ends, "bucket").filter("label != end.label")
-        return _pairs(met.select("id", F.col("end.id").alias("end")), "id", "end")
+        mixed = labelled.groupBy(bucket).agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        apart = labelled.join(mixed.filter("low < high").select(bucket), bucket)
+        sizes = shingled.select("id", (F.length("shingles") / 8).alias("n_shingles"))
+        apart = self._table(apart.join(sizes, "id"), "apart")
+        total = F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).alias("blocks")
+        dealt = apart.join(apart.groupBy(bucket).agg(total), bucket)
+        dealt = dealt.withColumn("side", F.pmod(F.xxhash64("id"), "blocks"))
+        met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("met")
+        dealt = dealt.select("id", "label", *bucket, "side", met)
+        dealt = dealt.select("id", "label", *bucket, "side", F.least("side", "met").alias("low"), F.greatest("side", "met").alias("high"))
+        blocks = dealt.join(shingled, "id").groupBy(*bucket, "low", "high")
+        return blocks.applyInArrow(_link_block, "a bigint, b bigint").distinct()
 
     def members(self) -> DataFrame:
         """One row per document: ``doc_id``, ``key`` of its text, and ``class_id``."""
