@@ -5,7 +5,10 @@ of it this is. For each of ``BANDS`` random orders the ``KEPT`` least shingles
 are taken and put back into text order; their hash is the text's bucket in that
 band. Two texts share a bucket about with the ``KEPT``-th power of their
 similarity, and only if the shared shingles come in the same order, which is what
-makes the sketch follow edit similarity rather than overlap alone.
+makes the sketch follow edit similarity rather than overlap alone. A short text
+has few shingles to choose from, so there a change would be in most bands. Texts of
+up to ``SHORT`` shingles have their rarest shingles as buckets besides, enough of
+them that any two that are similar share one.
 
 Candidates are verified by aligning the two shingle sequences within a band of
 diagonals: with ``m`` aligned shingles of ``a`` and ``b``, their similarity is
@@ -42,6 +45,8 @@ from ebbsync.session import work_dir, written
 
 BANDS = 24
 KEPT = 6
+#: Shingles up to which similar texts are found by a shingle in common. Up to 0.8 of it no text needs bands.
+SHORT = 50
 #: Nodes or removed rows up to which a key set is broadcast: 32 bytes each.
 BROADCAST_ROWS = 200_000
 #: Shingles of a block of a bucket whose pairs are all considered: eight bytes each, two blocks at a time.
@@ -74,11 +79,11 @@ def label_occurrences(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The bucket of a shingle sequence in each band."""
-    if len(shingles) == 0:
+    """The bucket of a shingle sequence in each band; none where all that is similar is short."""
+    if len(shingles) <= MIN_SIMILARITY * SHORT:
         return np.empty(0, dtype=np.int64)
     labelled = label_occurrences(shingles)
-    kept = min(KEPT, len(labelled))
+    kept = KEPT
 
     def least(seeds: np.ndarray) -> np.ndarray:
         order = mix(labelled[None, :] ^ seeds[:, None])
@@ -98,9 +103,15 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
-        bands = [sketch(run_hashes(hashes.of(t.as_py().split()))) for t in batch.column("text")]
-        columns = [batch.column("doc_id"), batch.column("key"), pa.array(bands, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "bands"])
+        bands, short = [], []
+        for text in batch.column("text"):
+            shingles = run_hashes(hashes.of(text.as_py().split()))
+            bands.append(sketch(shingles))
+            short.append(label_occurrences(shingles).view(np.int64) if len(shingles) <= SHORT else [])
+        arrays = [pa.array(values, pa.list_(pa.int64())) for values in (bands, short)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), *arrays], names=["doc_id", "key", "bands", "short"]
+        )
 
 
 def _shingle_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,15 +262,32 @@ class NearDuplicates:
         self.spark = docs.sparkSession
         self.docs = docs
         keyed = docs.select("doc_id", _bytes(F.col("text")).alias("text"), text_key(F.col("text")).alias("key"))
-        schema = _kept_schema(keyed, "doc_id", "key") + ", bands array<bigint>"
+        schema = _kept_schema(keyed, "doc_id", "key") + ", bands array<bigint>, short array<bigint>"
         self.sketches = self._table(keyed.mapInArrow(_sketch_batches, schema), "sketches")
-        nodes = self.sketches.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+        own = (F.first(name).alias(name) for name in ("bands", "short"))
+        nodes = self.sketches.groupBy("key").agg(F.min("doc_id").alias("doc_id"), *own)
         self.nodes = self._table(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
         self.labels = self._classes()
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         return written(df, work_dir(self.spark, name))
 
+    def _short_buckets(self) -> DataFrame:
+        """The rarest shingles of each short text, as buckets.
+
+        Of two texts with shingles ordered alike, one's first ``n - ceil(0.8 n) + 1``
+        and the other's have one in common if they are similar. With the rarest
+        first, buckets are small.
+        """
+        each = self.nodes.select("id", F.size("short").alias("n"), F.explode("short").alias("bucket"))
+        each = self._table(each, "short")
+        often = each.groupBy("bucket").agg(F.count("*").alias("times"))
+        order = F.array_sort(F.collect_list(F.struct("times", "bucket"))).alias("order")
+        ordered = each.join(often, "bucket").groupBy("id", "n").agg(order)
+        first = F.floor((1 - MIN_SIMILARITY) * F.col("n") + 1e-9).cast("int") + 1
+        rarest = ordered.select("id", F.explode(F.slice("order", F.lit(1), first)).alias("s")).filter("s.times > 1")
+        return rarest.select("id", F.lit(BANDS).alias("band"), F.col("s.bucket").alias("bucket"))
+
     def _members(self) -> DataFrame:
         """Nodes of every bucket that has more than one, with the bucket's leader.
 
@@ -269,6 +297,7 @@ class NearDuplicates:
         and give the same classes.
         """
         placed = self.nodes.select("id", F.posexplode("bands").alias("band", "bucket"))
+        placed = self._table(placed.unionByName(self._short_buckets()), "placed")
         shared = placed.groupBy("band", "bucket").agg(F.count("*").alias("n")).filter("n > 1")
         shared = self._table(placed.join(shared, ["band", "bucket"]), "shared")
         met = shared.groupBy("id").agg(F.sum("n").alias("met"))

@@ -63,3 +63,19 @@ def test_no_similar_texts_of_a_bucket_end_apart(spark, hidden_pairs, monkeypatch
     assert all(similarity(runs[a], runs[b]) < 0.8 for a, b in combinations(range(0, 100, 2), 2))
     want = classes([(a, b) for a, b in pairs if (bands[a] == bands[b]).any()], runs)
     assert found(spark, hidden_pairs) == want
+
+
+def test_short_copies_are_all_found(spark):
+    """Of every length up to 50 shingles, a text and the longest that is similar, and two that are less."""
+    texts, pairs = {}, []
+    for n in range(4, 51):
+        for kind, more in enumerate((max(n // 4, 1), n // 4 + 1)):
+            words = [f"t{n}k{kind}w{i}" for i in range(n + 4)]
+            one, two = 2 * len(texts), 2 * len(texts) + 1
+            texts[one], texts[two] = " ".join(words), " ".join([*words, *(f"t{n}k{kind}m{i}" for i in range(more))])
+            if 4 * more <= n:
+                pairs.append((one, two))
+    runs = {d: shingles(t) for d, t in texts.items()}
+    assert all(similarity(runs[a], runs[b]) >= 0.8 for a, b in pairs)
+    assert len(pairs) == 47
+    assert found(spark, texts) == classes(pairs, texts)
