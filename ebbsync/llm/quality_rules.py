@@ -3,8 +3,10 @@
 Each rule looks at one trait of a text and votes good, votes bad, or abstains.
 How often each vote falls on good and on bad documents is estimated from the
 votes alone by expectation maximisation; a document's quality is its posterior
-probability of being good under those estimates. The posterior replaces the
-usual demand that every rule pass.
+probability of being good under those estimates. One estimate is bounded: no rule
+is taken to vote bad on more than ``MAX_FALSE_ALARM`` of the good documents. So one
+vote for bad is decisive in practice, as where every rule must pass, and a rule that
+is wrong more often than that is not found out.
 
 The votes of all documents are first counted by pattern. There are at most
 ``3 ** N_RULES`` patterns however many documents there are, so the estimation
