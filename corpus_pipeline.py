@@ -54,7 +54,8 @@ STAGES = [
     ("token ids", write_token_ids),
 ]
 
-# The last stage calls a tokenizer, which SQL cannot; tests/llm compares run() with a brute-force version.
+# The last stage calls a tokenizer, which SQL cannot. tests/llm has no brute-force version of run(): it checks which
+# ids may be stored.
 ORACLE_SQL = None
 
 
