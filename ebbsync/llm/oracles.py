@@ -112,3 +112,45 @@ SELECT conv_id, perspective, CASE WHEN placed THEN part END AS part, count(*) AS
     ORDER BY turn, speaker, body) FILTER (own), '') AS mask
 FROM placed_at GROUP BY conv_id, perspective, placed, part
 """
+
+ORACLES["op13_filter_audit"] = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '{_WORD}'), []) AS words FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text),
+marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    {{'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+      'C': 100 * length(regexp_replace(d.text, '[^A-Z]+', '', 'g')) > 2 * length(d.text),
+      'D': regexp_matches(d.text, '[#$%&*|]'), 'E': coalesce(first_id < d.doc_id, false)}} AS f
+  FROM docs d JOIN firsts USING (text) LEFT JOIN marks ON marks.doc_id = d.doc_id),
+sets AS (
+  SELECT part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B
+      WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END) AS fails,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM failed GROUP BY ALL),
+letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step::INTEGER AS step, substr(filter_order, step::INTEGER, 1) AS own,
+    string_split(substr(filter_order, 1, step::INTEGER - 1), '') AS prior
+  FROM orders, range(1, 6) AS r(step)),
+applied AS (
+  SELECT part, filter_order, step, own, n, good, toxic, len(fails) AS n_fails,
+    list_contains(fails, own) AS fails_own, list_has_any(fails, prior) AS gone FROM sets, steps),
+counted AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT fails_own AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails_own AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails_own AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails_own AND n_fails = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails_own AND NOT gone), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails_own AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM applied GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted"""

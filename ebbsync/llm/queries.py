@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbsync.llm import (
+    alignment,
     classifier,
     ctw,
     decontaminate,
+    filter_audit,
     mixing,
     perspectives,
     quality_rules,
+    simhash,
     token_counts,
     token_store,
     warc,
@@ -145,3 +148,34 @@ def op9_perspectives(spark, sf_dir):
 @query
 def op10_near_duplicates(spark, sf_dir):
     return NearDuplicates(table(spark, sf_dir, "documents")).members().select("doc_id", "class_id")
+
+
+@query
+def op11_alignment(spark, sf_dir):
+    return alignment.link_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@query
+def op12_fingerprints(spark, sf_dir):
+    edited = simhash.edited_by_next(table(spark, sf_dir, "documents"))
+    near = simhash.near_counts(edited.select("fingerprint"))
+    own, changed = F.col("fingerprint"), F.col("edited_fingerprint")
+    return edited.join(near, "fingerprint").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.as_text(own).alias("fingerprint"),
+        simhash.as_text(changed).alias("edited_fingerprint"),
+        simhash.likeness(own, changed).alias("near_edited"),
+        simhash.likeness(own, F.col("next_fingerprint")).alias("near_next"),
+        "n_near",
+    )
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
