@@ -1,21 +1,23 @@
 """Command line.
 
 ``service`` follows a feed and exits 1 if one of its queries fails. ``once``
-updates given ids and exits 0 or 1. ``requeue`` runs the pending batches of a
-stopped service again, and ``compact`` writes new bases of a store and deletes
-what they cover.
+updates given ids and exits 0 or 1. ``catch-up`` runs the changes of a table since
+each wiki's resume point, which it keeps with the store. ``requeue`` runs the
+pending batches of a stopped service again, and ``compact`` writes new bases of a
+store and deletes what they cover.
 """
 
 from __future__ import annotations
 
 import argparse
 import sys
+from datetime import datetime
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbsync.config import DEFAULT_NAMESPACES, DEFAULT_SCHEME, UpdaterConfig
-from ebbsync.plans.update import Sources, one_run, run_once
+from ebbsync.config import DEFAULT_DAYS_BACK, DEFAULT_NAMESPACES, DEFAULT_SCHEME, UpdaterConfig
+from ebbsync.plans.update import Sources, catch_up, one_run, run_once
 from ebbsync.session import configure
 from ebbsync.sources.store import Store
 from ebbsync.streaming.updater import Updater, run_until_one_stops
@@ -45,11 +47,16 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--interval", type=int, default=0, help="seconds between passes")
         command.add_argument("--pass-limit", type=int, default=-1, help="passes of this run; -1 runs without a limit")
         command.add_argument("--max-files", type=int, help="most files a pass takes up")
-        command.add_argument("--compact-every", type=int, default=100, help="epochs after which to write a base")
-        command.add_argument("--keep-epochs", type=int, default=100, help="covered epochs to leave")
+        command.add_argument("--compact-every", type=int, default=8, help="parts of one size to merge into one")
+        command.add_argument("--keep-epochs", type=int, default=100, help="merged epochs to leave")
+        command.add_argument("--max-tries", type=int, default=0, help="answers after which a batch is set aside")
+    catching = commands.add_parser("catch-up", parents=[common])
+    catching.add_argument("--changes", default="changes", help="table of changes in the folder of tables")
+    catching.add_argument("--start", type=datetime.fromisoformat, help="run all changes since this time")
+    catching.add_argument("--days-back", type=int, default=DEFAULT_DAYS_BACK, help="for wikis without a resume point")
     compact = commands.add_parser("compact")
     compact.add_argument("--store", required=True, help="folder of the store")
-    compact.add_argument("--keep-epochs", type=int, default=0, help="covered epochs to leave")
+    compact.add_argument("--keep-epochs", type=int, default=0, help="merged epochs to leave")
     once = commands.add_parser("once", parents=[common])
     for name in ("domain", "backend", "namespace"):
         once.add_argument(f"--{name}", required=True)
@@ -93,8 +100,10 @@ def main(argv: list[str] | None = None) -> int:
         interval_s=getattr(args, "interval", 0),
         pass_limit=getattr(args, "pass_limit", -1),
         max_files_per_trigger=getattr(args, "max_files", None),
-        compact_every=getattr(args, "compact_every", 100),
+        compact_every=getattr(args, "compact_every", 8),
         keep_epochs=getattr(args, "keep_epochs", 100),
+        max_tries=getattr(args, "max_tries", 0),
+        days_back=getattr(args, "days_back", DEFAULT_DAYS_BACK),
     )
 
     def sources() -> Sources:
@@ -104,7 +113,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "once":
         requests = one_run(spark, args.domain, args.backend, args.namespace, args.ids)
         return 0 if run_once(requests, sources(), store, cfg) else 1
-    updater = Updater(spark, args.feed, args.state, sources, store, cfg)
+    if args.command == "catch-up":
+        changes = spark.read.parquet(f"{args.tables}/{args.changes}")
+        return 0 if catch_up(changes, None, sources(), store, cfg, args.start) else 1
+
+    def report(counts: dict) -> None:
+        print("ebbsync: " + ", ".join(f"{name} {value}" for name, value in counts.items()), flush=True)
+
+    updater = Updater(spark, args.feed, args.state, sources, store, cfg, report)
     try:
         if args.command == "requeue":
             updater.requeue()

@@ -41,19 +41,27 @@ class UpdaterConfig:
     # Most files a pass takes up; without a limit a backlog is one pass, which
     # reads the store once instead of many times.
     max_files_per_trigger: int | None = None
-    # Log epochs after which the service writes a new base; 0 never does.
-    compact_every: int = 100
-    # Epochs under a base that the service leaves for readers of older states.
+    # Parts of the log of about the same size that the service merges into one; 1 writes a
+    # new base after every pass, 0 never merges.
+    compact_every: int = 8
+    # Merged epochs that the service leaves for readers of older states.
     keep_epochs: int = 100
+    # Answers after which a batch that is not done is set aside instead of queued again; 0 never is.
+    max_tries: int = 0
     max_records_per_file: int = 5_000_000
-    # Largest key set that is broadcast; a larger one is joined by shuffle.
+    # Largest key set that is broadcast, in rows and in bytes; a larger one is joined by shuffle.
     broadcast_rows: int = 200_000
+    broadcast_bytes: int = 64_000_000
     # Most wikis of a pass for which its tables are filtered by listing them.
     prune_tenants: int = 1_000
+    # Most subjects of a pass for which they and their buckets are listed.
+    prune_subjects: int = 1_000
 
     def __post_init__(self):
         if self.interval_s < 0:
             raise ValueError("interval_s must not be negative")
+        if self.max_tries < 0:
+            raise ValueError("max_tries must not be negative")
         if self.batch_size < 1:
             raise ValueError("batch_size must be positive")
         if self.single_label and not self.langs:

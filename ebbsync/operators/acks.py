@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbsync.functions.json import array_items, strict_document
-
+from ebbsync.functions.order import packed
+from ebbsync.operators.feed import batch_json
 
 # What a delivery is known by. Batch ids come back: as retries, and for other
 # work once the feed's counter starts anew.
 DELIVERY = ["poll_seq", "batch_pos"]
+# What makes two deliveries the same work: one that the feed sends again has all of it.
+WORK = ["batch_id", "entity_ids", "domain", "backend", "namespace"]
 
 
 def outcomes(batches: DataFrame, looked_up: DataFrame) -> DataFrame:
@@ -67,10 +70,54 @@ def ack_batch_ids(validated: DataFrame) -> DataFrame:
     )
 
 
-def pending(batches: DataFrame, acked: DataFrame) -> DataFrame:
-    """Batches without a ``done`` acknowledgement: not done, or never answered."""
-    done = acked.filter("status = 'done'").select("batch_id")
-    return batches.join(done, "batch_id", "left_anti")
+def tries_of(acked: DataFrame) -> DataFrame:
+    """Per delivery ``tries``, how often it was answered, and ``done``, whether its last answer was."""
+    epoch = F.col("epoch") if "epoch" in acked.columns else F.lit(0).cast("bigint")
+    # Grows with the epoch and is odd where that was done, so a maximum is the last outcome.
+    answer = epoch * 2 + F.when(F.col("status") == "done", 1).otherwise(0)
+    return (
+        acked.select(*DELIVERY, answer.alias("answer"))
+        .groupBy(*DELIVERY)
+        .agg(F.count(F.lit(1)).alias("tries"), F.max("answer").alias("answer"))
+        .select(*DELIVERY, "tries", (F.col("answer") % 2 == 1).alias("done"))
+    )
+
+
+def delivery_states(batches: DataFrame, acked: DataFrame, max_tries: int = 0) -> DataFrame:
+    """Every delivery with its ``tries`` and ``state``.
+
+    ``done``: its last answer was, or the same work was done by a later delivery, which is how a feed repeats what was
+    not done. ``unanswered``: no answer and no such delivery. Else it is ``not_done``, or ``given_up`` after
+    ``max_tries`` answers; 0 never gives up. Another batch that comes under the same id settles nothing: ids start anew
+    when the feed's counter does.
+    """
+    place = packed("poll_seq", "batch_pos")
+    own = deliveries(batches).join(tries_of(acked), DELIVERY, "left")
+    # Null fields do not occur in good batches.
+    settled = own.filter("done").groupBy(*WORK).agg(F.max(place).alias("done_at"))
+    settled_later = F.coalesce(F.col("done_at") > place, F.lit(False))
+    tries = F.coalesce("tries", F.lit(0)).cast("bigint")
+    given_up = (tries >= max_tries) if max_tries > 0 else F.lit(False)
+    state = (
+        F.when(F.coalesce("done", F.lit(False)) | settled_later, "done")
+        .when(F.col("tries").isNull(), "unanswered")
+        .when(given_up, "given_up")
+        .otherwise("not_done")
+    )
+    return own.join(settled, WORK, "left").withColumns({"state": state, "tries": tries}).drop("done", "done_at")
+
+
+def pending(batches: DataFrame, acked: DataFrame, max_tries: int = 0) -> DataFrame:
+    """Deliveries to run again: never answered, or not done and not given up."""
+    states = delivery_states(batches, acked, max_tries).filter("state IN ('unanswered', 'not_done')")
+    return states.select(*batches.columns)
+
+
+def given_up(batches: DataFrame, acked: DataFrame, max_tries: int) -> DataFrame:
+    """Deliveries that were tried too often, in the shape of the quarantine, with their text in the feed's shape."""
+    text = F.to_json(batch_json(*[F.col(c) for c in WORK]))
+    states = delivery_states(batches, acked, max_tries).filter("state = 'given_up'")
+    return states.select(*DELIVERY, F.lit("given_up").alias("reason"), text.alias("payload"))
 
 
 def unanswered(batches: DataFrame, acked: DataFrame) -> DataFrame:

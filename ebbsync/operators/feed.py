@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbsync.functions.json import array_items, integer, is_blank, scalar_text
 from ebbsync.functions.sizes import broadcast_if, fits
-from ebbsync.session import work_dir, written
+from ebbsync.session import Scratch
+from ebbsync.sources.parts import list_numbers
 
 # Where a batch of the feed holds each field.
 ID_PATH = "$.id"
@@ -105,7 +109,9 @@ def explode_ids(batches: DataFrame) -> DataFrame:
     )
 
 
-def feed_positions(changes: DataFrame, order: list[str], max_broadcast_rows: int = 200_000) -> DataFrame:
+def feed_positions(
+    changes: DataFrame, order: list[str], max_broadcast_rows: int = 200_000, scratch: Scratch | None = None
+) -> DataFrame:
     """Add ``pos``, the 0-based position of a change in its wiki's history.
 
     A ranking window would sort one wiki's whole history in one task. Here the
@@ -116,9 +122,10 @@ def feed_positions(changes: DataFrame, order: list[str], max_broadcast_rows: int
 
     The ranged rows and the pieces are written to tables in the shared folder,
     since both uses of the rows have to see the same pieces. The range exchange
-    therefore runs when this function is called.
+    therefore runs when this function is called. With a ``scratch`` scope the
+    tables go when it ends; without, they stay.
     """
-    spark = changes.sparkSession
+    scratch = scratch or Scratch(changes.sparkSession)
     keys = ["wiki_id", *order]
     numbered = (
         changes.repartitionByRange(*keys)
@@ -126,11 +133,11 @@ def feed_positions(changes: DataFrame, order: list[str], max_broadcast_rows: int
         .withColumn("row_no", F.monotonically_increasing_id())
     )
     # The upper 31 bits of the generated id are the partition.
-    ranged = written(numbered, work_dir(spark, "ranged")).withColumn("piece", F.shiftright("row_no", 33))
+    ranged = scratch.table(numbered, "ranged").withColumn("piece", F.shiftright("row_no", 33))
     lengths = ranged.groupBy("wiki_id", "piece").agg(
         F.min("row_no").alias("first_row"), F.count(F.lit(1)).alias("length")
     )
-    pieces = written(lengths, work_dir(spark, "pieces"))
+    pieces = scratch.table(lengths, "pieces")
     earlier = Window.partitionBy("wiki_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.select(
         "wiki_id",
@@ -145,27 +152,106 @@ def feed_positions(changes: DataFrame, order: list[str], max_broadcast_rows: int
     )
 
 
-def pack_batches(changes: DataFrame, size: int = 20, order: tuple[str, ...] = ("ts", "change_id")) -> DataFrame:
-    """Group each wiki's ordered changes into batches of ``size`` ids.
-
-    Returns ``(wiki_id, seq, entity_ids, n)``; ``seq`` counts a wiki's batches
-    from 0. No group is larger than ``size``.
-    """
-    placed = feed_positions(changes.select("wiki_id", *order, "entity_id"), list(order))
-    member = F.struct("pos", "entity_id")
+def _members(changes: DataFrame, size: int, order: Sequence[str], scratch: Scratch | None) -> DataFrame:
+    """Changes in groups of ``size`` by position: ``(wiki_id, seq, members)``, the members in order."""
+    placed = feed_positions(changes.select("wiki_id", *order, "entity_id"), list(order), scratch=scratch)
+    member = F.struct("pos", "entity_id", *order)
     return (
         placed.withColumn("seq", F.floor(F.col("pos") / size).cast("bigint"))
         .groupBy("wiki_id", "seq")
         .agg(F.array_sort(F.collect_list(member)).alias("members"))
-        .select(
-            "wiki_id",
-            "seq",
-            F.concat_ws(",", F.col("members.entity_id")).alias("entity_ids"),
-            F.size("members").alias("n"),
-        )
     )
 
 
+def _as_batches(members: DataFrame, order: Sequence[str]) -> DataFrame:
+    return members.select(
+        "wiki_id",
+        "seq",
+        F.concat_ws(",", F.col("members.entity_id")).alias("entity_ids"),
+        F.size("members").alias("n"),
+        F.try_element_at("members", F.lit(-1))[order[0]].alias("until"),
+    )
+
+
+def pack_batches(
+    changes: DataFrame, size: int = 20, order: Sequence[str] = ("ts", "change_id"), scratch: Scratch | None = None
+) -> DataFrame:
+    """Group each wiki's ordered changes into batches of ``size`` ids.
+
+    Returns ``(wiki_id, seq, entity_ids, n, until)``; ``seq`` counts a wiki's batches
+    from 0, and ``until`` is the first order column of its last change. No group
+    is larger than ``size``. ``Packer`` numbers on from call to call.
+    """
+    return _as_batches(_members(changes, size, order, scratch), order)
+
+
+@dataclass(frozen=True)
+class Packer:
+    """Packs a feed that goes on: numbers rise from call to call, and no batch is cut short by the end of a call.
+
+    Each call's batches are a table below ``root``, beside what the next call
+    starts from: per wiki the next number and the changes, fewer than ``size``,
+    that do not fill a batch yet. A call that was lost leaves nothing that is read.
+    """
+
+    spark: SparkSession
+    root: str
+    size: int = 20
+    order: tuple[str, ...] = ("ts", "change_id")
+
+    def _calls(self) -> list[int]:
+        return list_numbers(self.spark, f"{self.root}/carried", "call")
+
+    def batches(self, call: int | None = None) -> DataFrame:
+        """The batches of one call, or of all that were finished."""
+        calls = self._calls() if call is None else [call]
+        return self.spark.read.parquet(*[f"{self.root}/batches/call={n}" for n in calls])
+
+    def pack(self, changes: DataFrame, flush: bool = False) -> DataFrame:
+        """Pack changes that all come after those of earlier calls, wiki by wiki; returns this call's batches.
+
+        With ``flush`` the last changes of each wiki are packed too, though they do not fill a batch.
+        """
+        done = self._calls()
+        call = done[-1] + 1 if done else 0
+        columns = ["wiki_id", *self.order, "entity_id"]
+        changes = changes.select(*columns)
+        with Scratch(self.spark) as scratch:
+            carried = None
+            if done:
+                carried = self.spark.read.parquet(f"{self.root}/carried/call={done[-1]}")
+                waiting = carried.select("wiki_id", F.explode("waiting").alias("change")).select("wiki_id", "change.*")
+                changes = changes.unionByName(waiting.select(*columns))
+            grouped = _members(changes, self.size, self.order, scratch)
+            first = F.lit(0).cast("bigint")
+            if carried is not None:
+                starts = carried.select("wiki_id", F.col("next_seq").alias("first_seq"))
+                grouped = grouped.join(starts, "wiki_id", "left")
+                first = F.coalesce("first_seq", first)
+            grouped = scratch.table(grouped.withColumn("seq", F.col("seq") + first).select("wiki_id", "seq", "members"), "grouped")
+            closed = F.lit(True) if flush else F.size("members") == self.size
+            _as_batches(grouped.filter(closed), self.order).write.mode("overwrite").parquet(
+                f"{self.root}/batches/call={call}"
+            )
+            change = [*self.order, "entity_id"]
+            rows = grouped.select(
+                "wiki_id",
+                (F.col("seq") + F.when(closed, 1).otherwise(0)).alias("next_seq"),
+                F.when(~closed, F.transform("members", lambda m: F.struct(*[m[c].alias(c) for c in change]))).alias("waiting"),
+            )
+            if carried is not None:
+                # Wikis without a change in this call keep their number.
+                rows = rows.unionByName(carried.withColumn("waiting", F.lit(None).cast(rows.schema["waiting"].dataType)))
+            # At most one group of a wiki is open, so the maximum is that one.
+            after = rows.groupBy("wiki_id").agg(F.max("next_seq").alias("next_seq"), F.max("waiting").alias("waiting"))
+            none = F.array().cast(rows.schema["waiting"].dataType)
+            # Written last: it makes the call count.
+            after.withColumn("waiting", F.coalesce("waiting", none)).write.mode("overwrite").parquet(
+                f"{self.root}/carried/call={call}"
+            )
+        return self.batches(call)
+
+
 def batch_json(batch_id: Column, entity_ids: Column, domain: Column, backend: Column, namespace: Column) -> Column:
     """A batch as the struct that ``to_json`` renders in the feed's shape."""
     store = F.struct(backend.alias("backend"), namespace.alias("namespace"))

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbsync.functions.order import packed
 from ebbsync.functions.sizes import broadcast_if
 
 ENTITY = ["wiki_id", "entity_id"]
@@ -29,11 +30,12 @@ def lookup_state(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def latest_per_entity(requests: DataFrame) -> DataFrame:
     """The last request per entity in feed order, with the number it supersedes."""
-    order = F.struct("poll_seq", "batch_pos", "id_pos", "batch_id")
+    order = packed("poll_seq", "batch_pos", "id_pos")
+    last = [F.max_by(c, "order").alias(c) for c in ("poll_seq", "batch_pos", "id_pos", "batch_id")]
     return (
-        requests.groupBy(*ENTITY)
-        .agg(F.max(order).alias("last"), (F.count(F.lit(1)) - 1).alias("superseded"))
-        .select(*ENTITY, "last.*", "superseded")
+        requests.withColumn("order", order)
+        .groupBy(*ENTITY)
+        .agg(*last, (F.count(F.lit(1)) - 1).alias("superseded"))
     )
 
 

@@ -5,56 +5,92 @@ comparisons tag both sides, union them and aggregate on the whole triple. That
 takes one exchange, on a key no tenant or subject can make hot, and it removes
 repeats on the way; a pair of anti joins would take more exchanges and an extra
 distinct on each side.
+
+With ``route`` columns a subject is touched in the stores that its requests name,
+and each store is compared for itself: ``current``, ``log`` and ``touched`` all
+carry these columns, and so does the result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbsync.functions.buckets import bucket
 from ebbsync.functions.sizes import broadcast_if
 from ebbsync.functions.urls import entity_uri
 
 TRIPLE = ["wiki_id", "s", "p", "o"]
 SUBJECT = ["wiki_id", "s"]
+ROUTE = ["backend", "namespace"]
 
 
 def touched_subjects(entities: DataFrame, wikis: DataFrame) -> DataFrame:
-    """Distinct subjects ``(wiki_id, s)`` of the given ``(wiki_id, entity_id)`` rows."""
+    """Distinct subjects ``(wiki_id, s)`` of the given ``(wiki_id, entity_id)`` rows, per route where these have one."""
     subject = entity_uri(F.col("domain"), F.col("entity_id"))
+    route = [c for c in ROUTE if c in entities.columns]
     return (
-        entities.select("wiki_id", "entity_id").distinct()
+        entities.select("wiki_id", "entity_id", *route).distinct()
         .join(wikis.select("wiki_id", "domain"), "wiki_id")
-        .select("wiki_id", subject.alias("s"))
+        .select("wiki_id", subject.alias("s"), *route)
     )
 
 
-def _compare(current: DataFrame, log: DataFrame, touched: DataFrame, touched_small: bool) -> DataFrame:
+def touched_buckets(touched: DataFrame) -> DataFrame:
+    """The distinct buckets of subjects: whole numbers below ``BUCKETS``, however many subjects and however long."""
+    return touched.select(bucket(F.col("wiki_id"), F.col("s")).alias("bucket")).distinct()
+
+
+def in_buckets(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Rows whose subject is in one of the buckets: all of the touched subjects, and of others a share.
+
+    With n touched subjects that share is at most n / ``BUCKETS``. The buckets are
+    broadcast; their number and size are bounded by ``BUCKETS`` alone.
+    """
+    own = bucket(F.col("wiki_id"), F.col("s"))
+    return rows.withColumn("bucket", own).join(F.broadcast(numbers), "bucket", "left_semi").drop("bucket")
+
+
+def _compare(
+    current: DataFrame,
+    log: DataFrame,
+    touched: DataFrame,
+    touched_small: bool,
+    route: Sequence[str] = (),
+    buckets: DataFrame | None = None,
+) -> DataFrame:
     """Triples of touched subjects on which ``current`` and ``log`` differ, as ``op`` and triple.
 
     ``log`` has ``version``, even for a delete and odd for an insert, so that the
     largest version of a triple tells whether it is stored. With a small
     ``touched`` both inputs are cut down before the exchange; otherwise the
     comparison goes first, on the even key, and only differences meet ``touched``.
+    ``buckets`` are the buckets of a larger ``touched``, which cut most of the other
+    subjects off before the exchange.
     """
     none = F.lit(None)
-    tagged = current.select(*TRIPLE, F.lit(True).alias("wanted"), none.cast("bigint").alias("version")).unionByName(
-        log.select(*TRIPLE, none.cast("boolean").alias("wanted"), "version")
+    triple, subject = [*route, *TRIPLE], [*route, *SUBJECT]
+    tagged = current.select(*triple, F.lit(True).alias("wanted"), none.cast("bigint").alias("version")).unionByName(
+        log.select(*triple, none.cast("boolean").alias("wanted"), "version")
     )
-    keys = broadcast_if(touched.select(*SUBJECT), touched_small)
+    keys = broadcast_if(touched.select(*subject), touched_small)
     if touched_small:
-        tagged = tagged.join(keys, SUBJECT, "left_semi")
+        tagged = tagged.join(keys, subject, "left_semi")
+    elif buckets is not None:
+        tagged = in_buckets(tagged, buckets)
     wanted = F.coalesce("wanted", F.lit(False))
     stored = F.coalesce(F.col("version") % 2 == 1, F.lit(False))
     differing = (
-        tagged.groupBy(*TRIPLE)
+        tagged.groupBy(*triple)
         .agg(F.max("wanted").alias("wanted"), F.max("version").alias("version"))
-        .select(F.when(wanted & ~stored, "I").when(~wanted & stored, "D").alias("op"), *TRIPLE)
+        .select(F.when(wanted & ~stored, "I").when(~wanted & stored, "D").alias("op"), *triple)
         .filter("op IS NOT NULL")
     )
     if not touched_small:
-        differing = differing.join(keys, SUBJECT, "left_semi")
-    return differing.select("op", *TRIPLE)
+        differing = differing.join(keys, subject, "left_semi")
+    return differing.select("op", *triple)
 
 
 def log_versions(log: DataFrame) -> DataFrame:
@@ -62,9 +98,16 @@ def log_versions(log: DataFrame) -> DataFrame:
     return log.withColumn("version", F.col("epoch") * 2 + F.when(F.col("op") == "I", 1).otherwise(0))
 
 
-def diff_log(current: DataFrame, log: DataFrame, touched: DataFrame, touched_small: bool = False) -> DataFrame:
+def diff_log(
+    current: DataFrame,
+    log: DataFrame,
+    touched: DataFrame,
+    touched_small: bool = False,
+    route: Sequence[str] = (),
+    buckets: DataFrame | None = None,
+) -> DataFrame:
     """Inserts and deletes that make the log's live triples equal ``current`` for touched subjects."""
-    return _compare(current, log_versions(log), touched, touched_small)
+    return _compare(current, log_versions(log), touched, touched_small, route, buckets)
 
 
 def diff_triples(current: DataFrame, stored: DataFrame, touched: DataFrame, touched_small: bool = False) -> DataFrame:
@@ -96,12 +139,19 @@ def verify_applied(
     )
 
 
+def _last_versions(log: DataFrame) -> DataFrame:
+    route = [c for c in ROUTE if c in log.columns]
+    return log_versions(log).groupBy(*TRIPLE, *route).agg(F.max("version").alias("version"))
+
+
 def current_triples(log: DataFrame) -> DataFrame:
     """Live triples of a change log: those whose latest operation is an insert."""
-    route = [c for c in ("backend", "namespace") if c in log.columns]
-    return (
-        log_versions(log).groupBy(*TRIPLE, *route)
-        .agg(F.max("version").alias("version"))
-        .filter(F.col("version") % 2 == 1)
-        .select(*TRIPLE, *route)
-    )
+    return _last_versions(log).filter(F.col("version") % 2 == 1).drop("version")
+
+
+def last_operations(log: DataFrame) -> DataFrame:
+    """The last operation on each triple of a change log, with its epoch."""
+    inserted = F.col("version") % 2 == 1
+    return _last_versions(log).withColumns(
+        {"op": F.when(inserted, "I").otherwise("D"), "epoch": F.shiftright("version", 1)}
+    ).drop("version")

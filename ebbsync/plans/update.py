@@ -7,23 +7,24 @@ from dataclasses import dataclass, replace
 from datetime import datetime
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ebbsync import schemas
 from ebbsync.config import UpdaterConfig
-from ebbsync.functions.sizes import broadcast_if, fits
+from ebbsync.functions.buckets import BUCKETS, bucket
+from ebbsync.functions.sizes import broadcast_if, fits, size_of
 from ebbsync.operators.acks import DELIVERY, acks, deliveries, outcomes, unanswered
 from ebbsync.operators.feed import explode_ids, pack_batches
+from ebbsync.operators.metrics import answer_counts
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
 from ebbsync.operators.requests import ENTITY, lookup_state, resume_point
 from ebbsync.operators.routing import derive_targets, filter_namespaces, namespace_table, resolve_wikis
-from ebbsync.operators.sync import diff_log, touched_subjects
-from ebbsync.session import scratch_table
+from ebbsync.operators.sync import ROUTE, TRIPLE, diff_log, touched_buckets, touched_subjects
+from ebbsync.session import Scratch, scratch_table
+from ebbsync.sources.parts import Part
 from ebbsync.sources.store import Store, dump
 
-ROUTE = ["backend", "namespace"]
-
 Result = TypeVar("Result")
 
 
@@ -97,23 +98,19 @@ def failed_batches(looked_up: DataFrame) -> DataFrame:
 
 
 def touched_entities(looked_up: DataFrame, failed: DataFrame, failed_small: bool = False) -> DataFrame:
-    """Distinct entities of done batches; a batch with a failed request touches nothing."""
+    """Distinct entities of done batches, per store that a batch names; one with a failed request touches nothing."""
+    route = [c for c in ROUTE if c in looked_up.columns]
     return (
         looked_up.filter(F.col("fetched"))
         .join(broadcast_if(failed, failed_small), ["batch_id", *DELIVERY], "left_anti")
-        .select(*ENTITY)
+        .select(*ENTITY, *route)
         .distinct()
     )
 
 
-def last_routes(batches: DataFrame) -> DataFrame:
-    """The store each wiki is written to: the one its last batch names."""
-    return (
-        batches.filter("wiki_id IS NOT NULL")
-        .groupBy("wiki_id")
-        .agg(F.max_by(F.struct(*ROUTE), F.struct("poll_seq", "batch_pos")).alias("route"))
-        .select("wiki_id", "route.*")
-    )
+def pass_routes(batches: DataFrame) -> DataFrame:
+    """The stores that the pass's batches name for each wiki: one, or more where a wiki moves."""
+    return batches.filter("wiki_id IS NOT NULL").select("wiki_id", *ROUTE).distinct()
 
 
 def _narrowed(table: DataFrame, keys: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
@@ -123,6 +120,36 @@ def _narrowed(table: DataFrame, keys: DataFrame, on: Sequence[str], small: bool)
     return table.join(F.broadcast(keys.select(*on).distinct()), list(on), "left_semi")
 
 
+def _small(df: DataFrame, cfg: UpdaterConfig) -> bool:
+    return fits(df, cfg.broadcast_rows, cfg.broadcast_bytes)
+
+
+@dataclass(frozen=True)
+class _Touched:
+    """The subjects a pass syncs, and how the tables are cut down to them."""
+
+    subjects: DataFrame
+    small: bool
+    # The subjects and their buckets where they are few enough to be listed in a filter.
+    names: list[str] | None
+    numbers: list[int] | None
+    # The buckets of subjects that are too many to broadcast and few enough for buckets to tell most others apart.
+    buckets: DataFrame | None
+
+    @classmethod
+    def of(cls, subjects: DataFrame, cfg: UpdaterConfig) -> "_Touched":
+        rows, size = size_of(subjects)
+        small = rows <= cfg.broadcast_rows and size <= cfg.broadcast_bytes
+        if small and rows <= cfg.prune_subjects:
+            listed = subjects.select("s", bucket(F.col("wiki_id"), F.col("s")).alias("bucket")).distinct().collect()
+            return cls(subjects, True, sorted({row["s"] for row in listed}), sorted({row["bucket"] for row in listed}), None)
+        buckets = touched_buckets(subjects) if not small and rows <= BUCKETS // 2 else None
+        return cls(subjects, small, None, None, buckets)
+
+    def cut(self, current: DataFrame) -> DataFrame:
+        return current if self.names is None else current.filter(F.col("s").isin(self.names))
+
+
 def _apply(
     batches: DataFrame,
     requests: DataFrame,
@@ -132,44 +159,55 @@ def _apply(
     epoch: int,
     finish: Callable[[DataFrame], Result],
 ) -> Result:
-    """Sync the requested entities as one epoch, then give the outcome per batch to ``finish``."""
-    routes = last_routes(resolve_wikis(batches, sources.wikis))
-    few = fits(requests.select("entity_id"), cfg.broadcast_rows)
+    """Sync the requested entities as one epoch, then give the outcome per batch to ``finish``.
+
+    Every entity is synced in the stores that its own batches name, so it does not matter to a store how deliveries
+    fall into passes.
+    """
+    read = store.triple_parts.cover(epoch)
+    routes = pass_routes(resolve_wikis(batches, sources.wikis))
+    few = _small(requests.select("entity_id"), cfg)
     with scratch_table(routes, "routes") as routes:
         # A pass over few wikis reads only their part of the tables and the log.
         tenants = routes.limit(cfg.prune_tenants + 1).collect()
         pruned = len(tenants) <= cfg.prune_tenants
         if pruned:
-            sources = sources.only([row["wiki_id"] for row in tenants])
-        few_routes = pruned or fits(routes, cfg.broadcast_rows)
-
-        def of_routes(table: DataFrame, on: list[str]) -> DataFrame:
-            return table.join(broadcast_if(routes.select(*on), few_routes), on, "left_semi")
-
-        def log(before: int) -> DataFrame:
-            rows = store.log(before, [tuple(row[c] for c in ROUTE) for row in tenants] if pruned else None)
-            return of_routes(rows, ["wiki_id", *ROUTE])
-
+            sources = sources.only(sorted({row["wiki_id"] for row in tenants}))
+        few_routes = pruned or _small(routes, cfg)
         requests = allowed_requests(requests, sources, cfg, few)
         lookup = lookup_state(requests, _narrowed(sources.snapshot, requests, ENTITY, few))
         # Outcomes and touched subjects must rest on the same lookup.
         with scratch_table(lookup, "lookup") as looked_up:
             dump(looked_up, None if cfg.dump_dir is None else f"{cfg.dump_dir}/epoch={epoch}")
-            # Few requests mean few failed batches and few touched subjects.
+            # Few requests mean few failed batches.
             failed = failed_batches(looked_up)
-            entities = touched_entities(looked_up, failed, few or fits(failed, cfg.broadcast_rows))
-            with scratch_table(touched_subjects(entities, sources.wikis), "touched") as touched:
-                small = few or fits(touched, cfg.broadcast_rows)
-                current = of_routes(sources.current, ["wiki_id"])
-                changes = diff_log(current, log(epoch), touched, small)
-                store.apply_epoch(changes.join(broadcast_if(routes, few_routes), "wiki_id"), epoch)
-                if cfg.verify and not diff_log(current, log(epoch + 1), touched, small).isEmpty():
+            entities = touched_entities(looked_up, failed, few or _small(failed, cfg))
+            with scratch_table(touched_subjects(entities, sources.wikis), "touched") as subjects:
+                touched = _Touched.of(subjects, cfg)
+                # What is true now, once for each store that the pass names for a wiki.
+                current = touched.cut(sources.current.select(*TRIPLE)).join(broadcast_if(routes, few_routes), "wiki_id")
+
+                def changes(parts: Sequence[Part]) -> DataFrame:
+                    listed = [tuple(row[c] for c in ROUTE) for row in tenants] if pruned else None
+                    log = store.log(routes=listed, numbers=touched.numbers, parts=parts)
+                    log = log.join(broadcast_if(routes, few_routes), ["wiki_id", *ROUTE], "left_semi")
+                    return diff_log(current, log, subjects, touched.small, ROUTE, touched.buckets)
+
+                store.apply_epoch(changes(read), epoch)
+                if cfg.verify and not changes(store.triple_parts.cover(epoch + 1)).isEmpty():
                     raise VerifyError(f"epoch {epoch} left subjects that differ from the sources")
+            store.check_unchanged(read, epoch)
             return finish(outcomes(batches, looked_up))
 
 
 def update_pass(
-    batches: DataFrame, sources: Sources, store: Store, cfg: UpdaterConfig, epoch: int, again: bool = False
+    batches: DataFrame,
+    sources: Sources,
+    store: Store,
+    cfg: UpdaterConfig,
+    epoch: int,
+    again: bool = False,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """Work one pass of batches and return its acknowledgements, one per delivery.
 
@@ -178,20 +216,23 @@ def update_pass(
     itself is passed over, and with ``again`` not even that. Only epochs before
     this one are read, for the store and for the acks, and the acks are written
     last, so running a pass again, as the same epoch or as a new one, changes
-    nothing.
+    nothing. ``counts`` observes the answers as they are written: batches done
+    and not done, and the entities asked for.
     """
     todo = deliveries(batches)
     if not again:
         # Acks are looked up among the polls of this pass, which the files' statistics narrow down.
         polls = batches.agg(F.min("poll_seq").alias("low"), F.max("poll_seq").alias("high")).first()
         answered = store.acks(before=epoch).filter(F.col("poll_seq").between(polls["low"], polls["high"]))
-        few = fits(batches, cfg.broadcast_rows)
+        few = _small(batches, cfg)
         todo = unanswered(todo, _narrowed(answered, batches, DELIVERY, few))
+
+    def answer(outcome: DataFrame) -> None:
+        acked = acks(outcome)
+        store.write_acks(acked if counts is None else acked.observe(counts, *answer_counts()), epoch)
+
     with scratch_table(todo, "todo") as todo:
-        _apply(
-            todo, explode_ids(todo), sources, store, cfg, epoch,
-            finish=lambda outcome: store.write_acks(acks(outcome), epoch),
-        )
+        _apply(todo, explode_ids(todo), sources, store, cfg, epoch, finish=answer)
     return store.acks_of(epoch)
 
 
@@ -207,14 +248,26 @@ def run_once(requests: DataFrame, sources: Sources, store: Store, cfg: UpdaterCo
     with scratch_table(ordered, "requests") as ordered:
         runs = ordered.select("batch_id", "poll_seq", "batch_pos", "domain", *ROUTE).distinct()
         return _apply(
-            runs, ordered, sources, store, cfg, store.next_epoch(),
+            runs, ordered, sources, store, cfg, store.claim_epoch(),
             finish=lambda outcome: outcome.filter(~F.col("success")).isEmpty(),
         )
 
 
+def applied_until(batches: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Per wiki the time up to which every change was applied, as ``(wiki_id, ts)``.
+
+    That ends before a wiki's first batch that failed, whatever became of later
+    ones. A wiki whose first batch failed has no row.
+    """
+    ended = batches.select("batch_id", "wiki_id", "seq", "until").join(outcome.select("batch_id", "success"), "batch_id")
+    first_failed = ended.groupBy("wiki_id").agg(F.min(F.when(~F.col("success"), F.col("seq"))).alias("failed_seq"))
+    before = F.col("failed_seq").isNull() | (F.col("seq") < F.col("failed_seq"))
+    return ended.join(first_failed, "wiki_id").filter(before).groupBy("wiki_id").agg(F.max("until").alias("ts"))
+
+
 def catch_up(
     changes: DataFrame,
-    applied: DataFrame,
+    applied: DataFrame | None,
     sources: Sources,
     store: Store,
     cfg: UpdaterConfig = UpdaterConfig(),
@@ -223,16 +276,30 @@ def catch_up(
     """Run the changes since each wiki's resume point, in batches, without a feed.
 
     ``changes`` has ``(wiki_id, change_id, ts, entity_id)`` and ``applied`` the
-    ``(wiki_id, ts)`` of applied changes; ``sources.wikis`` must carry the routes.
+    ``(wiki_id, ts)`` of applied changes, by default those that earlier calls left
+    with the store; ``sources.wikis`` must carry the routes. How far each wiki
+    was brought is written with the epoch, so a later call goes on from there.
     """
-    few_wikis = fits(applied.select("wiki_id").distinct(), cfg.broadcast_rows)
+    if applied is None:
+        applied = store.applied(changes.schema["ts"].dataType.simpleString())
+    few_wikis = _small(applied.select("wiki_id").distinct(), cfg)
     again = resume_point(changes, applied, start, cfg.days_back, few_wikis)
-    packed = pack_batches(again, cfg.batch_size)
-    # A wiki's number and its batch's, side by side in one id.
-    batch_id = F.shiftleft(F.col("wiki_id").cast("bigint"), 32) + F.col("seq")
-    batches = packed.withColumn("batch_id", batch_id).join(sources.wikis, "wiki_id")
-    requests = explode_ids(batches.select("batch_id", "entity_ids", "domain", *ROUTE)).drop("id_pos")
-    return run_once(requests, sources, store, cfg)
+    with Scratch(changes.sparkSession) as scratch:
+        packed = pack_batches(again, cfg.batch_size, scratch=scratch)
+        # A wiki's number and its batch's, side by side in one id.
+        batch_id = F.shiftleft(F.col("wiki_id").cast("bigint"), 32) + F.col("seq")
+        batches = scratch.table(packed.withColumn("batch_id", batch_id).join(sources.wikis, "wiki_id"), "batches")
+        columns = ["batch_id", "entity_ids", "domain", *ROUTE]
+        ordered = batches.select(*columns, F.lit(0).cast("bigint").alias("poll_seq"), F.lit(0).alias("batch_pos"))
+        requests = explode_ids(ordered).drop("id_pos")
+        epoch = store.claim_epoch()
+
+        def finish(outcome: DataFrame) -> bool:
+            result = scratch.table(outcome.select("batch_id", "success"), "outcome")
+            store.write_applied(applied_until(batches, result), epoch)
+            return result.filter(~F.col("success")).isEmpty()
+
+        return _apply(ordered.drop("entity_ids"), requests, sources, store, cfg, epoch, finish)
 
 
 def one_run(spark: SparkSession, domain: str, backend: str, namespace: str, ids: str) -> DataFrame:

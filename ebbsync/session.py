@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Lists of subjects and buckets reach the files' statistics value by value, not as one range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # A repeated JSON key keeps its last value instead of failing the document.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
@@ -64,6 +66,28 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder that are deleted together when the scope ends.
+
+    What is lazy and reads them has to be written, or collected, inside the scope.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(work_dir(self.spark, name))
+        return written(df, self.paths[-1])
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for path in self.paths:
+            delete_dir(self.spark, path)
+
+
 @contextmanager
 def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` as a table in the shared folder that is deleted afterwards."""

@@ -1,10 +1,22 @@
+import json
 from datetime import datetime
 
 import pytest
 
 from conftest import batch, polls, tuples
 from ebbsync.config import UpdaterConfig
-from ebbsync.operators.acks import ack_batch_ids, acks, deliveries, outcomes, pending, unanswered, validate_acks
+from ebbsync.functions.order import packed
+from ebbsync.operators.acks import (
+    ack_batch_ids,
+    acks,
+    deliveries,
+    delivery_states,
+    given_up,
+    outcomes,
+    pending,
+    unanswered,
+    validate_acks,
+)
 from ebbsync.operators.feed import explode_ids, flatten_batches, land_polls
 from ebbsync.operators.metrics import pass_metrics
 from ebbsync.operators.munge import entity_facts, facts_to_triples, filter_langs, single_label
@@ -60,14 +72,59 @@ def test_ack_validation(spark):
     ]
 
 
+ACK = "poll_seq BIGINT, batch_pos INT, status STRING, epoch BIGINT"
+
+
 def test_answers_are_per_delivery(spark):
-    key = "batch_id BIGINT, poll_seq BIGINT, batch_pos INT"
-    batches = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (2, 1, 0), (3, 1, 1), (1, 1, 2)], key)
-    acked = spark.createDataFrame([(1, 0, 0, "done"), (2, 0, 1, "not_done")], key + ", status STRING")
-    assert tuples(pending(batches, acked).select("batch_id", "poll_seq")) == [(2, 0), (2, 1), (3, 1)]
+    batches = flatten_batches(polls(spark, [batch(1, "Q1"), batch(2, "Q2")], [batch(2, "Q2"), batch(3, "Q3"), batch(1, "Q9")]))
+    acked = spark.createDataFrame([(0, 0, "done", 1), (0, 1, "not_done", 1)], ACK)
+    # Id 1 comes again with other work, id 2 with the same, which is not done yet.
+    assert tuples(pending(batches, acked).select("batch_id", "poll_seq")) == [(1, 1), (2, 0), (2, 1), (3, 1)]
     assert tuples(unanswered(batches, acked).select("batch_id", "poll_seq")) == [(1, 1), (2, 1), (3, 1)]
 
 
+def test_states_of_deliveries(spark):
+    feed = polls(
+        spark,
+        [batch(1, "Q1"), batch(2, "Q2"), batch(3, "Q3"), batch(4, "Q4"), batch(5, "Q5")],
+        [batch(1, "Q1"), batch(2, "other work"), batch(3, "Q3", "b.test"), batch(5, "Q5")],
+        [batch(4, "Q4"), batch(4, "Q4")],
+    )
+    batches = flatten_batches(feed)
+    acked = spark.createDataFrame(
+        [
+            (0, 0, "not_done", 1), (1, 0, "done", 2),  # done when it came again
+            (0, 1, "not_done", 1), (0, 1, "not_done", 2), (1, 1, "done", 2),  # other work under its id
+            (0, 2, "not_done", 1), (1, 2, "done", 1),  # the same ids of another wiki
+            (0, 3, "done", 1), (2, 1, "not_done", 3),  # an earlier success settles nothing later
+            (0, 4, "not_done", 4), (0, 4, "done", 1), (1, 3, "not_done", 4), (1, 3, "done", 9),  # the last answer counts
+        ],
+        ACK,
+    )
+    batches = batches.unionByName(batches.limit(2))
+    got = delivery_states(batches, acked, max_tries=2).select("poll_seq", "batch_pos", "tries", "state")
+    assert tuples(got) == [
+        (0, 0, 1, "done"), (0, 1, 2, "given_up"), (0, 2, 1, "not_done"), (0, 3, 1, "done"), (0, 4, 2, "done"),
+        (1, 0, 1, "done"), (1, 1, 1, "done"), (1, 2, 1, "done"), (1, 3, 2, "done"), (2, 0, 0, "unanswered"),
+        (2, 1, 1, "not_done"),
+    ]
+    assert tuples(pending(batches, acked, 2).select("poll_seq", "batch_pos")) == [(0, 2), (2, 0), (2, 1)]
+    assert tuples(pending(batches, acked).select("poll_seq", "batch_pos")) == [(0, 1), (0, 2), (2, 0), (2, 1)]
+    (aside,) = given_up(batches, acked, 2).collect()
+    assert (aside.poll_seq, aside.batch_pos, aside.reason) == (0, 1, "given_up")
+    assert json.loads(aside.payload) == batch(2, "Q2")
+
+
+def test_packed_orders(spark):
+    rows = [(5, 1, 0), (5, 0, 2**31 - 1), (10**18 - 1, 2, 7), (0, 0, 0), (5, 1, 1)]
+    df = spark.createDataFrame(rows, "a BIGINT, b INT, c INT")
+    assert [tuple(r) for r in df.orderBy(packed("a", "b", "c")).collect()] == sorted(rows)
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        spark.createDataFrame([(10**18, 0)], "a BIGINT, b INT").select(packed("a", "b")).collect()
+    with pytest.raises(ValueError):
+        packed("a", "b", "c", "d")
+
+
 def test_deliveries(spark):
     feed = polls(spark, [batch(1, "Q1"), batch(2, "Q2")], [batch(3, "Q3"), batch(1, "Q9")])
     landed_twice = flatten_batches(feed).unionByName(flatten_batches(feed))
@@ -126,6 +183,6 @@ def test_facts_become_triples(spark, wikis):
 
 
 def test_config_is_checked():
-    for wrong in ({"interval_s": -1}, {"batch_size": 0}, {"single_label": True}):
+    for wrong in ({"interval_s": -1}, {"max_tries": -1}, {"batch_size": 0}, {"single_label": True}):
         with pytest.raises(ValueError):
             UpdaterConfig(**wrong)

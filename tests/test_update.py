@@ -1,6 +1,7 @@
 import json
 import os
 import time
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -10,9 +11,9 @@ from conftest import batch, polls, tuples
 from ebbsync.__main__ import main
 from ebbsync.config import UpdaterConfig
 from ebbsync.operators.feed import flatten_batches
-from ebbsync.plans.update import Sources, VerifyError, one_run, run_once, update_pass
+from ebbsync.plans.update import Sources, VerifyError, catch_up, one_run, run_once, update_pass
 from ebbsync.sources.feed import write_poll_files
-from ebbsync.sources.store import Store, list_numbers
+from ebbsync.sources.store import Store, StoreChanged, list_numbers
 from ebbsync.streaming.dedup import dedup_deliveries
 from ebbsync.streaming.updater import Updater, run_until_one_stops, start_updater, trigger_for
 
@@ -154,8 +155,13 @@ def test_service_works_like_the_batch_passes(spark, sources, store, folder):
     assert live(store) == expected
     done = store.acks().filter("status = 'done'").select("batch_id")
     assert tuples(done.distinct()) == [(1,), (2,), (3,), (4,)]
-    assert updater.pending().isEmpty()
-    assert updater.requeue() is None
+    # Batch 2 of the first poll asked for Q99 too, so the later one under its id is other work.
+    assert tuples(updater.pending().select("poll_seq", "batch_id")) == [(0, 2)]
+    assert tuples(updater.requeue().select("batch_id", "status")) == [(2, "not_done")]
+    assert live(store) == expected
+    assert tuples(updater.deliveries().select("poll_seq", "batch_id", "tries", "state").filter("state <> 'done'")) == [
+        (0, 2, 2, "not_done"),
+    ]
     assert tuples(updater.quarantine().select("poll_seq", "reason")) == [
         (1, "invalid_json"), (2, "malformed_batch"), (2, "malformed_batch"), (3, "empty"), (5, "not_array"),
     ]
@@ -252,6 +258,47 @@ def test_pending_batches_are_run_again(spark, sources, store, folder):
     assert (1, "Q2", "new") in live(store) and updater.pending().isEmpty()
 
 
+def test_work_that_failed_is_run_again_though_its_id_was_done_since(spark, sources, store, folder):
+    """The feed's counter started anew: id 1 is other work by now."""
+    put_poll(spark, folder, 0, batch(1, "Q2,Q99", A))
+    put_poll(spark, folder, 1, batch(1, "Q1", A))
+    updater = service(spark, folder, sources, store, max_tries=3)
+    updater.run_available()
+    assert tuples(store.acks().select("batch_id", "status")) == [(1, "done"), (1, "not_done")]
+    assert tuples(updater.pending().select("poll_seq", "batch_id")) == [(0, 1)]
+    assert tuples(updater.requeue().select("poll_seq", "status")) == [(0, "not_done")]
+    # The third answer is its last; then it is set aside with its text.
+    assert updater.quarantine().isEmpty()
+    assert tuples(updater.requeue().select("poll_seq", "status")) == [(0, "not_done")]
+    assert updater.requeue() is None and updater.pending().isEmpty()
+    (aside,) = updater.quarantine().collect()
+    assert (aside.poll_seq, aside.batch_pos, aside.reason) == (0, 0, "given_up")
+    assert json.loads(aside.payload) == batch(1, "Q2,Q99", A)
+    # States rest on the answers alone, so they are the same from a base of them.
+    store.compact(store.next_epoch() - 1)
+    store.expire()
+    assert tuples(updater.deliveries().select("poll_seq", "tries", "state")) == [(0, 3, "given_up"), (1, 1, "done")]
+
+
+MOVES = [[batch(1, "Q1", A, "a:1", "x")], [batch(2, "Q2", A, "b:1", "y")], [batch(3, "Q1,Q99", A, "b:1", "y")],
+         [batch(4, "Q3", A, "a:1", "x"), batch(5, "Q3", A, "b:1", "y")]]
+
+
+@pytest.mark.parametrize("broadcast_rows, prune_tenants", [(0, 0), (0, 1000), (1000, 1000)])
+@pytest.mark.parametrize("cuts", [[4], [1, 1, 1, 1], [1, 3], [3, 1]])
+def test_each_batch_is_written_to_the_store_it_names(spark, sources, folder, cuts, broadcast_rows, prune_tenants):
+    """However the polls fall into passes; a wiki may be in two stores within one."""
+    cfg = UpdaterConfig(verify=True, broadcast_rows=broadcast_rows, prune_tenants=prune_tenants)
+    store = Store(spark, f"{folder}/stores")
+    batches = flatten_batches(polls(spark, *MOVES))
+    start = 0
+    for epoch, n in enumerate(cuts):
+        update_pass(batches.filter(F.col("poll_seq").between(start, start + n - 1)), sources, store, cfg, epoch)
+        start += n
+    got = store.current().select("backend", "namespace", F.substring_index("s", "/", -1))
+    assert tuples(got) == [("a:1", "x", "Q1"), ("a:1", "x", "Q3"), ("b:1", "y", "Q2"), ("b:1", "y", "Q3")]
+
+
 def test_a_failed_query_stops_the_other(spark, store, folder):
     put_poll(spark, folder, 0, batch(1, "Q1", A))
 
@@ -352,3 +399,87 @@ def test_command_line(spark, sources, store, folder):
     assert main(["requeue", *common, "--state", f"{folder}/state"]) == 0
     assert main(["compact", "--store", store.root]) == 0
     assert len(list_numbers(spark, store.log_dir, "epoch")) == 0 and (2, "Q2", "new") in live(store)
+
+
+def change_rows(spark, rows):
+    return spark.createDataFrame([(w, n, datetime(2024, 1, day), q) for w, n, day, q in rows], "wiki_id INT, change_id BIGINT, ts TIMESTAMP, entity_id STRING")
+
+
+def routed_sources(spark, sources, more=()):
+    wikis = sources.wikis.withColumns({"backend": F.lit("b.test:1"), "namespace": F.lit("n")})
+    known = sources.snapshot.unionByName(spark.createDataFrame(list(more), "wiki_id INT, entity_id STRING")) if more else sources.snapshot
+    return Sources(wikis, known, sources.current)
+
+
+def test_catching_up_goes_on_where_it_ended(spark, sources, store):
+    cfg = UpdaterConfig(batch_size=1, days_back=1)
+    first = [(1, 1, 1, "Q1"), (1, 2, 2, "Q99"), (1, 3, 3, "Q2"), (2, 4, 3, "Q1"), (2, 5, 4, "Q2")]
+    assert not catch_up(change_rows(spark, first), None, routed_sources(spark, sources), store, cfg, start=datetime(2023, 1, 1))
+    # The first wiki was brought up to the change before the one that failed.
+    reached = {(r.wiki_id, r.ts.day) for r in store.applied().collect()}
+    assert reached == {(1, 1), (2, 4)}
+    # Stopped; the store is all that is left. A new wiki has no point and goes back a day.
+    store = Store(spark, store.root)
+    more = [*first, (1, 6, 20, "Q3"), (2, 7, 21, "Q3"), (1, 8, 22, "Q4")]
+    again = routed_sources(spark, sources, [(1, "Q99")])
+    assert catch_up(change_rows(spark, more), None, again, store, cfg)
+    assert {(1, "Q3", "new"), (1, "Q4", "new"), (2, "Q3", "new"), (1, "Q2", "new")} <= live(store)
+    assert {(r.wiki_id, r.ts.day) for r in store.applied().collect()} == {(1, 22), (2, 21)}
+    # Nothing new: the last change is run again, which changes nothing.
+    now, epoch = live(store), store.next_epoch()
+    assert catch_up(change_rows(spark, more), None, again, store, cfg)
+    assert live(store) == now and store.log().filter(F.col("epoch") >= epoch).isEmpty()
+
+
+def test_catch_up_on_the_command_line(spark, sources, store, folder):
+    routed = routed_sources(spark, sources)
+    for name in ("wikis", "snapshot", "current"):
+        getattr(routed, name).write.parquet(f"{folder}/tables/{name}")
+    change_rows(spark, [(1, 1, 1, "Q1"), (1, 2, 28, "Q2"), (2, 3, 29, "Q99")]).write.parquet(f"{folder}/tables/changes")
+    common = ["catch-up", "--tables", f"{folder}/tables", "--store", store.root]
+    assert main([*common, "--days-back", "5"]) == 1
+    # The first change is older than five days before the newest.
+    assert (1, "Q1", "old") in live(store) and (1, "Q2", "new") in live(store)
+    assert main([*common, "--start", "2024-01-01"]) == 1
+    assert (1, "Q1", "new") in live(store)
+    change_rows(spark, [(1, 1, 1, "Q3"), (1, 9, 30, "Q4")]).write.parquet(f"{folder}/tables/later")
+    assert main([*common, "--changes", "later"]) == 0
+    assert (1, "Q4", "new") in live(store) and (1, "Q3", "new") not in live(store)
+
+
+def test_every_pass_reports(spark, sources, store, folder):
+    write_poll_files(polls(spark, *FEED), f"{folder}/feed")
+    reports = []
+    updater = service(spark, folder, sources, store, max_files_per_trigger=2)
+    updater.on_pass = reports.append
+    updater.run_available()
+    assert sorted(map(tuple, updater.passes().collect())) == sorted((r["epoch"], r["done"], r["not_done"], r["entities"]) for r in reports)
+    metrics = updater.metrics().agg(F.sum("done"), F.sum("not_done"), F.sum("entities")).first()
+    assert tuple(metrics) == tuple(sum(r[name] for r in reports) for name in ("done", "not_done", "entities"))
+    assert len(reports) >= 2 and metrics[1] == 1
+
+
+def test_two_writers_do_not_overlap(spark, sources, store, monkeypatch):
+    """A one-off run that starts while a pass is under way makes the pass run again."""
+    epoch, apply_epoch = store.claim_epoch(), Store.apply_epoch
+    batches = flatten_batches(polls(spark, [batch(1, "Q1", A)]))
+
+    def meanwhile(self, changes, number):
+        apply_epoch(self, changes, number)
+        if number == epoch:
+            assert run_once(one_run(spark, A, "b.test:1", "n", "Q2"), sources, store, CFG)
+
+    monkeypatch.setattr(Store, "apply_epoch", meanwhile)
+    with pytest.raises(StoreChanged):
+        update_pass(batches, sources, store, CFG, epoch)
+    assert store.acks().isEmpty()
+    assert update_pass(batches, sources, store, CFG, store.claim_epoch()).count() == 1
+    assert {(1, "Q1", "new"), (1, "Q2", "new")} <= live(store)
+
+
+@pytest.mark.parametrize("prune_subjects", [0, 1000])
+def test_a_pass_reads_what_it_touches(spark, sources, store, prune_subjects):
+    cfg = UpdaterConfig(verify=True, prune_subjects=prune_subjects)
+    store.compact(0)
+    update_pass(flatten_batches(polls(spark, [batch(1, "Q1,Q8", A)])), sources, store, cfg, store.claim_epoch())
+    assert live(store) == (OLD - {(1, "Q1", "old"), (1, "Q8", "old")}) | {(1, "Q1", "new")}

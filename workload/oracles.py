@@ -95,6 +95,34 @@ live AS (
     SELECT wiki_id, s, p, o FROM stored ANTI JOIN touched USING (wiki_id, s)
 )"""
 
+# Every request's entity in the store that its own batch names.
+MOVING_DIFF = f"""{REQUESTS}, {SIDES},
+allowed AS (SELECT * FROM requests WHERE c_custkey % 4 <> 3),
+good AS (SELECT batch_id FROM feed ANTI JOIN (SELECT batch_id FROM allowed WHERE NOT fetched) USING (batch_id)),
+touched AS (
+    SELECT DISTINCT a.wiki_id, 'https://' || domain || '/entity/' || entity_id AS s, backend,
+           CASE WHEN poll_seq % 3 = 1 AND a.wiki_id % 3 < 2 THEN namespace || '_new' ELSE namespace END AS namespace
+    FROM allowed a JOIN good USING (batch_id) JOIN wikis w ON w.wiki_id = a.wiki_id
+),
+live AS (
+    SELECT wiki_id, s, p, o, backend, namespace FROM truth JOIN touched USING (wiki_id, s)
+    UNION ALL
+    SELECT wiki_id, s, p, o, backend, namespace FROM (SELECT * FROM stored JOIN wikis USING (wiki_id))
+    ANTI JOIN touched USING (wiki_id, s, backend, namespace)
+)"""
+
+# Every entity that any request asks for.
+ALL_TOUCHED = f"""{REQUESTS}, {SIDES},
+touched AS (
+    SELECT DISTINCT r.wiki_id, 'https://' || domain || '/entity/' || entity_id AS s
+    FROM requests r JOIN wikis w ON w.wiki_id = r.wiki_id
+),
+live AS (
+    SELECT wiki_id, s, p, o FROM truth SEMI JOIN touched USING (wiki_id, s)
+    UNION ALL
+    SELECT wiki_id, s, p, o FROM stored ANTI JOIN touched USING (wiki_id, s)
+)"""
+
 # The text of an event as a poll, and whether it carries a malformed batch too.
 EVENT_POLLS = """
 event_polls AS (
@@ -276,11 +304,30 @@ ORACLES = {
             SELECT 'D' AS op, * FROM (SELECT * FROM stored EXCEPT SELECT * FROM truth)
         )
         SELECT op, wiki_id, s, p, o FROM ops SEMI JOIN touched USING (wiki_id, s)""",
+    "batch_pack_calls": f"""WITH {REQUESTS}
+        SELECT batch_id, wiki_id, seq, entity_ids, n FROM batches""",
+    "catch_up_resumed": f"""WITH {ALL_TOUCHED}
+        SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
+    "store_merge": f"""WITH {DIFF}
+        SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_update": f"""WITH {TYPED_DIFF}
         SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_redelivery": f"""WITH {TYPED_DIFF}
         SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_late": f"""WITH {TYPED_DIFF}
         SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
+    "stream_moving": f"WITH {MOVING_DIFF} SELECT wiki_id, s, p, o, backend, namespace FROM live",
+    "stream_moving_backlog": f"WITH {MOVING_DIFF} SELECT wiki_id, s, p, o, backend, namespace FROM live",
+    "delivery_states": f"""WITH {REQUESTS},
+        tried AS (
+            SELECT poll_seq, batch_pos, bool_and(c_acctbal >= -800) AS first, bool_and(c_acctbal >= -900) AS second
+            FROM requests WHERE poll_seq % 7 <> 6 GROUP BY ALL
+        )
+        SELECT poll_seq, batch_pos, CAST(batch_pos + 1 AS BIGINT) AS batch_id,
+               CAST(CASE WHEN first IS NULL THEN 0 WHEN first THEN 1 ELSE 2 END AS BIGINT) AS tries,
+               CASE WHEN first IS NULL THEN 'unanswered' WHEN first OR second THEN 'done' ELSE 'given_up' END AS state
+        FROM feed LEFT JOIN tried USING (poll_seq, batch_pos)""",
+    "stream_requeue": f"""WITH {ALL_TOUCHED}
+        SELECT wiki_id, s, p, o, backend, namespace FROM live JOIN wikis USING (wiki_id)""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
 }

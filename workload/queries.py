@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -268,6 +269,51 @@ def catch_up_sync(spark, sf_dir):
     return store.log().filter("epoch = 1").select("op", "wiki_id", "s", "p", "o")
 
 
+@query
+def batch_pack_calls(spark, sf_dir):
+    """The changes packed in three calls, year by year, with numbers that go on; as many batches as in one."""
+    packer = feed.Packer(spark, work_dir(spark, "packer"))
+    changes, year = tables.changes(spark, sf_dir), F.year("ts")
+    packer.pack(changes.filter(year < 1994))
+    packer.pack(changes.filter(year == 1994))
+    packer.pack(changes.filter(year > 1994), flush=True)
+    packed = packer.batches()
+    batch_id = F.col("wiki_id").cast("bigint") * tables.BATCH_ID_STEP + F.col("seq")
+    return packed.select(batch_id.alias("batch_id"), "wiki_id", "seq", "entity_ids", F.col("n").cast("bigint").alias("n"))
+
+
+@query
+def catch_up_resumed(spark, sf_dir):
+    """Two catch-ups, the second from the resume points that the first left; returns the store.
+
+    The first ends where the changes of 1996 do, and not all it asks for can be fetched.
+    """
+    store = Store(spark, work_dir(spark, "store"))
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    changes, sources = tables.changes(spark, sf_dir), _sources(spark, sf_dir)
+    catch_up(changes.filter(F.year("ts") < 1997), None, sources, store, CFG, start=datetime(1970, 1, 1))
+    whole = replace(sources, snapshot=tables.snapshot(spark, sf_dir, None))
+    never = replace(CFG, days_back=100_000)
+    catch_up(changes, None, whole, store, never)
+    return store.current()
+
+
+@query
+def store_merge(spark, sf_dir):
+    """The pass applied poll by poll of eight, merged as they come; returns what the store holds then."""
+    store = Store(spark, work_dir(spark, "store"), tier_bytes=100_000)
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    touched, _ = _touched(spark, sf_dir)
+    changes = work_dir(spark, "changes")
+    diff = sync.diff_log(tables.current(spark, sf_dir), store.log(before=1), touched)
+    diff.join(tables.wikis(spark, sf_dir), "wiki_id").write.parquet(changes)
+    for part in range(8):
+        mine = spark.read.parquet(changes).filter(F.pmod(F.xxhash64("s"), F.lit(8)) == part)
+        store.apply_epoch(mine, 1 + part)
+        store.merge(fan_out=3)
+    return store.current()
+
+
 @query
 def stream_update(spark, sf_dir):
     state = work_dir(spark, "service")
@@ -307,6 +353,65 @@ def stream_late(spark, sf_dir):
     return store.current()
 
 
+def _moving(spark, sf_dir, files, **options):
+    """The service over a feed whose wikis move between stores, cut into passes as told; returns the store."""
+    state = work_dir(spark, "service")
+    tables.moving_polls(spark, sf_dir).repartition(files, "poll_seq").write.parquet(f"{state}/feed")
+    store = Store(spark, f"{state}/store")
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    cfg = replace(CFG, feed_format="parquet", **options)
+    Updater(spark, f"{state}/feed", state, _sources(spark, sf_dir, typed=True), store, cfg).run_available()
+    return store.current()
+
+
+@query
+def stream_moving(spark, sf_dir):
+    """Moving wikis, in several passes, each a mix of polls from before and after a move."""
+    return _moving(spark, sf_dir, 3, max_files_per_trigger=1)
+
+
+@query
+def stream_moving_backlog(spark, sf_dir):
+    """The same feed as one pass: every batch still goes to the store it names."""
+    return _moving(spark, sf_dir, 3)
+
+
+@query
+def delivery_states(spark, sf_dir):
+    """Deliveries under ids that start anew in every poll, after two answers to all but every seventh poll.
+
+    What can be fetched grows in between; what is not done twice is given up.
+    """
+    batches = feed.flatten_batches(tables.recounted_polls(spark, sf_dir))
+    asked = feed.explode_ids(routing.resolve_wikis(batches.filter("poll_seq % 7 <> 6"), tables.wikis(spark, sf_dir)))
+    answers = []
+    for epoch, least_balance in enumerate((-800, -900)):
+        looked_up = requests.lookup_state(asked, tables.snapshot(spark, sf_dir, least_balance))
+        outcome = acks.outcomes(batches.filter("poll_seq % 7 <> 6"), looked_up)
+        answers.append(acks.acks(outcome).withColumn("epoch", F.lit(epoch).cast("bigint")))
+    # A batch that is done is not tried again.
+    done = answers[0].filter("status = 'done'").select(*acks.DELIVERY)
+    log = answers[0].unionByName(answers[1].join(done, acks.DELIVERY, "left_anti"))
+    states = acks.delivery_states(batches, log, max_tries=2)
+    return states.select("poll_seq", "batch_pos", "batch_id", "tries", "state")
+
+
+@query
+def stream_requeue(spark, sf_dir):
+    """What was not done is queued again under ids that other batches have used, once all can be fetched."""
+    state = work_dir(spark, "service")
+    tables.recounted_polls(spark, sf_dir).repartition(2, "poll_seq").write.parquet(f"{state}/feed")
+    store = Store(spark, f"{state}/store")
+    store.load(tables.stored(spark, sf_dir), epoch=0)
+    cfg = replace(CFG, feed_format="parquet")
+    sources = _sources(spark, sf_dir)
+    updater = Updater(spark, f"{state}/feed", state, sources, store, cfg)
+    updater.run_available()
+    whole = replace(sources, snapshot=tables.snapshot(spark, sf_dir, None))
+    replace(updater, sources=whole).requeue()
+    return store.current()
+
+
 @query
 def stream_dedup(spark, sf_dir):
     path = work_dir(spark, "dedup")

@@ -47,15 +47,14 @@ def entity_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "customer")
-        .filter("c_acctbal >= -800")
-        .select(
-            F.col("c_nationkey").alias("wiki_id"),
-            entity_id("c_custkey").alias("entity_id"),
-            F.col("c_mktsegment").alias("segment"),
-        )
+def snapshot(spark: SparkSession, sf_dir: str, least_balance: int | None = -800) -> DataFrame:
+    customers = table(spark, sf_dir, "customer")
+    if least_balance is not None:
+        customers = customers.filter(F.col("c_acctbal") >= least_balance)
+    return customers.select(
+        F.col("c_nationkey").alias("wiki_id"),
+        entity_id("c_custkey").alias("entity_id"),
+        F.col("c_mktsegment").alias("segment"),
     )
 
 
@@ -139,6 +138,16 @@ def recounted_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.groupBy("poll_seq").agg(F.to_json(F.transform(members, lambda m: m["batch"])).alias("body"))
 
 
+def moving_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with wikis that move to another store and back: every third poll names it, for two wikis of three."""
+    moved = (F.col("poll_seq") % 3 == 1) & (F.floor(F.col("batch_id") / BATCH_ID_STEP) % 3 < 2)
+    namespace = F.when(moved, F.concat(F.col("namespace"), F.lit("_new"))).otherwise(F.col("namespace"))
+    batch = batch_json(F.col("batch_id"), F.col("entity_ids"), F.col("domain"), F.col("backend"), namespace)
+    members = F.array_sort(F.collect_list(F.struct("batch_pos", batch.alias("batch"))))
+    flat = flatten_batches(feed(spark, sf_dir))
+    return flat.groupBy("poll_seq").agg(F.to_json(F.transform(members, lambda m: m["batch"])).alias("body"))
+
+
 def date_back(spark: SparkSession, path: str, days: int) -> None:
     """Set the modification time of every file below ``path`` back."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
