@@ -1,0 +1,145 @@
+"""Aligned tokens against whole texts encoded by the libraries, aligned token by token."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+from itertools import accumulate
+from pathlib import Path
+
+import duckdb
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from conftest import SF_DIR
+from ebbsync.llm import alignment
+from ebbsync.llm.queries import QUERIES
+
+A_PATH = public_tokenizers.path("byte_bpe_50k.json")
+B_PATH = public_tokenizers.path("piece_bpe_32k.model")
+A = Tokenizer.from_file(A_PATH)
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+
+
+def a_bytes(number):
+    return bytes(alignment._byte_letters()[letter] for letter in A.id_to_token(number))
+
+
+def b_bytes(number):
+    piece = B.id_to_piece(number)
+    return bytes([int(piece[3:5], 16)]) if B.is_byte(number) else piece.replace("▁", " ").encode()
+
+
+def aligned(text):
+    """Groups of ids of a whole text, none where it does not come back."""
+    raw = (" " + (text or "")).encode()
+    a, b = A.encode(" " + (text or ""), add_special_tokens=False).ids, B.encode(text or "")
+    a_raw, b_raw = list(map(a_bytes, a)), list(map(b_bytes, b))
+    if not text or b"".join(a_raw) != raw or b"".join(b_raw) != raw:
+        return []
+    a_ends, b_ends = list(accumulate(map(len, a_raw))), list(accumulate(map(len, b_raw)))
+    found, low = [], 0
+    for end in (e for e in a_ends if e in set(b_ends)):
+        found.append(
+            ([n for n, e in zip(a, a_ends) if low < e <= end], [n for n, e in zip(b, b_ends) if low < e <= end])
+        )
+        low = end
+    return found
+
+
+def expected(texts):
+    sides = [aligned(text) for text in texts]
+    links = [Counter((x, y) for one, two in groups for x in one for y in two) for groups in sides]
+    docs = Counter(pair for own in links for pair in own)
+    highest = defaultdict(int)
+    for (x, _), n in docs.items():
+        highest[x] = max(highest[x], n)
+    rows = []
+    for groups, own in zip(sides, links):
+        listed = ";".join("|".join(",".join(map(str, side)) for side in group) for group in groups)
+        rows.append((
+            sum(len(one) for one, _ in groups), sum(len(two) for _, two in groups), len(groups), own.total(),
+            sum(n for pair, n in own.items() if docs[pair] == highest[pair[0]]),
+            sum(n * docs[pair] for pair, n in own.items()),
+            hashlib.sha256(listed.encode()).hexdigest() if groups else "",
+        ))
+    return rows
+
+
+def got(result):
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return {row.doc_id: tuple(row[name] for name in names) for row in result.collect()}
+
+
+def test_whole_table(spark):
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{Path(SF_DIR) / 'documents.parquet'}'").fetchall())
+    result = QUERIES["op11_alignment"](spark, SF_DIR)
+    assert dict(result.dtypes)["doc_id"] == "bigint"
+    assert got(result) == dict(zip(texts, expected(texts.values()), strict=True))
+
+
+TEXTS = [
+    None, "", " ", "\n", "  a", "a  b", "a \n b\n\n  c ", "tab\tand\r\nline;\r\n", "<|endoftext|> <s> </s> <0x41> <unk>",
+    "▁mark", "no break thin", "naïve Ünïcödé ąćę 語語 🎉🎉", "x" * 5000, "ab" * 4000 + " -- " + "=" * 3000,
+    "don't we'll 1234567 0x1F 3.14", "the same", "the same", "\x00\x1c\x85 control", "   wide  ", "long " * 20_000,
+]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_odd_texts(spark, monkeypatch, small):
+    if small:
+        # Every limit is met: spans, chunks, and pieces remembered.
+        monkeypatch.setattr(alignment, "_SPAN_CHARS", 100)
+        monkeypatch.setattr(alignment, "CHUNK_BYTES", 300)
+        monkeypatch.setattr(alignment, "_CACHED_PIECES", 20)
+        monkeypatch.setattr(alignment, "_SLICE_BYTES", 200)
+    rows = [(n, text, "own", "own") for n, text in enumerate(TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, place STRING, chunk STRING")
+    assert got(alignment.link_counts(docs, A_PATH, B_PATH)) == dict(enumerate(expected(TEXTS)))
+    assert alignment.link_counts(docs.filter("false"), A_PATH, B_PATH).count() == 0
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(1, "one text"), (1, "one text"), (None, "one text"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    result = alignment.link_counts(docs, A_PATH, B_PATH).collect()
+    # Three documents hold each link.
+    assert sorted((row.doc_id or 0, row.n_links, row.count_sum) for row in result) == [
+        (0, 0, 0), (0, 2, 6), (1, 2, 6), (1, 2, 6)
+    ]
+
+
+def test_best_links_with_ties(spark):
+    docs = spark.createDataFrame([(1, "the"), (2, "the the")], "doc_id BIGINT, text STRING")
+    _, pairs = alignment.align(docs, A_PATH, B_PATH)
+    assert [(r["count"], r.best) for r in alignment.pair_counts(pairs).collect()] == [(2, 1)]
+    made = spark.createDataFrame([(0, 0, 7 << 32 | 1, 5), (0, 1, 7 << 32 | 2, 5), (0, 2, 7 << 32 | 3, 4)], pairs.schema)
+    best = {r.pair & 0xFFFFFFFF: r.best for r in alignment.pair_counts(made).collect()}
+    assert best == {1: 1, 2: 1, 3: 0}
+
+
+@pytest.fixture(scope="module")
+def known():
+    return alignment.Pieces(alignment.Tokenizers(A_PATH, B_PATH))
+
+
+@given(st.text(st.sampled_from("ab'T1,.\t\n\r \x0b\x1c\x85\xa0　▂é語🎉"), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_pieces_put_together_are_the_text(known, text):
+    pieces = [piece for span in alignment.spans(text) for piece in span]
+    assert "".join(pieces) == " " + text
+    encoded = list(known.tokenizers.encode(pieces))
+    assert [n for a, _ in encoded for n in a] == A.encode(" " + text, add_special_tokens=False).ids
+    if text:
+        assert [n for _, b in encoded for n in b] == B.encode(text)
+
+
+def test_native_types_are_kept(spark):
+    docs = spark.createDataFrame([("k1", "a b")], "doc_id STRING, text STRING").withColumn("pair", F.lit(0))
+    assert alignment.link_counts(docs, A_PATH, B_PATH).first().doc_id == "k1"

@@ -1,0 +1,107 @@
+"""The filter audit against documents counted one by one, on tables made for it."""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import duck
+from conftest import SF_DIR
+from ebbsync.llm import filter_audit
+from ebbsync.llm.queries import QUERIES
+
+GOOD = " ".join(f"word{n}" for n in range(250))
+ROWS = [
+    (1, GOOD, "a"), (2, GOOD, "b"), (2, GOOD, "b"), (3, GOOD + " #", "a"), (4, GOOD + " #", "a"), (5, None, None),
+    (6, "", ""), (7, "", None), (8, "one " * 300, "a"), (9, "One Two", "a"), (None, GOOD, "a"), (None, None, "b"),
+    (10, GOOD.upper(), "a"), (11, GOOD.upper(), "b"), (12, "long " * 40_000, "a"), (13, "x" * 30_000, "c"),
+    (14, "a\x0bb\x0cc\rd\te f", "c"), (15, "\x85\xa0word", "c"), (0, "é" * 98 + "AB", "c"), (16, "é" * 97 + "ABC", "c"),
+]
+LABELS = [(1, 1, 0), (2, 1, 1), (2, 0, 0), (3, None, 1), (10, 1, 1), (None, 1, 1), (99, 1, 1)]
+
+
+def failures(rows):
+    least = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            least[text or ""] = min(doc_id, least.get(text or "", doc_id))
+    found = []
+    for doc_id, text, source in rows:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        failed = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": doc_id is not None and least[text] < doc_id,
+        }
+        found.append((doc_id, source or "", {letter for letter, fails in failed.items() if fails}))
+    return found
+
+
+def expected(rows, labels):
+    good = {d for d, quality, _ in labels if quality == 1 and d is not None}
+    toxic = {d for d, _, toxic in labels if toxic == 1 and d is not None}
+    by_part = defaultdict(list)
+    for doc_id, part, failed in failures(rows):
+        by_part[part].append((doc_id, failed))
+    result = set()
+    for part, docs in by_part.items():
+        orders = ["".join(order) for order in permutations("ABCDE")]
+        steps, shapley = {}, defaultdict(int)
+        for order in orders:
+            for step, letter in enumerate(order):
+                left = [(d, f) for d, f in docs if not f & set(order[:step])]
+                out = [d for d, f in left if letter in f]
+                steps[order, step + 1] = (
+                    len(left) - len(out), len(out), sum(letter in f for _, f in docs) - len(out),
+                    sum(f == {letter} for _, f in docs), sum(d in good for d in out), sum(d in toxic for d in out),
+                )
+                shapley[letter] += len(out)
+        result |= {(part, order, step, *counts, shapley[order[step - 1]]) for (order, step), counts in steps.items()}
+    return result
+
+
+def tables(spark, rows, labels):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    docs = docs.withColumns({name: F.lit("own") for name in ("part", "digest", "failed", "n", "rows", "good", "step")})
+    marks = spark.createDataFrame(labels, "doc_id BIGINT, quality INT, toxic INT").withColumn("part", F.lit("own"))
+    return docs, marks
+
+
+def got(result):
+    return [tuple(row) for row in result.collect()]
+
+
+@pytest.mark.parametrize("labels", [LABELS, []])
+def test_odd_rows(spark, labels):
+    rows = got(filter_audit.audit(*tables(spark, ROWS, labels)))
+    assert len(rows) == len(set(rows)) == 4 * 600
+    assert set(rows) == expected(ROWS, labels)
+
+
+def test_empty_table(spark):
+    assert filter_audit.audit(*tables(spark, [], LABELS)).count() == 0
+
+
+def test_whole_table(spark):
+    con = duck(SF_DIR)
+    rows = con.execute("SELECT doc_id, text, source FROM documents").fetchall()
+    labels = con.execute("SELECT doc_id, quality, toxic FROM labels").fetchall()
+    assert set(got(QUERIES["op13_filter_audit"](spark, SF_DIR))) == expected(rows, labels)
+
+
+def test_a_group_of_copies_meets_one_row(spark):
+    """The join's right side has a row per text, however many copies there are."""
+    docs, _ = tables(spark, [(n, GOOD if n % 3 else f"{n}", "a") for n in range(3000)], [])
+    texts = filter_audit.shared_texts(filter_audit._texts(docs))
+    assert texts.count() == 2000
+    copies = filter_audit.later_copies(texts)
+    assert copies.count() == 1999
+    plan = copies._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "min(doc_id" in plan
