@@ -7,7 +7,7 @@ linked with every token of its other. How many documents hold a pair of ids link
 counted over the corpus, and each document's links are looked up in that.
 
 Tokens of either kind never span the start of a run of white space that begins with
-a space or a line break, so a text is aligned piece by piece and a task remembers the
+a space or a line break, nor a letter and a mark after it, so a text is aligned piece by piece and a task remembers the
 pieces it has met, up to a bounded number. Its documents form chunks of bounded size;
 a chunk's different pairs are numbered, and a document carries the numbers of its own.
 Each chunk's pairs are counted before they are exchanged, the corpus's counts are
@@ -25,9 +25,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from dataclasses import dataclass
+from itertools import accumulate, product
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +47,18 @@ _SLICE_BYTES = 500_000
 _CACHED_PIECES = 400_000
 #: Characters of one text that are aligned at once.
 _SPAN_CHARS = 1_000_000
+#: Characters of pieces that are encoded at once.
+_BATCH_CHARS = 8_000
+_LINKS_ONE_BY_ONE = 10_000
 _SPACE_MARK = "▁"
 _LINE = "\n"
-_PIECE = re.compile(r"[ \n]\s*\S*(?:(?![ \n])\s+\S*)*")
+#: Marks that a piece is cut before where they follow a letter, if the second vocabulary has none of them after one.
+_MARKS = ".,;:!?*#$%&|<>()/"
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_AFTER_LETTER = re.compile(f"[{_LETTER}][{_MARKS}]")
+_PIECE = re.compile(
+    rf"[ \n][{_LETTER}]+(?=[{_MARKS}])|[ \n]\s*\S*(?:(?![ \n])\s+\S*)*|[{_MARKS}]\S*(?:(?![ \n])\s+\S*)*"
+)
 _CUT = re.compile(r"(?<=\S)[ \n]")
 
 
@@ -58,8 +69,41 @@ def _byte_letters() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + n): byte for n, byte in enumerate(others)}
 
 
+class Misfit(Exception):
+    """Tokens do not end where a piece does."""
+
+
+@dataclass(frozen=True)
+class Entries:
+    """What each id of a vocabulary stands for: its bytes, how many they are, and the id as written."""
+
+    raw: list[bytes]
+    sizes: list[int]
+    written: list[str]
+
+    @classmethod
+    def of(cls, raw: list[bytes]) -> "Entries":
+        return cls(raw, list(map(len, raw)), list(map(str, range(len(raw)))))
+
+    def gives(self, ids: list[int], text: bytes) -> bool:
+        return b"".join(map(self.raw.__getitem__, ids)) == text
+
+    def ends(self, ids: list[int]) -> dict[int, int]:
+        """From the offset at which a token ends to its index."""
+        return dict(zip(accumulate(map(self.sizes.__getitem__, ids)), range(len(ids))))
+
+    def lists(self, ids: list[int], stops: list[int]) -> list[str]:
+        """The ids between the stops, as written."""
+        names, start = list(map(self.written.__getitem__, ids)), 0
+        listed = []
+        for stop in stops:
+            listed.append(names[start] if stop - start == 1 else ",".join(names[start:stop]))
+            start = stop
+        return listed
+
+
 class Tokenizers:
-    """Ids and bytes of both tokenizers for pieces of a text that start with white space."""
+    """Ids of both tokenizers for pieces of a text that start with white space."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -68,49 +112,74 @@ class Tokenizers:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
-        letters = _byte_letters()
-        self.a_bytes = {
-            number: bytes(map(letters.__getitem__, entry)) for entry, number in self.a.get_vocab(with_added_tokens=False).items()
-        }
+        letters, vocabulary = _byte_letters(), self.a.get_vocab(with_added_tokens=False)
+        by_id = sorted((number, entry) for entry, number in vocabulary.items())
+        a_raw = [b""] * (by_id[-1][0] + 1)
+        for number, entry in by_id:
+            a_raw[number] = bytes(map(letters.get, entry)) if all(c in letters for c in entry) else b""
+        self.a_entries = Entries.of(a_raw)
         self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
-        if any(_LINE in piece or _SPACE_MARK in piece.lstrip(_SPACE_MARK) for piece in pieces):
-            raise ValueError("a token spans the start of white space; texts do not split into pieces")
-        self.b_bytes = [
+        merged = [piece for n, piece in enumerate(pieces) if not (self.b.is_byte(n) or self.b.is_control(n) or self.b.is_unknown(n))]
+        if any(_LINE in p or _SPACE_MARK in p.lstrip(_SPACE_MARK) or _AFTER_LETTER.search(p) for p in merged):
+            raise ValueError("a token spans the start of white space or marks; texts do not split into pieces")
+        self.b_entries = Entries.of([
             bytes([int(piece[3:-1], 16)]) if self.b.is_byte(n) else piece.replace(_SPACE_MARK, " ").encode()
             for n, piece in enumerate(pieces)
-        ]
-        # What the second tokenizer puts before a piece that follows a line break.
+        ])
+        # What the second tokenizer puts before a text that follows a line break.
         self.before = len(self.b.encode(_LINE))
 
-    def encode(self, pieces: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast(pieces, add_special_tokens=False)
-        b = self.b.encode([_LINE + piece for piece in pieces], num_threads=1)
-        return ((one.ids, two[self.before :]) for one, two in zip(a, b, strict=True))
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """The ids of a text of one or more pieces."""
+        return self.a.encode(text, add_special_tokens=False).ids, self.b.encode(_LINE + text)[self.before :]
+
 
+@dataclass(frozen=True)
+class Groups:
+    """Two lists of ids cut where both end a token: the common ends, and where each group stops on either side."""
 
-def ends(sizes: Iterator[int]) -> dict[int, int]:
-    """From the offset at which a token ends to its place."""
-    at, places = 0, {}
-    for place, size in enumerate(sizes):
-        at += size
-        places[at] = place
-    return places
+    ends: list[int]
+    a_stops: list[int]
+    b_stops: list[int]
 
+    @classmethod
+    def of(cls, a_ends: dict[int, int], b_ends: dict[int, int]) -> "Groups":
+        common = sorted(a_ends.keys() & b_ends.keys())
+        return cls(common, [a_ends[end] + 1 for end in common], [b_ends[end] + 1 for end in common])
 
-def groups(a_ends: dict[int, int], b_ends: dict[int, int]) -> Iterator[tuple[slice, slice]]:
-    """The slices of both sides between common ends."""
-    a_from = b_from = 0
-    for end in sorted(a_ends.keys() & b_ends.keys()):
-        a_to, b_to = a_ends[end] + 1, b_ends[end] + 1
-        yield slice(a_from, a_to), slice(b_from, b_to)
-        a_from, b_from = a_to, b_to
+
+def links(groups: Groups, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per group how many links it has and how many rows of these follow; and the rows, ``a << 32 | b`` and times.
+
+    A long group's links are rows of different ids with their number, others' one by one.
+    """
+    a_stops, b_stops = np.array(groups.a_stops), np.array(groups.b_stops)
+    a_sizes, b_sizes = np.diff(a_stops, prepend=0), np.diff(b_stops, prepend=0)
+    n_links = a_sizes * b_sizes
+    long = np.flatnonzero(n_links > _LINKS_ONE_BY_ONE)
+    n_rows = n_links.copy()
+    n_rows[long] = 0
+    before = np.cumsum(n_rows) - n_rows
+    place = np.arange(n_rows.sum()) - np.repeat(before, n_rows)
+    width = np.repeat(b_sizes, n_rows)
+    one = np.array(a, dtype=np.int64)[np.repeat(a_stops - a_sizes, n_rows) + place // width]
+    two = np.array(b, dtype=np.int64)[np.repeat(b_stops - b_sizes, n_rows) + place % width]
+    pairs, times = one << 32 | two, np.ones(len(one), dtype=np.int64)
+    for group in long[::-1]:
+        ours = Counter(a[a_stops[group] - a_sizes[group] : a_stops[group]])
+        theirs = Counter(b[b_stops[group] - b_sizes[group] : b_stops[group]])
+        both = list(product(ours.items(), theirs.items()))
+        pairs = np.insert(pairs, before[group], [x << 32 | y for (x, _), (y, _) in both])
+        times = np.insert(times, before[group], [n * m for (_, n), (_, m) in both])
+        n_rows[group] = len(both)
+    return n_links, n_rows, np.stack([pairs, times])
 
 
 class Pieces:
     """What is known of the pieces met so far, each under a number.
 
-    ``pairs`` are the links of a piece as ``a << 32 | b``, each different pair once, and ``times`` how often it has them.
+    ``pairs`` and ``times`` are the rows of a piece's links, packed; ``sizes`` are four numbers a piece.
     """
 
     def __init__(self, tokenizers: Tokenizers):
@@ -119,42 +188,80 @@ class Pieces:
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.sizes: list[tuple[int, int, int, int]] = []
+        self.sizes = array("q")
         self.written: list[bytes] = []
-        self.pairs: list[list[int]] = []
-        self.times: list[list[int]] = []
-        self.whole: list[bool] = []
+        self.pairs: list[bytes] = []
+        self.times: list[bytes] = []
+        self.broken: set[int] = set()
 
     def learn(self, pieces: list[str]) -> None:
-        tok = self.tokenizers
-        for piece, (a, b) in zip(pieces, tok.encode(pieces), strict=True):
-            a_bytes, b_bytes = [tok.a_bytes[n] for n in a], [tok.b_bytes[n] for n in b]
-            raw = piece.encode()
-            whole = b"".join(a_bytes) == raw == b"".join(b_bytes)
-            texts, pairs, n_links = [], Counter(), 0
-            if whole:
-                for left, right in groups(ends(map(len, a_bytes)), ends(map(len, b_bytes))):
-                    one, two = a[left], b[right]
-                    texts.append(",".join(map(str, one)) + "|" + ",".join(map(str, two)))
-                    n_links += len(one) * len(two)
-                    if len(one) == len(two) == 1:
-                        pairs[one[0] << 32 | two[0]] += 1
-                        continue
-                    for x, x_times in Counter(one).items():
-                        for y, y_times in Counter(two).items():
-                            pairs[x << 32 | y] += x_times * y_times
-            self.numbers[piece] = len(self.sizes)
-            self.sizes.append((len(a), len(b), len(texts), n_links))
-            self.written.append(";".join(texts).encode())
-            self.pairs.append(list(pairs))
-            self.times.append(list(pairs.values()))
-            self.whole.append(whole)
+        """Align new pieces, many side by side where they are encoded as they would be each."""
+        batch, chars = [], 0
+        for piece in pieces:
+            if piece[-1].isspace() or not piece[0].isspace() or len(piece) > _BATCH_CHARS:
+                self._learn_batch([piece])
+                continue
+            batch.append(piece)
+            chars += len(piece)
+            if chars >= _BATCH_CHARS:
+                self._learn_batch(batch)
+                batch, chars = [], 0
+        if batch:
+            self._learn_batch(batch)
+
+    def _learn_batch(self, pieces: list[str]) -> None:
+        """Align pieces as one text; where one does not come back from its tokens, each goes alone."""
+        try:
+            self._align(pieces)
+        except Misfit:
+            if len(pieces) == 1:
+                self.broken.add(len(self.written))
+                self._add(pieces[0], (0, 0, 0, 0), "", b"", b"")
+            else:
+                for piece in pieces:
+                    self._learn_batch([piece])
+
+    def _align(self, pieces: list[str]) -> None:
+        tok, text = self.tokenizers, "".join(pieces)
+        a, b = tok.encode(text)
+        raw = text.encode()
+        if not (tok.a_entries.gives(a, raw) and tok.b_entries.gives(b, raw)):
+            raise Misfit
+        groups = Groups.of(tok.a_entries.ends(a), tok.b_entries.ends(b))
+        places = {end: place for place, end in enumerate(groups.ends, 1)}
+        piece_ends = accumulate(map(len, pieces if text.isascii() else [piece.encode() for piece in pieces]))
+        try:
+            stops = list(map(places.__getitem__, piece_ends))
+        except KeyError:
+            raise Misfit from None
+        one, two = tok.a_entries.lists(a, groups.a_stops), tok.b_entries.lists(b, groups.b_stops)
+        listed = list(map("{}|{}".format, one, two))
+        n_links, n_rows, rows = links(groups, a, b)
+        link_stops, row_stops = np.cumsum(n_links).tolist(), np.cumsum(n_rows).tolist()
+        pairs, times = rows[0].tobytes(), rows[1].tobytes()
+        first, a_from, b_from, link, row = 0, 0, 0, 0, 0
+        for piece, stop in zip(pieces, stops, strict=True):
+            last = stop - 1
+            a_to, b_to, link_to, row_to = groups.a_stops[last], groups.b_stops[last], link_stops[last], row_stops[last]
+            self._add(
+                piece, (a_to - a_from, b_to - b_from, stop - first, link_to - link), ";".join(listed[first:stop]),
+                pairs[8 * row : 8 * row_to], times[8 * row : 8 * row_to],
+            )
+            first, a_from, b_from, link, row = stop, a_to, b_to, link_to, row_to
+
+    def _add(self, piece: str, sizes: tuple[int, int, int, int], text: str, pairs: bytes, times: bytes) -> None:
+        self.numbers[piece] = len(self.written)
+        self.sizes.extend(sizes)
+        self.written.append(text.encode())
+        self.pairs.append(pairs)
+        self.times.append(times)
 
     def of(self, spans: list[list[str]]) -> list[list[int]]:
         """The numbers of the pieces of each span."""
-        new = list(dict.fromkeys(piece for span in spans for piece in span if piece not in self.numbers))
+        new = set().union(*spans).difference(self.numbers)
         if new:
-            self.learn(new)
+            # In a defined order, so that a task that runs again does the same.
+            self.learn(sorted(new))
         return [list(map(self.numbers.__getitem__, span)) for span in spans]
 
 
@@ -170,24 +277,21 @@ def spans(text: str) -> Iterator[list[str]]:
 
 
 class Document:
-    """The sums of a document, and its pieces."""
+    """The pieces of a document and the hash of its groups."""
 
     def __init__(self, doc_id):
         self.doc_id = doc_id
-        self.sizes = np.zeros(4, dtype=np.int64)
         self.digest = hashlib.sha256()
         self.pieces: list[np.ndarray] = []
         self.whole = True
 
     def add(self, numbers: list[int], known: Pieces) -> None:
-        if not self.whole or not all(map(known.whole.__getitem__, numbers)):
+        if known.broken and not known.broken.isdisjoint(numbers):
             self.whole = False
-            return
-        joined = b";".join(map(known.written.__getitem__, numbers))
-        self.digest.update(b";" + joined if self.pieces else joined)
-        for total, column in enumerate(zip(*map(known.sizes.__getitem__, numbers), strict=True)):
-            self.sizes[total] += sum(column)
-        self.pieces.append(np.array(numbers, dtype=np.int32))
+        if self.whole:
+            joined = b";".join(map(known.written.__getitem__, numbers))
+            self.digest.update(b";" + joined if self.pieces else joined)
+            self.pieces.append(np.array(numbers, dtype=np.int32))
 
 
 class Chunk:
@@ -204,18 +308,21 @@ class Chunk:
         whole = [doc for doc in self.documents if doc.whole and doc.pieces]
         pieces = np.concatenate([np.concatenate(doc.pieces) for doc in whole]) if whole else np.empty(0, np.int32)
         met = np.flatnonzero(np.bincount(pieces)) if len(pieces) else np.empty(0, np.int64)
-        lengths = np.fromiter((len(self.known.pairs[n]) for n in met), np.int64, len(met))
-        codes = np.fromiter(chain.from_iterable(self.known.pairs[n] for n in met), np.int64, lengths.sum())
-        times = np.fromiter(chain.from_iterable(self.known.times[n] for n in met), np.int64, lengths.sum())
+        known_pairs = [self.known.pairs[n] for n in met]
+        lengths = np.fromiter(map(len, known_pairs), np.int64, len(met)) // 8
+        codes = np.frombuffer(b"".join(known_pairs), dtype="<i8")
+        times = np.frombuffer(b"".join([self.known.times[n] for n in met]), dtype="<i8")
+        sizes = np.frombuffer(self.known.sizes, dtype=np.int64).reshape(-1, 4).copy()
         pairs, places = np.unique(codes, return_inverse=True)
         starts = np.concatenate(([0], np.cumsum(lengths)))
         docs = np.zeros(len(pairs), dtype=np.int64)
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
         for doc in self.documents:
-            links = b""
+            links, totals = b"", np.zeros(4, dtype=np.int64)
             if doc.whole and doc.pieces:
                 own, own_times = np.unique(np.concatenate(doc.pieces), return_counts=True)
+                totals = own_times @ sizes[own]
                 at = np.searchsorted(met, own)
                 n = lengths[at]
                 links_at = np.repeat(starts[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
@@ -223,19 +330,17 @@ class Chunk:
                 weight = np.bincount(inverse, times[links_at] * np.repeat(own_times, n), len(place)).astype("<i8")
                 docs[place] += 1
                 links = pack(np.diff(place, prepend=0).astype("<u4").tobytes() + weight.tobytes())
-            rows.append((doc, links))
-        yield _batch(self.kind, len(pairs), chunk=np.full(len(pairs), self.number), place=np.arange(len(pairs)), pair=pairs, docs=docs)
+            rows.append((doc, totals, links))
+        numbers = {"chunk": np.full(len(pairs), self.number), "place": np.arange(len(pairs))}
+        yield _batch(self.kind, len(pairs), **numbers, pair=pairs, docs=docs)
         yield _batch(
             self.kind,
             len(rows),
             chunk=np.full(len(rows), self.number),
-            doc_id=[doc.doc_id for doc, _ in rows],
-            **{
-                name: [int(doc.sizes[n]) if doc.whole else 0 for doc, _ in rows]
-                for n, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))
-            },
-            groups_sha256=[doc.digest.hexdigest() if doc.whole and doc.pieces else "" for doc, _ in rows],
-            links=[links for _, links in rows],
+            doc_id=[doc.doc_id for doc, _, _ in rows],
+            **{name: [int(totals[n]) for _, totals, _ in rows] for n, name in enumerate(("n_a", "n_b", "n_groups", "n_links"))},
+            groups_sha256=[doc.digest.hexdigest() if links else "" for doc, _, links in rows],
+            links=[links for _, _, links in rows],
         )
 
 
@@ -268,10 +373,10 @@ def _aligner(a_path: str, b_path: str, kind: pa.DataType):
         chunk = Chunk(first, known, kind)
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
-                if chunk.bytes >= CHUNK_BYTES or len(known.sizes) > _CACHED_PIECES:
+                if chunk.bytes >= CHUNK_BYTES or len(known.written) > _CACHED_PIECES:
                     yield from chunk.rows()
                     chunk = Chunk(chunk.number + 1, known, kind)
-                    if len(known.sizes) > _CACHED_PIECES:
+                    if len(known.written) > _CACHED_PIECES:
                         known.clear()
                 texts = part.column("text").to_pylist()
                 docs = [Document(doc_id) for doc_id in part.column("doc_id").to_pylist()]

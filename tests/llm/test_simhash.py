@@ -78,7 +78,7 @@ def test_odd_rows(spark, tmp_path):
 @pytest.mark.parametrize("rows", [[], [(7, "the only text there is")], [(1, "same text"), (1, "same text"), (1, "same text")]])
 def test_few_rows(spark, rows):
     edited = simhash.edited_by_next(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()
-    assert [(r.doc_id, r.fingerprint == r.edited_fingerprint == r.next_fingerprint) for r in edited] == [(d, True) for d, _ in rows]
+    assert [(r.doc_id, r.fingerprint == r.next_fingerprint) for r in edited] == [(d, True) for d, _ in rows]
 
 
 def values(seed, n, centers, flips):
