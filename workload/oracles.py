@@ -321,7 +321,7 @@ ORACLES = {
     "delivery_states": f"""WITH {REQUESTS},
         tried AS (
             SELECT poll_seq, batch_pos, bool_and(c_acctbal >= -800) AS first, bool_and(c_acctbal >= -900) AS second
-            FROM requests WHERE poll_seq % 7 <> 6 GROUP BY ALL
+            FROM requests JOIN customer USING (c_custkey) WHERE poll_seq % 7 <> 6 GROUP BY ALL
         )
         SELECT poll_seq, batch_pos, CAST(batch_pos + 1 AS BIGINT) AS batch_id,
                CAST(CASE WHEN first IS NULL THEN 0 WHEN first THEN 1 ELSE 2 END AS BIGINT) AS tries,
