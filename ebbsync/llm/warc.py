@@ -12,8 +12,15 @@ what enters it is the last response of the earlier ones, found from one row per
 URL and slice. Only ids and validators are sorted; headers and payloads are joined
 afterwards to the revisits that need them.
 
+A full response is one whose status a 304 can stand for, 200 or 203, and which the
+crawler did not cut off; parts, errors and redirects in between are passed over.
+
 Defined results: of records that share an id, the first by date, type and URL
-counts. Captures at the same time are ordered by record id. A revisit without
+counts. Records without an id are told apart by what they hold, and equal ones
+come back as often as they are there. Captures at the same time are ordered by
+record id. A date or a length that cannot be read counts as absent: without a date
+a record has no place in time, without a length a payload goes to the record's end.
+A response without a status line is no full one. A revisit without
 date or URL, or without an earlier full response, is ``missing``; with a
 contradicting validator ``mismatch``; with none to compare ``unverified``, without
 payload like the former. Records that are neither are ignored. Null payloads and
@@ -34,6 +41,11 @@ NOT_MERGED = (
 )
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/server-not-modified"
 
+#: Statuses of a stored response that a server answers 304 for.
+FULL_STATUSES = (200, 203)
+#: A record id starts with its scheme, so none is like a key that begins with this.
+_NO_ID = "\0"
+
 SLICE_SECONDS = 3600
 
 
@@ -76,7 +88,7 @@ def _headers(block: Column) -> Column:
 
 
 def parse(records: DataFrame, raw: str = "raw") -> DataFrame:
-    """Record texts as ``record_id``, ``type``, ``uri``, ``date``, ``headers`` (of HTTP) and ``payload``.
+    """Record texts as ``record_id``, ``type``, ``uri``, ``date``, ``headers`` (of HTTP), ``payload`` and ``full``.
 
     The payload ends where the record's Content-Length says, so blank lines within it stay.
     """
@@ -88,14 +100,17 @@ def parse(records: DataFrame, raw: str = "raw") -> DataFrame:
     block = F.expr("substring(whole, char_length(head) + 5)")
     parts = parts.select("warc", block.alias("block")).withColumn("http", F.substring_index("block", gap_text, 1))
     rest = F.expr("substring(block, char_length(http) + 5)").cast("binary")
-    size = F.element_at("warc", F.lit("content-length")).cast("int") - F.octet_length("http") - 4
+    stated = F.try_element_at("warc", F.lit("content-length")).try_cast("bigint") - F.octet_length("http") - 4
+    size = F.least(F.greatest(F.coalesce(stated, F.octet_length(rest) - 4), F.lit(0)), F.octet_length(rest)).cast("int")
+    status = F.regexp_extract("http", r"^HTTP/\S+ +(\d{3})(?!\d)", 1).try_cast("int")
     return parts.select(
-        F.regexp_replace(F.element_at("warc", F.lit("warc-record-id")), "[<>]", "").alias("record_id"),
-        F.element_at("warc", F.lit("warc-type")).alias("type"),
-        F.element_at("warc", F.lit("warc-target-uri")).alias("uri"),
-        F.to_timestamp(F.element_at("warc", F.lit("warc-date"))).alias("date"),
+        F.regexp_replace(F.try_element_at("warc", F.lit("warc-record-id")), "[<>]", "").alias("record_id"),
+        F.try_element_at("warc", F.lit("warc-type")).alias("type"),
+        F.try_element_at("warc", F.lit("warc-target-uri")).alias("uri"),
+        F.try_to_timestamp(F.try_element_at("warc", F.lit("warc-date"))).alias("date"),
         _headers(F.col("http")).alias("headers"),
-        F.substring(rest, F.lit(1), F.greatest(size, F.lit(0))).cast("string").alias("payload"),
+        F.substring(rest, F.lit(1), size).cast("string").alias("payload"),
+        (status.isin(*FULL_STATUSES) & ~F.map_contains_key("warc", F.lit("warc-truncated"))).alias("full"),
     )
 
 
@@ -115,11 +130,12 @@ def _status() -> Column:
 
 
 def as_of(captures: DataFrame) -> DataFrame:
-    """Each revisit with the response it refers to, as ``full``, and its ``status``."""
-    first = F.struct("date", "type", "uri", "etag", "modified")
-    one_each = captures.filter(F.col("type").isin("response", "revisit")).groupBy("record_id").agg(F.min(first).alias("c"))
-    light = one_each.select("record_id", "c.*").withColumn("url", canonical_url(F.col("uri")))
-    full = F.when(F.col("type") == "response", F.struct("record_id", "etag", "modified"))
+    """Each revisit with the response it refers to, as ``full``, and its ``status``; ``copies`` of one without an id."""
+    first = F.struct("date", "type", "uri", "etag", "modified", "is_full")
+    copies = F.when(F.col("record_id").startswith(_NO_ID), F.count(F.lit(1))).otherwise(1).alias("copies")
+    one_each = captures.filter(F.col("type").isin("response", "revisit")).groupBy("record_id").agg(F.min(first).alias("c"), copies)
+    light = one_each.select("record_id", "copies", "c.*").withColumn("url", canonical_url(F.col("uri")))
+    full = F.when((F.col("type") == "response") & F.col("is_full"), F.struct("record_id", "etag", "modified"))
     light = light.withColumn("slice", F.floor(F.unix_timestamp("date") / SLICE_SECONDS)).withColumn("own", full)
     dated = light.filter(F.col("date").isNotNull() & F.col("url").isNotNull())
     last = dated.filter("own IS NOT NULL").groupBy("url", "slice").agg(
@@ -134,7 +150,7 @@ def as_of(captures: DataFrame) -> DataFrame:
     undated = light.filter("type = 'revisit' AND (date IS NULL OR url IS NULL)").withColumn(
         "full", F.lit(None).cast(joined.schema["full"].dataType)
     )
-    columns = ["record_id", "uri", "date", "etag", "modified", "full"]
+    columns = ["record_id", "copies", "uri", "date", "etag", "modified", "full"]
     found = joined.select(*columns).unionByName(undated.select(*columns))
     return found.withColumn("status", _status())
 
@@ -146,20 +162,26 @@ def _merged(stored: Column, update: Column) -> Column:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Every revisit as ``record_id``, ``uri``, ``date``, ``status``, ``refers_to``, ``headers`` and ``payload``."""
+    """Every revisit as ``record_id``, ``uri``, ``date``, ``status``, ``refers_to``, ``headers`` and ``payload``.
+
+    ``records`` are those of ``parse``; without its ``full`` every response counts as a full one.
+    """
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    held = F.to_json(F.struct("type", "uri", "date", "headers", "payload"))
     known = records.select(
-        "record_id", "type", "uri", "date",
+        F.coalesce("record_id", F.concat(F.lit(_NO_ID), F.md5(held.cast("binary")))).alias("record_id"),
+        "type", "uri", "date",
         F.coalesce("headers", none).alias("headers"), F.coalesce("payload", F.lit("")).alias("payload"),
+        F.coalesce("full" if "full" in records.columns else F.lit(True), F.lit(False)).alias("is_full"),
     )
     light = known.select(
-        "record_id", "type", "uri", "date",
+        "record_id", "type", "uri", "date", "is_full",
         F.try_element_at("headers", F.lit("etag")).alias("etag"),
         F.try_element_at("headers", F.lit("last-modified")).alias("modified"),
     )
     found = as_of(light)
     referred = F.when(F.col("status") == "resolved", F.col("full.record_id"))
-    found = found.select("record_id", "uri", "date", "status", referred.alias("refers_to"))
+    found = found.select("record_id", "copies", "uri", "date", "status", referred.alias("refers_to"))
     own = known.filter("type = 'revisit'").select(
         F.col("record_id").alias("own_id"), F.col("headers").alias("update"), F.struct("date", "uri").alias("order")
     )
@@ -167,12 +189,18 @@ def resolve(records: DataFrame) -> DataFrame:
     stored = known.filter("type = 'response'").groupBy(F.col("record_id").alias("stored_id"))
     stored = stored.agg(F.min_by(F.struct("headers", "payload"), F.struct("date", "uri", "payload")).alias("s"))
     stored = stored.select("stored_id", F.col("s.headers").alias("stored"), F.col("s.payload").alias("body"))
-    joined = found.join(own, F.col("record_id").eqNullSafe(F.col("own_id")), "left").join(
+    joined = found.join(own, F.col("record_id") == F.col("own_id"), "left").join(
         stored, F.col("refers_to") == F.col("stored_id"), "left"
     )
     update = F.coalesce("update", none)
+    # Equal records without an id are one row until here.
+    joined = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))))
+
+    def named(key: str) -> Column:
+        return F.when(~F.col(key).startswith(_NO_ID), F.col(key)).alias(key)
+
     return joined.select(
-        "record_id", "uri", "date", "status", "refers_to",
+        named("record_id"), "uri", "date", "status", named("refers_to"),
         F.when(F.col("stored").isNull(), update).otherwise(_merged(F.col("stored"), update)).alias("headers"),
         F.col("body").alias("payload"),
     )
