@@ -12,8 +12,9 @@ from ebbsync.sources.store import Store
 from workload.queries import QUERIES
 
 # Queries whose result is read from what a job wrote; their plan is a scan.
-WRITERS = {"catch_up_sync", "payload_dump", "run_once_sync", "store_apply", "stream_dedup", "stream_late",
-           "stream_redelivery", "stream_update"}
+WRITERS = {"batch_pack_calls", "catch_up_resumed", "catch_up_sync", "payload_dump", "run_once_sync", "store_apply",
+           "stream_dedup", "stream_late", "stream_moving", "stream_moving_backlog", "stream_redelivery",
+           "stream_requeue", "stream_update"}
 
 
 def final_plan(df):
@@ -81,6 +82,12 @@ def test_latest_request_of_a_hot_entity_is_reduced_before_the_exchange(spark):
     assert (last["batch_id"], last["superseded"]) == (59997, hot(spark).filter("entity_id = 'Q0'").count() - 1)
 
 
+def test_the_latest_request_is_a_hash_aggregate(spark):
+    """Its order is one number, so the aggregate does not sort."""
+    plan = QUERIES["latest_change"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
 def test_positions_cut_a_hot_wiki_into_pieces(spark):
     changes = hot(spark).select("wiki_id", F.lit(0).alias("ts"), F.col("batch_id").alias("change_id"))
     placed = feed_positions(changes, ["ts", "change_id"])
