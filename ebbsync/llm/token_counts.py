@@ -7,6 +7,11 @@ are counted. A pre-token is a run of spaces and the characters after it; no piec
 of the vocabulary spans two, so their counts add up. Counts are remembered for a
 bounded number of pre-tokens.
 
+A long pre-token, as a text without spaces is, would take a round over all of it for
+every rank it has. It has an index instead, from a rank to the places of its pairs: a
+round takes the lowest rank's places, merges them from the left, and ranks only the
+pairs that this makes. So it costs its merges and not its length times its ranks.
+
 Where a merged symbol could form a pair of lower rank than its own, merging the
 further occurrences at once would jump the queue; then only the first is merged.
 Characters that are no piece count as their bytes.
@@ -21,6 +26,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +39,8 @@ SPACE = "▁"
 _CACHED = 500_000
 #: Characters of text whose pre-tokens are held at once.
 _SLICE_CHARS = 2_000_000
+#: Characters from which a pre-token has an index of its own.
+LONG = 256
 _NO_RANK = np.int32(2**31 - 1)
 _PRE_TOKEN = re.compile(f"{SPACE}+[^{SPACE}]*").findall
 
@@ -48,6 +57,11 @@ class MergeTable:
     merged: np.ndarray
     one_at_a_time: np.ndarray
 
+    @cached_property
+    def by_pair(self) -> dict[int, tuple[int, int]]:
+        """Rank and merged symbol of each pair."""
+        return dict(zip(self.pairs.tolist(), zip(self.ranks.tolist(), self.merged.tolist()), strict=True))
+
 
 def merge_table(model_path: str) -> MergeTable:
     """The merge table of a sentencepiece BPE model with byte fallback."""
@@ -91,15 +105,69 @@ def merge_table(model_path: str) -> MergeTable:
     )
 
 
-def count_symbols(table: MergeTable, pre_tokens: list[str]) -> np.ndarray:
-    """How many tokens each non-empty pre-token has."""
-    lengths = np.fromiter(map(len, pre_tokens), dtype=np.int64, count=len(pre_tokens))
-    codes = np.frombuffer("".join(pre_tokens).encode("utf-32-le"), dtype="<u4")
+def _symbols(table: MergeTable, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The symbol of each character, and as how many tokens it counts while it is not merged."""
+    codes = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
     place = np.minimum(np.searchsorted(table.chars, codes), len(table.chars) - 1)
     known = table.chars[place] == codes
     symbol = np.where(known, table.char_ids[place], -1).astype(np.int64)
     n_bytes = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
-    weight = np.where(known & table.is_piece[symbol], 1, n_bytes).astype(np.int64)
+    return symbol, np.where(known & table.is_piece[symbol], 1, n_bytes).astype(np.int64)
+
+
+def count_long(table: MergeTable, pre_token: str) -> int:
+    """How many tokens one long pre-token has."""
+    symbols, weights = _symbols(table, pre_token)
+    first_ranks, _ = _ranks(table, symbols, np.zeros(len(symbols), dtype=np.int64))
+    # The index of the first round, by one stable sort: places of a rank are in order.
+    order = np.argsort(first_ranks, kind="stable")
+    order = order[first_ranks[order] != _NO_RANK]
+    ranks, starts = np.unique(first_ranks[order], return_index=True)
+    places = {rank: part.tolist() for rank, part in zip(ranks.tolist(), np.split(order, starts[1:]))}
+    waiting = list(places)
+    heapify(waiting)
+    symbol, weight, by_pair = symbols.tolist(), weights.tolist(), table.by_pair
+    n = len(symbol)
+    right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    while waiting:
+        rank = heappop(waiting)
+        todo = sorted(places.pop(rank))
+        for done, at in enumerate(todo):
+            after = right[at]
+            if weight[at] == 0 or after == n or symbol[at] < 0 or symbol[after] < 0:
+                continue
+            found = by_pair.get(symbol[at] << 32 | symbol[after])
+            if found is None or found[0] != rank:
+                continue
+            symbol[at], weight[at], weight[after] = found[1], 1, 0
+            right[at] = right[after]
+            if right[at] < n:
+                left[right[at]] = at
+            lower = False
+            for one, two in ((left[at], at), (at, right[at])):
+                if one < 0 or two == n or symbol[one] < 0 or symbol[two] < 0:
+                    continue
+                made = by_pair.get(symbol[one] << 32 | symbol[two])
+                if made is not None:
+                    if made[0] not in places:
+                        places[made[0]] = []
+                        heappush(waiting, made[0])
+                    places[made[0]].append(one)
+                    lower |= made[0] < rank
+            if lower and done + 1 < len(todo):
+                # What was made goes first; the rest of the round waits its turn.
+                if rank not in places:
+                    places[rank] = []
+                    heappush(waiting, rank)
+                places[rank] += todo[done + 1 :]
+                break
+    return sum(weight)
+
+
+def count_symbols(table: MergeTable, pre_tokens: list[str]) -> np.ndarray:
+    """How many tokens each non-empty pre-token has."""
+    lengths = np.fromiter(map(len, pre_tokens), dtype=np.int64, count=len(pre_tokens))
+    symbol, weight = _symbols(table, "".join(pre_tokens))
     owner = np.repeat(np.arange(len(pre_tokens)), lengths)
     counts = np.zeros(len(pre_tokens), dtype=np.int64)
     while len(symbol):
@@ -156,8 +224,10 @@ class TokenCounter(dict):
         if len(self) + len(new) > _CACHED:
             self.clear()
             new = list(set().union(*split))
-        if new:
-            self.update(zip(new, count_symbols(self.table, new).tolist(), strict=True))
+        short = [pre_token for pre_token in new if len(pre_token) < LONG]
+        if short:
+            self.update(zip(short, count_symbols(self.table, short).tolist(), strict=True))
+        self.update((pre_token, count_long(self.table, pre_token)) for pre_token in new if len(pre_token) >= LONG)
         return [sum(map(self.__getitem__, pre_tokens)) for pre_tokens in split]
 
 
