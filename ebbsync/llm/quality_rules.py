@@ -3,19 +3,25 @@
 Each rule looks at one trait of a text and votes good, votes bad, or abstains.
 How often each vote falls on good and on bad documents is estimated from the
 votes alone by expectation maximisation; a document's quality is its posterior
-probability of being good under those estimates. One estimate is bounded: no rule
-is taken to vote bad on more than ``MAX_FALSE_ALARM`` of the good documents. So one
-vote for bad is decisive in practice, as where every rule must pass, and a rule that
-is wrong more often than that is not found out.
-
-The votes of all documents are first counted by pattern. There are at most
-``3 ** N_RULES`` patterns however many documents there are, so the estimation
+probability of being good under those estimates. Every rule knows both sides, and
+several look at the same junk from different angles: what tells a defect from the
+noise of a rule is that other rules see it too. A rule that fires on good and bad
+documents alike is found out, and its votes then count for little.
+
+The estimates start from, and lean on, a prior that weighs as much as
+``PRIOR_WEIGHT`` of the documents (``MIN_PRIOR_WEIGHT`` of them at least): rules seldom
+vote bad on good documents, and a bad document fails some of the rules, not most.
+
+Only documents that pass the base rule take part in the estimation, since the others
+are rejected whatever the votes. The votes are first counted by pattern. There are at
+most ``3 ** N_RULES`` patterns however many documents there are, so the estimation
 runs over one row of counts, as an expression.
 
 Defined results: a null or empty text has no words, fails the base rule and is
 not kept. A document's row is kept or dropped whole; repeated rows get the same
-verdict. An empty table gives an empty result. Input columns of any name are
-carried along.
+verdict. A table where no document passes the base rule, or a few do, is judged by the
+prior: two votes for bad then outweigh up to five for good. An empty table gives an
+empty result. Input columns of any name are carried along.
 """
 
 from __future__ import annotations
@@ -37,14 +43,14 @@ ROUNDS = 30
 #: Documents that the prior on each rule's votes weighs as much as: a share of all, and at least so many.
 PRIOR_WEIGHT = 0.02
 MIN_PRIOR_WEIGHT = 10.0
-#: What the prior expects: votes of a rule that does not abstain are right this often.
-PRIOR_ACCURACY = 0.9
+#: What the prior expects of any rule: its shares of abstentions, votes for good and votes for bad.
+PRIOR_ON_GOOD = (0.1, 0.88, 0.02)
+PRIOR_ON_BAD = (0.2, 0.4, 0.4)
 PRIOR_GOOD = 0.8
-#: No rule votes bad on more than this share of the good documents. Votes alone cannot
-#: tell a defect that comes without others from a trait of good texts; this bound does.
-MAX_FALSE_ALARM = 0.001
 KEEP_FROM = 0.5
 N_RULES = 7
+#: A word of letters and digits alone, but for a mark before it and one after.
+PLAIN_WORD = r"(?<![^\x20\x09-\x0D])\p{P}?+[\p{L}\p{M}\p{N}'’-]++[.,;:!?)\"]?+(?![^\x20\x09-\x0D])"
 
 
 def _repeated_words(tokens: Column) -> Column:
@@ -92,6 +98,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size(F.array_distinct("tokens")).cast("long").alias("n_distinct"),
         F.length(F.regexp_replace("body", r"[^!?]+", "")).cast("long").alias("n_shouts"),
         F.length(F.regexp_replace("body", r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
+        F.regexp_count("body", F.lit(PLAIN_WORD)).cast("long").alias("n_plain"),
         lines.alias("lines"),
         _repeated_words(F.col("tokens")).alias("n_repeat_words"),
     )
@@ -111,28 +118,28 @@ def _share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-def _bad_if(defect: Column) -> Column:
-    """A rule that only knows a defect: its absence says nothing, so it abstains."""
-    return F.when(defect, BAD).otherwise(ABSTAIN)
-
-
 def _two_sided(bad: Column, good: Column) -> Column:
     return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
 
 
 def rules() -> list[Column]:
     """One vote per rule, over the columns of ``measure``."""
-    mean_length = _share("word_chars", "n_words")
+    symbols = _share("n_symbols", "n_words")
+    capitals = _share("n_upper", "word_chars")
+    shouts = _share("n_shouts", "n_words")
+    repeated = _share("n_dup_lines", "n_lines")
     variety = _share("n_distinct", "n_words")
-    some_words = F.col("n_words") >= 50
+    mean_length = _share("word_chars", "n_words")
+    plain = _share("n_plain", "n_words")
+    some_lines, some_words = F.col("n_lines") >= 3, F.col("n_words") >= 50
     return [
-        _bad_if(_share("n_symbols", "n_words") > 0.1),
-        _bad_if(_share("n_upper", "word_chars") > 0.3),
-        _bad_if(_share("n_shouts", "n_words") > 0.3),
-        _bad_if((F.col("n_lines") >= 3) & (_share("n_dup_lines", "n_lines") > 0.35)),
-        _bad_if(100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),
-        _bad_if(some_words & (variety < 0.3)),
+        _two_sided(symbols > 0.1, symbols <= 0.01),
+        _two_sided(capitals > 0.3, capitals <= 0.1),
+        _two_sided(shouts > 0.3, shouts <= 0.05),
+        _two_sided(some_lines & (repeated > 0.35), some_lines & (repeated == 0)),
+        _two_sided(some_words & (variety < 0.3), some_words & (variety >= 0.5)),
         _two_sided((mean_length < 2.5) | (mean_length > 12), mean_length.between(3.5, 8)),
+        _two_sided(plain < 0.7, plain >= 0.9),
     ]
 
 
@@ -151,15 +158,13 @@ class VoteModel:
         return total
 
 
-def _prior_shares() -> list[list[list[float]]]:
-    right, wrong = 0.8 * PRIOR_ACCURACY, 0.8 * (1 - PRIOR_ACCURACY)
-    by_class = ([0.2, right, wrong], [0.2, wrong, right])
-    return [[shares for _ in range(N_RULES)] for shares in by_class]
+def _prior_shares() -> list[list[tuple[float, ...]]]:
+    return [[shares for _ in range(N_RULES)] for shares in (PRIOR_ON_GOOD, PRIOR_ON_BAD)]
 
 
 def fit(measured: DataFrame) -> VoteModel:
-    """Estimate the model from the votes of all rows. Runs one job that returns one row."""
-    patterns = measured.groupBy(F.array(*rules()).alias("votes")).agg(F.count("*").cast("double").alias("n"))
+    """Estimate the model from the votes of all rows that pass the base rule. Runs one job that returns one row."""
+    patterns = measured.filter(~base_failed()).groupBy(F.array(*rules()).alias("votes")).agg(F.count("*").cast("double").alias("n"))
     counts = patterns.agg(
         F.array_sort(F.collect_list(F.struct("votes", "n"))).alias("p"), F.sum("n").alias("total")
     )
@@ -203,18 +208,7 @@ def fit(measured: DataFrame) -> VoteModel:
                 return (seen + weight * F.get(flat, i)) / (F.when(is_good, n_good).otherwise(total - n_good) + weight)
 
             shares = F.transform(F.sequence(F.lit(0), F.lit(len(cells) - 1)), share)
-            return F.struct(
-                ((n_good + weight * PRIOR_GOOD) / (total + weight)).alias("good"), let(shares, bounded).alias("t")
-            )
-
-        def bounded(shares: Column) -> Column:
-            def bound(share: Column, i: Column) -> Column:
-                alarms = F.get(shares, i - i % VOTES + BAD)
-                allowed = F.least(alarms, F.lit(MAX_FALSE_ALARM))
-                rest = share * (1 - allowed) / (1 - alarms)
-                return F.when(i >= N_RULES * VOTES, share).when(i % VOTES == BAD, allowed).otherwise(rest)
-
-            return F.transform(shares, bound)
+            return F.struct(((n_good + weight * PRIOR_GOOD) / (total + weight)).alias("good"), shares.alias("t"))
 
         return let(judged, estimate)
 
