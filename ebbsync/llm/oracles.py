@@ -92,25 +92,30 @@ FROM judged
 
 ORACLES["op9_perspectives"] = r"""
 WITH plain AS (
-  SELECT conv_id, turn, turn IS NOT NULL AS placed, coalesce(floor(turn / 256), 0)::BIGINT AS part,
-    coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
+  SELECT conv_id, turn,
+    replace(replace(coalesce(role, 'unknown'), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>') AS speaker,
+    replace(replace(coalesce(text, ''), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>') AS body
+  FROM conversations),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, speaker, md5(body)) - 1 AS place FROM plain),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM plain WHERE speaker <> 'system'),
 views AS (
   SELECT conv_id, perspective FROM people
-  UNION ALL SELECT DISTINCT conv_id, NULL FROM plain WHERE conv_id NOT IN (SELECT conv_id FROM people)),
+  UNION ALL SELECT DISTINCT conv_id, NULL FROM plain
+    WHERE NOT EXISTS (FROM people WHERE people.conv_id IS NOT DISTINCT FROM plain.conv_id)),
 shown AS (
-  SELECT p.*, perspective, speaker IS NOT DISTINCT FROM perspective AS own,
+  SELECT p.conv_id, place, speaker, body, perspective, speaker IS NOT DISTINCT FROM perspective AS own,
     '<|im_start|>' || CASE WHEN speaker IS NOT DISTINCT FROM perspective THEN 'assistant'
       WHEN speaker = 'system' THEN 'system' ELSE 'user:' || speaker END || chr(10) AS head
-  FROM plain p JOIN views USING (conv_id)),
-placed_at AS (
-  SELECT *, coalesce(sum(length(head) + length(body) + 11) OVER (PARTITION BY conv_id, perspective, placed, part
-    ORDER BY turn, speaker, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM shown)
-SELECT conv_id, perspective, CASE WHEN placed THEN part END AS part, count(*) AS n_turns,
-  string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY turn, speaker, body) AS text,
+  FROM ranked p JOIN views v ON p.conv_id IS NOT DISTINCT FROM v.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 11) OVER (PARTITION BY conv_id, perspective
+    ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM shown)
+SELECT conv_id, perspective, place // 256 AS part, min(pos) AS start, count(*) AS n_turns,
+  string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY place) AS text,
   coalesce(string_agg((pos + length(head))::VARCHAR || '-' || (pos + length(head) + length(body) + 10)::VARCHAR, ','
-    ORDER BY turn, speaker, body) FILTER (own), '') AS mask
-FROM placed_at GROUP BY conv_id, perspective, placed, part
+    ORDER BY place) FILTER (own), '') AS mask
+FROM placed GROUP BY conv_id, perspective, place // 256
 """
 
 ORACLES["op13_filter_audit"] = rf"""
