@@ -17,6 +17,7 @@ from ebbsync.operators.sync import (
     touched_subjects,
     verify_applied,
 )
+from ebbsync.session import LEAST_PIECES, PIECES, TASK_BYTES, TASK_SETTINGS, configure
 from ebbsync.sources.parts import Parts, create_file
 from ebbsync.sources.store import Store, StoreChanged, dump, list_numbers, make_dirs
 
@@ -375,3 +376,28 @@ def test_another_writer_is_noticed(spark, folder):
     store.compact(first)
     store.expire()
     store.check_unchanged(read, third)
+
+
+def test_a_task_gets_bounded_bytes(spark, conf, folder):
+    """What a task gets of an exchange and of a file does not grow with the session's settings or the table."""
+    names = {key: key.replace(".", "__") for key in (*TASK_SETTINGS, PIECES, "spark.sql.shuffle.partitions")}
+    conf(**{names[key]: "64m" for key in TASK_SETTINGS}, **{names[PIECES]: "8", "spark__sql__shuffle__partitions": "12"})
+    configure(spark)
+    assert [spark.conf.get(key) for key in TASK_SETTINGS] == [str(TASK_BYTES)] * len(TASK_SETTINGS)
+    assert int(spark.conf.get(PIECES)) == LEAST_PIECES
+    conf(**{names[key]: "1m" for key in TASK_SETTINGS}, **{names[PIECES]: "1000"})
+    configure(spark)
+    assert [spark.conf.get(key) for key in TASK_SETTINGS] == ["1m"] * len(TASK_SETTINGS)
+    assert spark.conf.get(PIECES) == "1000"
+    # One route's rows: a single file, of which no task has to read the whole.
+    rows = spark.range(0, 3_000_000, 1, 4).select(
+        F.lit(1).alias("wiki_id"), F.concat(F.lit("s"), F.xxhash64("id").cast("string")).alias("s"), F.lit("p").alias("p"),
+        F.xxhash64("id", "id").cast("string").alias("o"), F.lit("b").alias("backend"), F.lit("n").alias("namespace"))
+    conf(**{names[key]: "512m" for key in TASK_SETTINGS[:1]})
+    store = Store(spark, folder)
+    store.load(rows, epoch=0)
+    files = store.log().groupBy(F.input_file_name().alias("f")).count().collect()
+    # Row groups of a file begin where its tasks do, so more tasks than files have rows.
+    conf(**{names[TASK_SETTINGS[1]]: str(TASK_BYTES)})
+    tasks = store.log().groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert len(tasks) > len(files) and max(row["count"] for row in tasks) < 1_500_000
