@@ -11,8 +11,10 @@ from ebbsync.operators.sync import (
     diff_deletes,
     diff_inserts,
     diff_log,
+    diff_stores,
     diff_triples,
     in_buckets,
+    number_stores,
     touched_buckets,
     touched_subjects,
     verify_applied,
@@ -378,6 +380,36 @@ def test_another_writer_is_noticed(spark, folder):
     store.check_unchanged(read, third)
 
 
+def test_stores_are_compared_in_one_row(spark):
+    """Triples of a wiki with several stores pass the exchange once, and come out as the comparison by route has them."""
+    named = [(1, f"b{n}", f"n{n}") for n in range(3)] + [(2, "b0", "other")]
+    routes = spark.createDataFrame(named, "wiki_id INT, backend STRING, namespace STRING")
+    triple = "wiki_id INT, s STRING, p STRING, o STRING"
+    true = [(w, s, p, o) for w in (1, 2, 3) for s in ("s1", "s2", "s3") for p in ("p1", None) for o in ("o1", "o2")]
+    current = spark.createDataFrame([*true, *true, (None, "s1", "p1", "o1"), (1, None, "p1", "o1")], triple)
+    log = [(1, "s1", "p1", "o1", 0, "I", "b0", "n0"), (1, "s1", "p1", "o1", 1, "D", "b0", "n0"),
+           (1, "s1", "p1", "gone", 0, "I", "b1", "n1"), (1, "s1", "p1", "gone", 0, "I", "b1", "n1"),
+           (1, "s2", None, "o2", 2, "I", "b2", "n2"), (1, "s2", "p1", "gone", 0, "I", "b2", "n2"),
+           (1, "s3", "p1", "gone", 0, "I", "b0", "n0"), (2, "s1", "p1", "gone", 0, "I", "b0", "other"),
+           (2, "s1", "p1", "o1", 0, "I", "b9", "unnamed"), (3, "s1", "p1", "gone", 0, "I", "b0", "n0")]
+    log = spark.createDataFrame(log, f"{triple}, epoch BIGINT, op STRING, backend STRING, namespace STRING")
+    touched = [(1, "s1", "b0", "n0"), (1, "s1", "b1", "n1"), (1, "s2", "b2", "n2"), (2, "s1", "b0", "other"), (3, "s1", "b0", "n0")]
+    touched = spark.createDataFrame(touched, "wiki_id INT, s STRING, backend STRING, namespace STRING")
+    here = log.join(routes, ["wiki_id", *ROUTE], "left_semi")
+    expected = tuples(diff_log(current.join(routes, "wiki_id"), here, touched, False, ROUTE))
+    assert {row[0] for row in expected} == {"I", "D"} and {row[1] for row in expected} == {"b0", "b1", "b2"}
+    numbered = number_stores(routes)
+    assert sorted(row["no"] for row in numbered.collect()) == [0, 0, 1, 2]
+    for small in (True, False):
+        for numbers in (None, touched_buckets(touched)):
+            got = diff_stores(current, log, touched, numbered, 3, small, numbers)
+            assert got.columns == ["op", *ROUTE, "wiki_id", "s", "p", "o"]
+            assert tuples(got) == expected
+    # Before the exchange a triple has no store's name, so it is not repeated for each.
+    plan = diff_stores(current, log, touched, numbered, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(wiki_id" in plan and "hashpartitioning(backend" not in plan
+
+
 def test_a_task_gets_bounded_bytes(spark, conf, folder):
     """What a task gets of an exchange and of a file does not grow with the session's settings or the table."""
     names = {key: key.replace(".", "__") for key in (*TASK_SETTINGS, PIECES, "spark.sql.shuffle.partitions")}
