@@ -9,7 +9,8 @@ from ebbsync.operators.requests import latest_per_entity, lookup_state
 from ebbsync.operators.sync import diff_log, diff_triples
 from ebbsync.plans.update import Sources
 from ebbsync.sources.store import Store
-from workload.queries import QUERIES
+from workload import tables
+from workload.queries import QUERIES, _sources
 
 # Queries whose result is read from what a job wrote; their plan is a scan.
 WRITERS = {"batch_pack_calls", "catch_up_resumed", "catch_up_sync", "payload_dump", "run_once_sync", "store_apply",
@@ -177,3 +178,13 @@ def test_sources_of_few_wikis_are_read_in_part(spark, folder):
     plan = sources.current._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(wiki_id" in plan
     assert [r[0] for r in sources.current.select("wiki_id").distinct().collect()] == [34]
+
+
+def test_what_several_passes_read_is_joined_once(spark):
+    """The current triples of a service with several passes are a table, not joins that every pass runs again."""
+    once, kept = (_sources(spark, SF_DIR, passes=n).current for n in (1, 2))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert "Join" in once._jdf.queryExecution().executedPlan().toString()
+    rows = tables.current(spark, SF_DIR).select(*kept.columns)
+    assert kept.exceptAll(rows).isEmpty() and rows.exceptAll(kept).isEmpty()

@@ -19,7 +19,7 @@ from ebbsync.operators.sync import (
     touched_subjects,
     verify_applied,
 )
-from ebbsync.session import LEAST_PIECES, PIECES, TASK_BYTES, TASK_SETTINGS, configure
+from ebbsync.session import LEAST_PIECES, OPEN_COST, PIECES, TASK_BYTES, TASK_SETTINGS, configure
 from ebbsync.sources.parts import Parts, create_file
 from ebbsync.sources.store import Store, StoreChanged, dump, list_numbers, make_dirs
 
@@ -417,6 +417,8 @@ def test_a_task_gets_bounded_bytes(spark, conf, folder):
     configure(spark)
     assert [spark.conf.get(key) for key in TASK_SETTINGS] == [str(TASK_BYTES)] * len(TASK_SETTINGS)
     assert int(spark.conf.get(PIECES)) == LEAST_PIECES
+    # As many small files as before: 32 polls are one task's, and one file's when they are landed.
+    assert int(spark.conf.get(OPEN_COST)) * 32 == TASK_BYTES
     conf(**{names[key]: "1m" for key in TASK_SETTINGS}, **{names[PIECES]: "1000"})
     configure(spark)
     assert [spark.conf.get(key) for key in TASK_SETTINGS] == ["1m"] * len(TASK_SETTINGS)
