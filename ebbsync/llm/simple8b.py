@@ -25,44 +25,55 @@ _HEAD_SIZE = struct.calcsize(_HEAD)
 
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each integer needs. High halves apart, since a double holds 53 bits."""
-    bits = np.frexp((values & np.uint64(0xFFFFFFFF)).astype(np.float64))[1]
     high = values >> np.uint64(32)
+    bits = _exponents(values & np.uint64(0xFFFFFFFF))
     wide = np.flatnonzero(high)
-    bits[wide] = 32 + np.frexp(high[wide].astype(np.float64))[1]
+    bits[wide] = 32 + _exponents(high[wide])
     return bits
 
 
+def _exponents(halves: np.ndarray) -> np.ndarray:
+    """Bits of integers below 2**32, from the exponent of the double; that of zero is below all others."""
+    return np.maximum((halves.astype(np.float64).view(np.int64) >> 52) - 1022, 0).astype(np.uint8)
+
+
+def _selectors(bits: np.ndarray) -> np.ndarray:
+    """The densest selector at every place of the rows, which are blocks, or an escape where none has room.
+
+    Where a selector fits, the next wider one does too, so those that fit are counted. Past the end of a row is zero.
+    """
+    fitting = np.zeros(bits.shape, dtype=np.uint8)
+    most, reach = bits, 1
+    for s in range(len(COUNTS) - 1, ESCAPE, -1):
+        while reach < COUNTS[s]:
+            step = min(reach, int(COUNTS[s]) - reach)
+            ahead = np.zeros_like(most)
+            ahead[:, :-step] = most[:, step:]
+            most, reach = np.maximum(most, ahead), reach + step
+        fits = most <= int(WIDTHS[s])
+        if not fits.any():
+            break
+        fitting += fits
+    return np.where(fitting > 0, len(COUNTS) - fitting, ESCAPE).astype(np.uint8)
+
+
 def encode(ids: np.ndarray) -> bytes:
     """The integers as head, word offset of each block, words, and escaped integers."""
     values = np.ascontiguousarray(ids, dtype=np.uint64)
     n = len(values)
-    bits = _bits(values)
-    at = np.arange(n)
-    end = np.minimum((at // BLOCK + 1) * BLOCK, n)
-    # The densest selector that every integer has room in, or an escape where there is none.
-    widest = len(COUNTS) - 1
-    while n and widest > 1 and WIDTHS[widest - 1] >= bits.max():
-        widest -= 1
-    selector = np.where(bits > WIDTHS[widest], ESCAPE, widest).astype(np.uint8)
-    step = np.where(selector == ESCAPE, 1, np.minimum(COUNTS[widest], end - at))
-    # Where a selector fits, the next wider one does too: each looks at what is left of the last.
-    left = np.flatnonzero(selector)
-    for s in range(widest - 1, ESCAPE, -1):
-        too_wide = np.concatenate(([0], np.cumsum(bits > WIDTHS[s], dtype=np.int32)))
-        reach = np.minimum(left + COUNTS[s], end[left])
-        fits = too_wide[reach] == too_wide[left]
-        left, reach = left[fits], reach[fits]
-        if len(left) == 0:
-            break
-        selector[left] = s
-        step[left] = reach - left
-    following = (at + step).tolist()
+    n_blocks = -(-n // BLOCK)
+    bits = np.zeros((n_blocks, BLOCK), dtype=np.uint8)
+    bits.ravel()[:n] = _bits(values)
+    selector = _selectors(bits)
+    room = np.minimum(BLOCK - np.arange(BLOCK), 255).astype(np.uint8)
+    selector, step = selector.ravel()[:n], np.minimum(COUNTS.astype(np.uint8)[selector], room).ravel()[:n]
+    steps = step.tobytes()
     starts, i = [], 0
     while i < n:
         starts.append(i)
-        i = following[i]
+        i += steps[i]
     first = np.array(starts, dtype=np.int64)
-    chosen, size = selector[first], step[first]
+    chosen, size = selector[first], np.minimum(step[first], n - first)
     words = chosen.astype(np.uint64) << np.uint64(60)
     escaped = chosen == ESCAPE
     live = np.flatnonzero(~escaped & (WIDTHS[chosen] > 0))

@@ -23,31 +23,35 @@ from __future__ import annotations
 import string
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbsync.functions.sizes import broadcast_if, fits
 from ebbsync.llm import simple8b
-from ebbsync.llm.batches import slices
+from ebbsync.llm.batches import distinct_words, slices, spread
 
 END_ID = 1
 _END = np.array([END_ID], dtype="<u4").tobytes()
 #: Ids after which a segment is closed; a longer document is a segment of its own.
 SEGMENT_IDS = 65_536
-#: Words whose ids a task remembers before it starts anew, at the next slice.
-_CACHED_WORDS = 400_000
-_SLICE_BYTES = 1_000_000
+#: Words whose ids a Python worker remembers, looked at before every slice.
+_CACHED_WORDS = 600_000
+_SLICE_BYTES = 4_000_000
 _MARKS = string.punctuation.encode()
 #: The letter that stands for each byte in a byte-level vocabulary. Printable bytes
 #: of Latin-1 stand for themselves, the others for the letters from 256 on, in order.
 _PLAIN_BYTES = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - _PLAIN_BYTES))}
+_OTHER_BYTES = sorted(set(range(256)) - _PLAIN_BYTES)
+_BYTE_LETTERS = "".join(chr(b if b in _PLAIN_BYTES else 256 + _OTHER_BYTES.index(b)) for b in range(256))
 #: Ranges up to which their totals are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -57,64 +61,84 @@ SEGMENT_SCHEMA = (
 
 
 class WordIds:
-    """The ids of words as the tokenizers library gives them, remembered as packed integers."""
+    """The ids of words as the tokenizers library gives them, remembered as packed integers.
+
+    Words are kept in two generations: when the newer is full the older goes, but for words met since.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = self.tokenizer.model.tokenize
         self.known: dict[bytes, bytes] = {}
+        self.former: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        plain = text.isascii() and text.islower()
-        if text.isalpha() and (plain or (is_normalized("NFC", text) and text == text.lower())):
+    def _ids(self, word: bytes) -> bytes:
+        plain = word.isalpha() and word.islower()
+        text = word.decode()
+        if plain or (text.isalpha() and text == text.lower() and is_normalized("NFC", text)):
             # One pre-token that the normalizer leaves as it is: the model alone decides.
-            letters = text if plain else text.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            return array("I", [token.id for token in self.tokenizer.model.tokenize(letters)]).tobytes()
+            letters = text if plain else charmap_decode(word, "strict", _BYTE_LETTERS)[0]
+            return array("I", [token.id for token in self.pieces(letters)]).tobytes()
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Encode new words, the marks after a letter apart from their word."""
-        known = self.known
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            text = stem.decode()
-            if stem == word or not text or not text[-1].lower().isalpha() or b"'" in word or b"<|" in word:
-                if word not in known:
-                    known[word] = self._ids(word.decode())
-                continue
-            marks = word[len(stem) :]
-            if stem not in known:
-                known[stem] = self._ids(text)
-            if marks not in known:
-                known[marks] = self._ids(marks.decode())
-            known[word] = known[stem] + known[marks]
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        encoded = []
-        for text in texts:
-            words = _lower(text).split()
-            ids = list(map(self.known.get, words))
-            new = [at for at, own in enumerate(ids) if own is None]
-            if new:
-                self._learn({words[at] for at in new})
-                for at in new:
-                    ids[at] = self.known[words[at]]
-            ids.append(_END)
-            encoded.append(np.frombuffer(b"".join(ids), dtype="<u4"))
-        return encoded
-
-
-def _lower(text: bytes) -> bytes:
+    def _part(self, word: bytes) -> bytes:
+        """The ids of a word, or of a part that has its own."""
+        own = self.known.get(word)
+        if own is None:
+            own = self.former.get(word)
+            self.known[word] = own = self._ids(word) if own is None else own
+        return own
+
+    def _learn(self, word: bytes) -> bytes:
+        """The ids of a new word, the marks after a letter apart from their word."""
+        stem = word.rstrip(_MARKS)
+        if len(stem) in (0, len(word)) or b"'" in word or b"<|" in word or not _ends_in_letter(stem):
+            return self._ids(word)
+        return self._part(stem) + self._part(word[len(stem) :])
+
+    def _of(self, words: list[bytes]) -> list[bytes]:
+        known, former = self.known, self.former
+        ids = list(map(known.get, words))
+        for at in [at for at, own in enumerate(ids) if own is None]:
+            word = words[at]
+            own = former.get(word)
+            ids[at] = known[word] = self._learn(word) if own is None else own
+        return ids
+
+    def encode(self, texts: list[bytes] | pa.Array) -> list[np.ndarray]:
+        """The ids of each text and the end id. A word is looked up once for all its occurrences in ``texts``."""
+        if len(self.known) > _CACHED_WORDS // 2:
+            self.known, self.former = {}, self.known
+        words, codes, ends = distinct_words(_lower(pa.array(texts, pa.binary()).cast(pa.string())))
+        ids = self._of(words)
+        ids.append(_END)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // len(_END)
+        codes = np.insert(codes, ends, len(words))
+        spread_ids, own = spread(np.frombuffer(b"".join(ids), dtype="<u4"), sizes, codes)
+        after = np.cumsum(own)[ends + np.arange(len(ends))].tolist()
+        return [spread_ids[start:end] for start, end in zip([0, *after], after, strict=False)]
+
+
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One ``WordIds`` of a Python worker for all its tasks, so that each does not learn the same words anew."""
+    return WordIds(path)
+
+
+def _ends_in_letter(word: bytes) -> bool:
+    return word[-1:].isalpha() or (word[-1] > 127 and word.decode()[-1].lower().isalpha())
+
+
+def _lower(texts: pa.Array) -> pa.Array:
     """ASCII letters in lower case, as the normalizer makes them; the strings of added tokens stay what they are."""
-    return text if b"<|" in text else text.lower()
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
 
 
 def _segment_writer(tokenizer_path: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, words = TaskContext.get().partitionId(), WordIds(tokenizer_path)
+        shard, words = TaskContext.get().partitionId(), word_ids(tokenizer_path)
         segment, before = 0, 0
         doc_ids, pieces, waiting = [], [], 0
 
@@ -128,7 +152,7 @@ def _segment_writer(tokenizer_path: str):
 
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
-                encoded = words.encode(part.column("text").to_pylist())
+                encoded = words.encode(part.column("text"))
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                     if pieces and waiting + len(ids) > SEGMENT_IDS:
                         yield close()
@@ -160,7 +184,7 @@ def _read_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             ids = simple8b.decode(batch.column("payload")[row].as_py()).astype("<u4")
             ends = np.cumsum(lengths)
             starts = ends - lengths
-            crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts, ends, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_ids")[row].values,
