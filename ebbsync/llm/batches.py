@@ -24,7 +24,7 @@ def slices(batch: pa.RecordBatch | pa.Table, text: str, max_bytes: int) -> Itera
 def distinct_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The different words between ASCII white space, the number of each word of the texts in order, and the place
     after the last word of every text. White space at the ends of a text gives empty words."""
-    split = pc.ascii_split_whitespace(texts)
+    split = pc.ascii_split_whitespace(texts.cast(pa.string(), safe=False))
     coded = split.flatten().dictionary_encode()
     # As one joined text: much faster than an object of Arrow for every word.
     joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary.cast(pa.binary())), b" ")

@@ -25,6 +25,7 @@ the hash. An empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbsync.llm.batches import slices
+from ebbsync.llm.batches import distinct_words, slices, spread
 
 BUCKETS = 32_768
 DIM = 32
@@ -43,11 +44,13 @@ PREDICT_FROM = 0.3
 _NONZERO = 4
 _REACH = 2
 _BLOCK = 512
-_SLICE_BYTES = 1_000_000
+_SLICE_BYTES = 4_000_000
 _CACHED_WORDS = 500_000
-_CAPITALS = 1 << 20
 _MARK = 0
 _COMMON = 1e-3
+#: Places of 16 bits in a packed number, and words whose contexts add up in it: each has at most ``2 * _REACH`` in a place.
+_LANES = 4
+_MOST = 8_000
 HIDDEN = 32
 _FIND = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+").findall
 
@@ -67,54 +70,77 @@ def index_vectors() -> np.ndarray:
 
 
 class Buckets(dict):
-    """The bucket of each word, remembered for a bounded number of words."""
+    """The buckets of what stands between white space, packed, and remembered for a bounded number of such pieces."""
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= _CACHED_WORDS:
             self.clear()
-        code = 1 + xxhash.xxh3_64_intdigest(word.lower()) % (BUCKETS - 1)
-        if len(word) > 1 and word.isupper():
-            code |= _CAPITALS
-        self[word] = code
-        return code
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        codes = []
+        for word in (piece,) if piece.isalnum() else _FIND(piece):
+            codes.append(1 + xxhash.xxh3_64_intdigest(word.lower()) % (BUCKETS - 1))
+            if len(word) > 1 and word.isupper():
+                codes.append(_MARK)
+        self[piece] = packed = array("H", codes).tobytes()
+        return packed
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of all words of the texts, and how many words each text has."""
-        codes, sizes = [], []
-        for text in texts:
-            words = _FIND(text)
-            own = np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-            capitals = np.flatnonzero(own & _CAPITALS)
-            own = np.insert(own & (_CAPITALS - 1), capitals + 1, _MARK) if len(capitals) else own
-            codes.append(own)
-            sizes.append(len(own))
-        return np.concatenate(codes) if codes else np.empty(0, np.int64), np.array(sizes, dtype=np.int64)
-
-
-def _context_sums(index: np.ndarray, ids: np.ndarray, sizes: np.ndarray, sums: np.ndarray) -> None:
-    """Add the index vectors around every word to its row of ``sums``; the last column counts the words."""
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    around = np.zeros((len(ids), DIM + 1), dtype=np.int32)
-    around[:, DIM] = 1
-    own = index[ids]
-    for step in range(1, _REACH + 1):
-        near = (owner[step:] == owner[:-step])[:, None]
-        around[:-step, :DIM] += own[step:] * near
-        around[step:, :DIM] += own[:-step] * near
+        pieces, codes, ends = distinct_words(texts)
+        packed = list(map(self.__getitem__, pieces))
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 2
+        ids, own = spread(np.frombuffer(b"".join(packed), dtype=np.uint16), sizes, codes)
+        after = np.concatenate(([0], np.cumsum(own)))[ends]
+        return ids, np.diff(after, prepend=0)
+
+
+def packed_index() -> np.ndarray:
+    """The index vectors with ``_LANES`` places of 16 bits in each whole number, one row of numbers after the other;
+    behind them a bucket of zeros."""
+    index = np.vstack([index_vectors(), np.zeros((1, DIM), dtype=np.int16)]).astype(np.int64)
+    return sum(index[:, lane::_LANES].T << (16 * lane) for lane in range(_LANES)).copy()
+
+
+def _context_sums(packed: np.ndarray, ids: np.ndarray, sizes: np.ndarray, sums: np.ndarray) -> None:
+    """Add the index vectors around every word to its row of ``sums``; the last column counts the words.
+
+    ``packed`` are those of ``packed_index``: sums of numbers add all their places at once, and since no place leaves
+    16 bits within ``_MOST`` words, they can be told apart again.
+    """
+    # Between texts stand as many zeros as a word reaches.
+    at = np.arange(len(ids)) + _REACH * np.repeat(np.arange(len(sizes)), sizes)
+    apart = np.full(len(ids) + _REACH * len(sizes), BUCKETS, dtype=np.intp)
+    apart[at] = ids
     order = np.argsort(ids, kind="stable")
-    ordered = ids[order]
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    sums[ordered[starts]] += np.add.reduceat(around[order], starts, axis=0, dtype=np.int64)
+    ordered, at = ids[order], at[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    counts = np.diff(first, append=len(ids))
+    # Pieces of a bucket's words that are few enough, and the first piece of every bucket.
+    n_pieces = -(-counts // _MOST)
+    piece = np.cumsum(n_pieces) - n_pieces
+    starts = np.repeat(first - _MOST * piece, n_pieces) + _MOST * np.arange(n_pieces.sum())
+    rows = ordered[first].astype(np.intp)
+    sums[rows, DIM] += counts
+    for row, numbers in enumerate(packed):
+        own = numbers[apart]
+        around = np.zeros(len(apart), dtype=np.int64)
+        for step in range(1, _REACH + 1):
+            around[:-step] += own[step:]
+            around[step:] += own[:-step]
+        rest = np.add.reduceat(around[at], starts)
+        for lane in range(_LANES):
+            place = (rest & 0xFFFF).astype(np.uint16).view(np.int16).astype(np.int64)
+            rest = (rest - place) >> 16
+            sums[rows, row * _LANES + lane] += np.add.reduceat(place, piece)
 
 
 def _sum_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    index, buckets = index_vectors(), Buckets()
+    packed, buckets = packed_index(), Buckets()
     sums = np.zeros((BUCKETS, DIM + 1), dtype=np.int64)
     for batch in batches:
         for part in slices(batch, "text", _SLICE_BYTES):
-            ids, sizes = buckets.of(part.column("text").to_pylist())
+            ids, sizes = buckets.of(part.column("text"))
             if len(ids):
-                _context_sums(index, ids, sizes, sums)
+                _context_sums(packed, ids, sizes, sums)
     if sums[:, DIM].any():
         yield _blocks({n: sums[n * _BLOCK : (n + 1) * _BLOCK] for n in range(BUCKETS // _BLOCK)})
 
@@ -154,18 +180,24 @@ def word_vectors(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return vectors.astype(np.float32), weights.astype(np.float32)
 
 
-def pool(vectors: np.ndarray, weights: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def pooling_table(vectors: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """What a word of each bucket adds to a text's sums: its weight, its weighted vector, and the squares of that."""
+    weight = weights[:, None]
+    return np.hstack([weight, vectors * weight, vectors * vectors * weight]).T.astype(np.float64, order="C")
+
+
+def pool(table: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Weighted mean and spread of the word vectors of each text; zeros for a text without words."""
     pooled = np.zeros((len(sizes), 2 * DIM))
     some = np.flatnonzero(sizes)
     if len(some) == 0:
         return pooled
     starts = (np.cumsum(sizes) - sizes)[some]
-    weight = weights[ids][:, None]
-    own = vectors[ids]
-    total = np.add.reduceat(weight, starts, axis=0, dtype=np.float64)
-    mean = np.add.reduceat(own * weight, starts, axis=0, dtype=np.float64) / total
-    square = np.add.reduceat(own * own * weight, starts, axis=0, dtype=np.float64) / total
+    ids, own = ids.astype(np.intp), np.empty(len(ids))
+    sums = np.empty((len(table), len(some)))
+    for row, adds in enumerate(table):
+        np.add.reduceat(np.take(adds, ids, out=own, mode="clip"), starts, out=sums[row])
+    mean, square = np.split((sums[1:] / sums[0]).T, 2, axis=1)
     pooled[some] = np.hstack([mean, np.sqrt(np.maximum(square - mean * mean, 0))])
     return pooled
 
@@ -233,10 +265,10 @@ def calibrate(network: Network, pooled: np.ndarray, labels: np.ndarray) -> Netwo
 
 def _pooler(vectors: np.ndarray, weights: np.ndarray):
     def vectors_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
+        table, buckets = pooling_table(vectors, weights), Buckets()
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
-                pooled = pool(vectors, weights, *buckets.of(part.column("text").to_pylist()))
+                pooled = pool(table, *buckets.of(part.column("text")))
                 columns = [part.column("quality"), part.column("calibrates"), pa.array(list(pooled), pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=["quality", "calibrates", "pooled"])
 
@@ -245,13 +277,13 @@ def _pooler(vectors: np.ndarray, weights: np.ndarray):
 
 def _scorer(vectors: np.ndarray, weights: np.ndarray, network: Network | None):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets = Buckets()
+        table, buckets = pooling_table(vectors, weights), Buckets()
         for batch in batches:
             for part in slices(batch, "text", _SLICE_BYTES):
                 if network is None:
                     scores = np.full(part.num_rows, 0.5)
                 else:
-                    scores = network.probability(pool(vectors, weights, *buckets.of(part.column("text").to_pylist())))
+                    scores = network.probability(pool(table, *buckets.of(part.column("text"))))
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score"])
 
