@@ -96,7 +96,7 @@ def crawl_of(pages: DataFrame) -> DataFrame:
 @query
 def op4_revisits(spark, sf_dir):
     records = warc.parse(crawl_of(table(spark, sf_dir, "pages")))
-    resolved = warc.resolve(written(records, work_dir(spark, "records")))
+    resolved = warc.resolve(written(warc.keyed(records), work_dir(spark, "records")), has_keys=True)
     header = {n: F.try_element_at("headers", F.lit(n)) for n in ("etag", "content-type", "cache-control", "age")}
     return resolved.select(
         F.regexp_replace("record_id", "^v-", "").cast("bigint").alias("page_id"),

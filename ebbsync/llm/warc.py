@@ -32,6 +32,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbsync.llm.text import let
+
 # Fixed values of the formats.
 CRLF = "\r\n"
 #: Headers of a 304 that describe a message and not the stored response.
@@ -83,8 +85,14 @@ def _headers(block: Column) -> Column:
             F.trim(F.regexp_replace(line, r"^[^:]*:", "")).alias("value"),
         ),
     )
-    last = F.filter(pairs, lambda pair, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda p: p["key"] == pair["key"]))
-    return F.map_from_entries(last)
+    # The lines are taken apart once, not again for each of them.
+    return F.map_from_entries(let(pairs, _last_of_each))
+
+
+def _last_of_each(pairs: Column) -> Column:
+    return F.filter(
+        pairs, lambda pair, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda later: later["key"] == pair["key"])
+    )
 
 
 def parse(records: DataFrame, raw: str = "raw") -> DataFrame:
@@ -161,16 +169,22 @@ def _merged(stored: Column, update: Column) -> Column:
     return F.map_concat(kept, allowed)
 
 
-def resolve(records: DataFrame) -> DataFrame:
+def keyed(records: DataFrame) -> DataFrame:
+    """``records`` with a key of what they hold in place of an id that is missing."""
+    held = F.to_json(F.struct("type", "uri", "date", "headers", "payload"))
+    key = F.coalesce("record_id", F.concat(F.lit(_NO_ID), F.md5(held.cast("binary"))))
+    return records.withColumn("record_id", key)
+
+
+def resolve(records: DataFrame, has_keys: bool = False) -> DataFrame:
     """Every revisit as ``record_id``, ``uri``, ``date``, ``status``, ``refers_to``, ``headers`` and ``payload``.
 
-    ``records`` are those of ``parse``; without its ``full`` every response counts as a full one.
+    ``records`` are those of ``parse``; without its ``full`` every response counts as a full one. Where they are a
+    table that ``keyed`` was written to (``has_keys``), ids are read without the payloads.
     """
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    held = F.to_json(F.struct("type", "uri", "date", "headers", "payload"))
-    known = records.select(
-        F.coalesce("record_id", F.concat(F.lit(_NO_ID), F.md5(held.cast("binary")))).alias("record_id"),
-        "type", "uri", "date",
+    known = (records if has_keys else keyed(records)).select(
+        "record_id", "type", "uri", "date",
         F.coalesce("headers", none).alias("headers"), F.coalesce("payload", F.lit("")).alias("payload"),
         F.coalesce("full" if "full" in records.columns else F.lit(True), F.lit(False)).alias("is_full"),
     )
@@ -187,8 +201,9 @@ def resolve(records: DataFrame) -> DataFrame:
     )
     own = own.groupBy("own_id").agg(F.min_by("update", "order").alias("update"))
     stored = known.filter("type = 'response'").groupBy(F.col("record_id").alias("stored_id"))
-    stored = stored.agg(F.min_by(F.struct("headers", "payload"), F.struct("date", "uri", "payload")).alias("s"))
-    stored = stored.select("stored_id", F.col("s.headers").alias("stored"), F.col("s.payload").alias("body"))
+    # A payload is in the order and what is wanted: it goes through the exchange once.
+    stored = stored.agg(F.min(F.struct("date", "uri", "payload", F.map_entries("headers").alias("lines"))).alias("s"))
+    stored = stored.select("stored_id", F.map_from_entries("s.lines").alias("stored"), F.col("s.payload").alias("body"))
     joined = found.join(own, F.col("record_id") == F.col("own_id"), "left").join(
         stored, F.col("refers_to") == F.col("stored_id"), "left"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ebbsync.llm import warc
+from ebbsync.session import written
 
 
 def record(kind, number, day, status, *headers, body="", uri="http://a.test/x", length=None, warc_headers=()):
@@ -85,3 +86,28 @@ def test_a_hot_address_with_many_captures(spark):
             records.append(record("revisit", f"v{n:03d}", date, "304 Not Modified", f"ETag: W/e{n - 2}"))
             expected.append((f"v{n:03d}", "resolved", f"r{n - 2:03d}", f"body {n - 2}"))
     assert resolved(spark, *records) == expected
+
+
+def test_headers_are_taken_apart_once(spark):
+    """Each line against the later ones must not take all lines apart again."""
+    parsed = warc.parse(spark.range(1).selectExpr("string(id) AS raw"))
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    # Split at line ends for the WARC headers, and for those of HTTP.
+    assert plan.count("split(") == 2
+
+
+def test_payloads_are_exchanged_once_and_ids_read_without_them(spark, folder):
+    records = [
+        record("response", "r", 1, "200 OK", "ETag: e", "A: 1", "a: 2", body="GOOD"),
+        record("response", None, 1, "200 OK", "ETag: n", body="NONE", uri="http://a.test/n"),
+        record("revisit", "v", 2, "304 Not Modified", "ETag: e"),
+        record("revisit", None, 3, "304 Not Modified", "ETag: n", uri="http://a.test/n"),
+    ]
+    parsed = warc.parse(spark.createDataFrame([(r,) for r in records], "raw STRING"))
+    found = warc.resolve(written(warc.keyed(parsed), folder), has_keys=True)
+    plain = warc.resolve(parsed)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, plain.collect()))
+    assert {r.record_id: (r.payload, r.headers.get("a")) for r in found.collect()} == {"v": ("GOOD", "2"), None: ("NONE", None)}
+    scans = [s for s in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "FileScan" in s]
+    assert len(scans) > 1
+    assert sum("payload" in s.split("ReadSchema")[1] for s in scans) == 1
